@@ -28,8 +28,10 @@ def as_date(d) -> Column:
 
 def as_timestamp(t) -> Column:
     """A timestamp (no time zone) literal from an ISO string / datetime / Column."""
+    if isinstance(t, _dt.datetime):
+        t = t.replace(tzinfo=None).isoformat(sep=" ")
     if isinstance(t, str):
-        return F.lit(_dt.datetime.fromisoformat(t))
+        return F.lit(t).cast("timestamp_ntz")
     return _c(t)
 
 

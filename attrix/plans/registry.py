@@ -10,12 +10,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pyspark.sql import functions as F
+
+from attrix.operators import filters as FL, quality as Q, runs as RN
+from attrix.operators.dedup import latest_per_key
 from attrix.operators.headcount import monthly_combined, monthly_exits, monthly_headcount
 from attrix.operators.joins import lifecycle
 from attrix.operators.rolling import rolling_turnover
+from attrix.plans.build import build, written
 from attrix.plans.marts import dim_employees, fct_terminations
 from attrix.plans.staging import stage_employees, stage_terminations
-from attrix.session import ensure_conf
+from attrix.plans.suite import business_rules, suite
+from attrix.session import ensure_conf, scratch_path
 from attrix.sources import adapters as A
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -69,10 +75,228 @@ def q_monthly_combined(spark, sf_dir):
 
 def q_rolling_turnover(spark, sf_dir):
     _, _, dim, fct = _hr(spark, sf_dir)
+    return _turnover(dim, fct)
+
+
+def _turnover(dim, fct):
     hc = monthly_headcount(lifecycle(dim, fct), A.ORDERS_SPINE_START, A.ORDERS_AS_OF)
     return rolling_turnover(monthly_combined(hc, monthly_exits(fct)), as_of=A.ORDERS_AS_OF)
 
 
+def _models(spark, sf_dir):
+    stg_e, stg_t, dim, fct = _hr(spark, sf_dir)
+    return {"stg_employees": stg_e, "stg_terminations": stg_t, "dim_employees": dim,
+            "fct_terminations": fct, "turnover": _turnover(dim, fct)}
+
+
+def _runs(spark, sf_dir):
+    ensure_conf(spark)
+    return A.runs_from_events(A.table(spark, sf_dir, "events"))
+
+
+# -- generic top-1 per key on real duplicates ---------------------------------------
+
+def q_latest_per_key(spark, sf_dir):
+    """Latest shipment per (order, line) — the lineitem key repeats in the data."""
+    ensure_conf(spark)
+    li = A.table(spark, sf_dir, "lineitem")
+    return latest_per_key(li, ["l_orderkey", "l_linenumber"], ["l_shipdate"])
+
+
+# -- filters / paging / lookup -------------------------------------------------------
+
+def q_filter_terminations(spark, sf_dir):
+    t = _hr(spark, sf_dir)[1]
+    return FL.filter_type(FL.filter_window(t, "termination_date", "1998-01-01", "1998-12-31"),
+                          "VOLUNTARY")
+
+
+def q_filter_status(spark, sf_dir):
+    return FL.filter_status(_hr(spark, sf_dir)[0], "TERMINATED")
+
+
+def q_page(spark, sf_dir):
+    return FL.page(_hr(spark, sf_dir)[0], ["employee_id"], limit=100, offset=200)
+
+
+def q_lookup(spark, sf_dir):
+    return FL.lookup(_hr(spark, sf_dir)[2], "employee_id", "E1")
+
+
+def q_exits_drill(spark, sf_dir):
+    """Dashboard drill-through: one state's exits in one month."""
+    f = _hr(spark, sf_dir)[3]
+    return f.where((F.col("location_state") == "1-URGENT")
+                   & (F.col("termination_month_start") == F.lit("1998-06-01").cast("date")))
+
+
+# -- run log ---------------------------------------------------------------------------
+
+def q_last_success(spark, sf_dir):
+    return RN.last_success(_runs(spark, sf_dir))
+
+
+def q_last_loaded_date(spark, sf_dir):
+    return RN.last_loaded_date(_runs(spark, sf_dir), "terminations")
+
+
+def q_run_history(spark, sf_dir):
+    return RN.run_history(_runs(spark, sf_dir), A.EVENTS_AS_OF, days=30)
+
+
+def q_failed_runs(spark, sf_dir):
+    return RN.failed_runs(_runs(spark, sf_dir), A.EVENTS_AS_OF, days=7)
+
+
+def q_daily_volume(spark, sf_dir):
+    return RN.daily_volume(_runs(spark, sf_dir), "terminations")
+
+
+def q_resolve_window(spark, sf_dir):
+    return RN.resolve_window(_runs(spark, sf_dir), A.EVENTS_AS_OF)
+
+
+# -- data quality ------------------------------------------------------------------------
+
+def q_dq_unique(spark, sf_dir):
+    """Raw termination ids repeat (re-loads) — the reason staging de-duplicates."""
+    return Q.unique(A.hr_inputs(spark, sf_dir)[1], "termination_id")
+
+
+def q_dq_not_null(spark, sf_dir):
+    return Q.not_null(_hr(spark, sf_dir)[3], "location_state")
+
+
+def q_dq_accepted_values(spark, sf_dir):
+    """Raw (uncleaned) termination types against the controlled list."""
+    from attrix.schema import TERMINATION_TYPES
+    return Q.accepted_values(A.hr_inputs(spark, sf_dir)[1], "termination_type", TERMINATION_TYPES)
+
+
+def q_dq_relationships(spark, sf_dir):
+    _, _, dim, fct = _hr(spark, sf_dir)
+    return Q.relationships(dim, "manager_id", dim, "employee_id")
+
+
+def q_dq_not_in_future(spark, sf_dir):
+    return Q.not_in_future(_hr(spark, sf_dir)[0], "hire_date", "1994-06-30")
+
+
+def q_dq_not_before_column(spark, sf_dir):
+    return Q.termination_after_hire(_hr(spark, sf_dir)[3])
+
+
+def q_dq_is_between(spark, sf_dir):
+    return Q.is_between(_models(spark, sf_dir)["turnover"], "rolling_12m_turnover_rate", 0, 5)
+
+
+def q_dq_ran_recently(spark, sf_dir):
+    return RN.ran_recently(_runs(spark, sf_dir), "2024-02-01 01:30:00", "terminations", 25)
+
+
+def q_dq_freshness(spark, sf_dir):
+    return Q.freshness(A.hr_inputs(spark, sf_dir)[1], "_pipeline_written_at", "2001-11-06 12:00:00")
+
+
+def q_dq_terminated_without_exit(spark, sf_dir):
+    _, _, dim, fct = _hr(spark, sf_dir)
+    return Q.terminated_without_exit(dim, fct)
+
+
+def q_dq_spine_contiguous(spark, sf_dir):
+    return Q.spine_contiguous(_models(spark, sf_dir)["turnover"])
+
+
+def q_dq_suite(spark, sf_dir):
+    # Materialise each model once in the shared checkpoint folder; the suite
+    # then scans five small tables instead of re-deriving them per check.
+    raw_e, raw_t = A.hr_inputs(spark, sf_dir)
+    models = build(raw_e, raw_t, A.ORDERS_AS_OF, A.ORDERS_SPINE_START,
+                   materialize=written(spark, scratch_path(spark, "models")),
+                   materialize_staging=True)
+    return Q.run_suite(suite(A.ORDERS_AS_OF), models, business_rules(models))
+
+
+# -- landing, streaming ingest, report JSON, nightly run ------------------------------
+
+STAGE_RUN_DATE = "2001-11-05"
+STAGE_WRITTEN_AT = "2001-11-05 02:00:00"
+
+
+def _api_terminations(spark, sf_dir):
+    from attrix.sources.landing import api_records
+    return api_records(A.hr_inputs(spark, sf_dir)[1], "terminations")
+
+
+def _staged(spark, sf_dir):
+    from attrix.sources.landing import stage
+    base = scratch_path(spark, "landing")
+    stage(_api_terminations(spark, sf_dir), "terminations", STAGE_RUN_DATE, base,
+          written_at=STAGE_WRITTEN_AT)
+    return base
+
+
+def q_stage_parquet(spark, sf_dir):
+    """Stage terminations as paged, date-partitioned landing Parquet; read it back."""
+    from attrix.sources.landing import read_landing
+    return read_landing(spark, _staged(spark, sf_dir), "terminations")
+
+
+def _ingested(spark, sf_dir):
+    from attrix.streaming.ingest import ingest_stream
+    landing = _staged(spark, sf_dir)
+    out = scratch_path(spark, "raw")
+    q = ingest_stream(spark, landing, "terminations", f"{out}/raw", f"{out}/history",
+                      f"{out}/checkpoint")
+    q.awaitTermination()
+    return out
+
+
+def q_ingest_stream(spark, sf_dir):
+    """Landing files → raw table through an availableNow file stream."""
+    from attrix.streaming.ingest import read_raw
+    out = _ingested(spark, sf_dir)
+    return read_raw(spark, f"{out}/raw", "terminations").drop("_loaded_at")
+
+
+def q_load_history(spark, sf_dir):
+    """Rows loaded and parsed per load status over all files of the ingest."""
+    from attrix.streaming.ingest import read_history
+    h = read_history(spark, f"{_ingested(spark, sf_dir)}/history")
+    return h.groupBy("status").agg(F.sum("row_count").alias("row_count"),
+                                   F.sum("row_parsed").alias("row_parsed"))
+
+
+def q_read_report_json(spark, sf_dir):
+    """Write terminations as report envelopes (one per page of 500), read the records back."""
+    from attrix.sources.landing import read_report_json, with_page_numbers
+    from attrix.schema import API_TERMINATION
+    recs = with_page_numbers(_api_terminations(spark, sf_dir), ["termination_id"], out="_page")
+    env = (recs.groupBy("_page")
+               .agg(F.collect_list(F.struct(*[f.name for f in API_TERMINATION.fields])).alias("data"))
+               .select(F.lit("Terminations").alias("report_name"),
+                       F.lit("2001-11-05T02:00:00Z").alias("generated_at"),
+                       F.lit("attrix").alias("tenant"),
+                       F.size("data").cast("bigint").alias("total_records"), "data"))
+    path = scratch_path(spark, "reports")
+    env.write.mode("overwrite").json(path)
+    return read_report_json(spark, path, API_TERMINATION, multiline=False)
+
+
+def q_nightly_run(spark, sf_dir):
+    """Two runs on one day: a full load, then a repeat whose window is empty."""
+    from attrix.plans.nightly import run_ingest
+    from attrix.sources.landing import api_records
+    raw_e, raw_t = A.hr_inputs(spark, sf_dir)
+    emp, term = api_records(raw_e, "employees"), api_records(raw_t, "terminations")
+    base = scratch_path(spark, "nightly")
+    for full in (True, False):
+        run_ingest(spark, emp, term, f"{base}/landing", f"{base}/runs", run_date=STAGE_RUN_DATE,
+                   full_load=full)
+    return RN.read_runs(spark, f"{base}/runs").select("run_date", "entity", "status",
+                                                      "records_staged")
+
+
 QUERIES: dict[str, Query] = {
     "stage_employees": q_stage_employees,
     "stage_terminations": q_stage_terminations,
@@ -83,4 +307,33 @@ QUERIES: dict[str, Query] = {
     "monthly_exits": q_monthly_exits,
     "monthly_combined": q_monthly_combined,
     "rolling_turnover": q_rolling_turnover,
+    "latest_per_key": q_latest_per_key,
+    "filter_terminations": q_filter_terminations,
+    "filter_status": q_filter_status,
+    "page": q_page,
+    "lookup": q_lookup,
+    "exits_drill": q_exits_drill,
+    "last_success": q_last_success,
+    "last_loaded_date": q_last_loaded_date,
+    "run_history": q_run_history,
+    "failed_runs": q_failed_runs,
+    "daily_volume": q_daily_volume,
+    "resolve_window": q_resolve_window,
+    "dq_unique": q_dq_unique,
+    "dq_not_null": q_dq_not_null,
+    "dq_accepted_values": q_dq_accepted_values,
+    "dq_relationships": q_dq_relationships,
+    "dq_not_in_future": q_dq_not_in_future,
+    "dq_not_before_column": q_dq_not_before_column,
+    "dq_is_between": q_dq_is_between,
+    "dq_ran_recently": q_dq_ran_recently,
+    "dq_freshness": q_dq_freshness,
+    "dq_terminated_without_exit": q_dq_terminated_without_exit,
+    "dq_spine_contiguous": q_dq_spine_contiguous,
+    "dq_suite": q_dq_suite,
+    "stage_parquet": q_stage_parquet,
+    "ingest_stream": q_ingest_stream,
+    "load_history": q_load_history,
+    "read_report_json": q_read_report_json,
+    "nightly_run": q_nightly_run,
 }

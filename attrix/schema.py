@@ -67,7 +67,7 @@ RUNS = T.StructType([
 
 LOAD_HISTORY = _struct(
     ("file_name", S), ("file_size", L), ("row_count", L), ("row_parsed", L),
-    ("first_error_message", S), ("status", S), ("last_load_time", TS), ("batch_id", L))
+    ("first_error_message", S), ("status", S), ("last_load_time", TS))
 
 
 def envelope(record_schema: T.StructType) -> T.StructType:

@@ -71,3 +71,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if "://" not in p or p.startswith("file:"):
         os.makedirs(p.replace("file:", ""), exist_ok=True)
     return p
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists on its (Hadoop-compatible) filesystem."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
