@@ -52,7 +52,8 @@ def monthly_headcount(life: DataFrame, spine_start, end_exclusive,
     is active, and ``headcount`` counts non-null keys. A null group is a group.
     """
     first, last = _spine_bounds(spine_start, end_exclusive)
-    a = F.greatest(month_start(start), first)          # first counted month
+    # first counted month (greatest() would skip a null hire date: keep it null)
+    a = F.when(F.col(start).isNotNull(), F.greatest(month_start(start), first))
     b = month_start(end)                               # first month no longer counted
     k = F.when(F.col(key).isNotNull(), 1).otherwise(0)
     rows = (life.select(F.col(group).alias("g"), a.alias("a"), b.alias("b"), k.alias("k"))

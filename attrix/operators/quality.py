@@ -134,8 +134,8 @@ class Check:
 
     @property
     def name(self) -> str:
-        suffix = "" if not self.args else "_" + "_".join(
-            str(v) for k, v in sorted(self.args.items()) if k not in ("values", "to"))
+        shown = ("reference_column", "min_value", "max_value")
+        suffix = "".join(f"_{self.args[k]}" for k in shown if k in self.args)
         return f"{self.test}_{self.model}_{self.column or ''}{suffix}".rstrip("_")
 
 

@@ -1,0 +1,103 @@
+"""Golden results on the reference's seed (FIXTURES.md §4)."""
+
+import datetime as dt
+
+import pytest
+
+import seed
+from attrix.plans.build import build
+
+AS_OF = "2025-04-01"
+
+
+@pytest.fixture(scope="module")
+def models(spark):
+    return build(seed.raw_employees(spark), seed.raw_terminations(spark), AS_OF, "2015-01-01")
+
+
+def test_surrogate_key(spark):
+    from attrix.functions import surrogate_key
+    from pyspark.sql import functions as F
+    got = spark.range(1).select(surrogate_key(F.lit("EMP-1001")).alias("k")).first()["k"]
+    assert got == "8f7975dec950e69b8956406a6ea879da"
+
+
+def test_dimension(models):
+    rows = {r["employee_id"]: r for r in models["dim_employees"].collect()}
+    assert len(rows) == 8
+    assert rows["EMP-1001"]["tenure_days"] == 1843
+    assert rows["EMP-1001"]["tenure_bucket"] == "5. 5+ years"
+    assert rows["EMP-1008"]["tenure_days"] == 449
+    assert rows["EMP-1008"]["tenure_bucket"] == "3. 1-2 years"
+    assert rows["EMP-1006"]["tenure_bucket"] == "4. 2-5 years"
+    assert not any(r["is_manager"] for r in rows.values())
+    assert rows["EMP-1003"]["employment_status"] == "TERMINATED"
+    assert rows["EMP-1003"]["is_active"] is False
+
+
+def test_fact(models):
+    f = {r["termination_id"]: r for r in models["fct_terminations"].collect()}
+    assert len(f) == 8
+    t1 = f["TERM-3001"]
+    assert (t1["location_state"], t1["tenure_at_exit_days"], t1["tenure_at_exit_bucket"],
+            t1["is_voluntary"], t1["is_regrettable"], t1["notice_period_days"]) == \
+        ("TX", 2049, "5. 5+ years", True, True, 2)
+    t2 = f["TERM-3002"]
+    assert (t2["location_state"], t2["tenure_at_exit_days"], t2["is_voluntary"],
+            t2["is_regrettable"], t2["notice_period_days"]) == ("GA", 1959, False, False, 0)
+    assert f["TERM-3003"]["tenure_at_exit_days"] == 2706
+    for tid in ("TERM-3004", "TERM-3005", "TERM-3006", "TERM-3007", "TERM-3008"):
+        r = f[tid]
+        assert r["location_state"] is None and r["tenure_at_exit_days"] is None
+        assert r["tenure_at_exit_bucket"] == "Unknown" and r["is_regrettable"] is False
+    assert f["TERM-3004"]["notice_period_days"] == 1
+    assert f["TERM-3005"]["is_voluntary"] and not f["TERM-3006"]["is_voluntary"]
+
+
+def test_rolling_mart_shape(models):
+    rows = models["turnover"].collect()
+    assert len(rows) == 271
+    by = {}
+    for r in rows:
+        by.setdefault(r["location_state"], []).append(r)
+    expect = {"AZ": (15, "2024-01", "2025-03", 0), "CO": (39, "2022-01", "2025-03", 0),
+              "GA": (64, "2019-05", "2024-08", 0), "MO": (61, "2020-03", "2025-03", 0),
+              "TX": (92, "2017-08", "2025-03", 2)}
+    assert set(by) == set(expect)
+    for st, (n, first, last, exits) in expect.items():
+        rs = sorted(by[st], key=lambda r: r["month_start"])
+        assert len(rs) == n
+        assert rs[0]["month_start"].isoformat()[:7] == first
+        assert rs[-1]["month_start"].isoformat()[:7] == last
+        assert sum(r["total_terminations"] for r in rs) == exits
+
+
+def test_rolling_mart_tx_detail(models):
+    tx = {r["month_start"].isoformat()[:7]: r for r in models["turnover"].collect()
+          if r["location_state"] == "TX"}
+    expect = {"2024-05": (3, 3.0, 0, 0, 0.00), "2024-06": (2, 2.916667, 1, 1, 34.29),
+              "2024-07": (2, 2.833333, 0, 1, 35.29), "2024-12": (2, 2.416667, 0, 1, 41.38),
+              "2025-01": (1, 2.25, 1, 2, 88.89), "2025-03": (1, 1.916667, 0, 2, 104.35)}
+    for m, (hc, avg, ex, roll, rate) in expect.items():
+        r = tx[m]
+        assert r["eom_headcount"] == hc
+        assert r["rolling_12m_avg_headcount"] == pytest.approx(avg, abs=1e-6)
+        assert r["total_terminations"] == ex
+        assert r["rolling_12m_terminations"] == roll
+        assert r["rolling_12m_turnover_rate"] == pytest.approx(rate)
+        assert r["months_in_window"] == 12 and r["is_partial_window"] is False
+        assert r["rolling_12m_regrettable"] == roll and r["rolling_12m_voluntary"] == roll
+
+
+def test_quality_on_seed(models):
+    from attrix.operators import quality as Q
+    from attrix.plans.suite import business_rules, suite
+    res = {r["test"]: r["failures"] for r in
+           Q.run_suite(suite(AS_OF), models, business_rules(models)).collect()}
+    assert res["relationships_fct_terminations_employee_key"] == 5
+    assert res["relationships_stg_terminations_employee_key"] == 5
+    assert res["is_between_turnover_rolling_12m_turnover_rate_0_150"] == 0
+    assert res["last_day_lte_termination"] == 0
+    assert res["active_with_termination"] == 0
+    with pytest.raises(AssertionError):
+        Q.raise_on_error(Q.run_suite(suite(AS_OF), models, business_rules(models)))
