@@ -66,16 +66,18 @@ def monthly_headcount(life: DataFrame, spine_start, end_exclusive,
     deltas = (rows.select("g", F.inline(F.filter(events, lambda e: e.isNotNull())))
                   .groupBy("g", "m")
                   .agg(F.sum("dn").alias("dn"), F.sum("dk").alias("dk")))
-    # Zero rows for every month from a group's first event to the spine end, so
-    # the running sum has a row for months without any change.
-    grid = (deltas.groupBy("g").agg(F.min("m").alias("m0"))
-                  .select("g", F.explode(F.sequence(F.col("m0"), last, _month())).alias("m"),
-                          F.lit(0).cast("bigint").alias("dn"), F.lit(0).cast("bigint").alias("dk")))
-    w = Window.partitionBy("g").orderBy("m").rowsBetween(Window.unboundedPreceding, 0)
-    return (deltas.unionByName(grid)
-                  .groupBy("g", "m").agg(F.sum("dn").alias("dn"), F.sum("dk").alias("dk"))
-                  .select("g", "m", F.sum("dn").over(w).alias("n"), F.sum("dk").over(w).alias("hc"))
-                  .where(F.col("n") > 0)
+    # Running totals over the sparse change months, then each change month
+    # spans the months up to the next change (or the spine end). Only
+    # groups × months rows exist after the aggregation, so the window's
+    # exchange by group moves a small table regardless of input size.
+    w = Window.partitionBy("g").orderBy("m")
+    run = w.rowsBetween(Window.unboundedPreceding, 0)
+    sparse = deltas.select(
+        "g", "m", F.sum("dn").over(run).alias("n"), F.sum("dk").over(run).alias("hc"),
+        F.coalesce(F.add_months(F.lead("m").over(w), -1), last).alias("until"))
+    return (sparse.where(F.col("n") > 0)
+                  .select("g", "hc", F.explode(F.sequence(F.col("m"), F.col("until"), _month()))
+                          .alias("m"))
                   .select(F.col("m").alias("month_start"), F.last_day("m").alias("month_end"),
                           F.col("g").alias(group), F.col("hc").alias("headcount")))
 
