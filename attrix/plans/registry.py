@@ -242,16 +242,41 @@ def q_stage_parquet(spark, sf_dir):
     return read_landing(spark, _staged(spark, sf_dir), "terminations")
 
 
-def _ingested(spark, sf_dir):
+def _ingested(spark, sf_dir, entity="terminations"):
     from attrix.streaming.ingest import ingest_stream
-    landing = _staged(spark, sf_dir)
+    landing = _staged(spark, sf_dir) if entity == "terminations" else _staged_employees(spark, sf_dir)
     out = scratch_path(spark, "raw")
-    q = ingest_stream(spark, landing, "terminations", f"{out}/raw", f"{out}/history",
+    q = ingest_stream(spark, landing, entity, f"{out}/raw", f"{out}/history",
                       f"{out}/checkpoint")
     q.awaitTermination()
     return out
 
 
+def _staged_employees(spark, sf_dir):
+    from attrix.sources.landing import api_records, stage
+    base = scratch_path(spark, "landing")
+    stage(api_records(A.hr_inputs(spark, sf_dir)[0], "employees"), "employees", STAGE_RUN_DATE,
+          base, written_at=STAGE_WRITTEN_AT)
+    return base
+
+
+def q_ingest_employees(spark, sf_dir):
+    """Employee snapshots: landing → raw through the file stream."""
+    from attrix.streaming.ingest import read_raw
+    out = _ingested(spark, sf_dir, "employees")
+    return read_raw(spark, f"{out}/raw", "employees").drop("_loaded_at")
+
+
+def q_recent_loads(spark, sf_dir):
+    """Files loaded in the last 24 hours (as of now): file and row totals per status."""
+    import datetime as _dt
+    from attrix.streaming.ingest import read_history, recent_loads
+    h = read_history(spark, f"{_ingested(spark, sf_dir)}/history")
+    now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None) + _dt.timedelta(minutes=5)
+    return (recent_loads(h, now, 24).groupBy("status")
+            .agg(F.sum("row_count").alias("row_count")))
+
+
 def q_ingest_stream(spark, sf_dir):
     """Landing files → raw table through an availableNow file stream."""
     from attrix.streaming.ingest import read_raw
@@ -334,6 +359,8 @@ QUERIES: dict[str, Query] = {
     "stage_parquet": q_stage_parquet,
     "ingest_stream": q_ingest_stream,
     "load_history": q_load_history,
+    "ingest_employees": q_ingest_employees,
+    "recent_loads": q_recent_loads,
     "read_report_json": q_read_report_json,
     "nightly_run": q_nightly_run,
 }

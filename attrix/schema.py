@@ -100,6 +100,9 @@ SURROGATE_NULL = "_dbt_utils_surrogate_key_null_"
 RUN_STATUSES = ["SUCCESS", "FAILED"]
 RUN_ENTITIES = ["employees", "terminations", "pipeline"]
 PAGE_SIZE = 500
+# Raw-table clustering columns (common filters): rows are sorted on them before writing
+RAW_CLUSTER = {"employees": ["_pipeline_run_date", "employment_status"],
+               "terminations": ["termination_date", "termination_type"]}
 MAX_EXPECTED_TURNOVER_RATE = 150
 STALE_AFTER_HOURS = 25
 FRESHNESS_WARN_HOURS, FRESHNESS_ERROR_HOURS = 25, 48

@@ -1,14 +1,20 @@
 """Incremental ingest of landing files into the raw tables (Structured Streaming).
 
-A file-source stream per entity picks up new Parquet files under
-``<landing>/<entity>/`` (suffix filter ``*.parquet``); each micro-batch is cast
-to the raw types, stamped with ``_loaded_at`` and written, together with one
-load-history row per file, by ``foreachBatch``.
-
-Exactly-once per file comes from the checkpointed file log; exactly-once per
-row from writing each micro-batch into its own ``_batch_id=N`` partition with
-dynamic overwrite, so a batch replayed after a failure replaces its own
-output instead of appending twice.
+The stream tracks landing *files*: a ``binaryFile`` source over
+``<landing>/<entity>/`` (suffix filter ``*.parquet``, content never read) hands
+each micro-batch the paths and sizes of newly arrived files. ``write_batch``
+reads them with the declared schema, casts to the raw types, stamps
+``_loaded_at`` and writes the rows plus one load-history row per file.
+
+* Exactly once per file: the stream's checkpointed file log.
+* Exactly once per row: each micro-batch writes its own ``_batch_id=N``
+  partition with dynamic overwrite, so a replayed batch replaces its output.
+* Foreign files: if the batch cannot be read with the declared schema (a page
+  whose all-null column was written with another physical type), files are
+  checked one by one: compatible footers are read with the declared schema,
+  others with their own schema and cast column by column; a file that cannot
+  be read at all is recorded as ``LOAD_FAILED`` with its error, and the rest of
+  the batch still loads. Rows are never dropped silently.
 """
 
 from __future__ import annotations
@@ -17,45 +23,59 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from attrix.functions.dates import as_timestamp
-from attrix.schema import LANDING, LOAD_HISTORY, RAW
+from attrix.schema import LANDING, LOAD_HISTORY, RAW, RAW_CLUSTER
 
 BATCH_COL = "_batch_id"
+_BINARY = "path string, modificationTime timestamp, length long, content binary"
 
 
-def landing_stream(spark: SparkSession, landing_base: str, entity: str,
-                   max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming frame over one entity's landing files (declared schema, no inference)."""
-    r = (spark.readStream.schema(LANDING[entity])
-              .option("pathGlobFilter", "*.parquet")
-              .option("recursiveFileLookup", "true"))
+def landing_files(spark: SparkSession, landing_base: str, entity: str,
+                  max_files_per_trigger: int | None = None) -> DataFrame:
+    """Stream of newly arrived landing files ``(path, length)`` for one entity."""
+    r = (spark.readStream.format("binaryFile").schema(_BINARY)
+              .option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true"))
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    return r.parquet(f"{landing_base.rstrip('/')}/{entity}").select(
-        "*", F.col("_metadata.file_path").alias("_file_path"),
-        F.col("_metadata.file_size").alias("_file_size"))
+    return r.load(f"{landing_base.rstrip('/')}/{entity}").select("path", "length")
 
 
-def write_batch(batch: DataFrame, batch_id: int, entity: str, raw_path: str,
-                history_path: str) -> None:
-    """Cast, stamp and write one micro-batch plus its per-file load history (idempotent)."""
+def _declared(spark, paths, entity) -> DataFrame:
+    return (spark.read.schema(LANDING[entity]).parquet(*paths)
+                 .withColumn("_file_path", F.col("_metadata.file_path")))
+
+
+def _own_schema(spark, path, entity) -> DataFrame:
+    """One foreign file read with its own footer schema, cast to the declared landing types."""
+    df = spark.read.parquet(path)
+    cols = []
+    for f in LANDING[entity].fields:
+        if f.name in df.columns:
+            cols.append(F.col(f.name).try_cast(f.dataType).alias(f.name))
+        else:
+            cols.append(F.lit(None).cast(f.dataType).alias(f.name))
+    return df.select(*cols, F.col("_metadata.file_path").alias("_file_path"))
+
+
+def _compatible(schema, entity) -> bool:
+    have = {f.name: f.dataType for f in schema.fields}
+    return all(have.get(f.name, f.dataType) == f.dataType for f in LANDING[entity].fields)
+
+
+def _to_raw_with_losses(landing: DataFrame, entity: str) -> DataFrame:
+    """Raw-typed columns plus ``_lost``: values that were non-null before the cast and null after."""
     loaded_at = F.localtimestamp()
-    cols = [f.name for f in RAW[entity].fields]
-    both = batch.select(
-        "_file_path", "_file_size",
-        *[F.col(c).alias(f"_in_{c}") for c in [f.name for f in LANDING[entity].fields]])
-    raw_cols = []
-    lost = []
+    raw_cols, lost = [], []
+    types = dict(landing.dtypes)
     for f in RAW[entity].fields:
-        src = f"_in_{f.name}"
         if f.name == "_loaded_at":
             raw_cols.append(loaded_at.alias("_loaded_at"))
             continue
-        if src not in both.columns:
+        if f.name not in types:
             raw_cols.append(F.lit(None).cast(f.dataType).alias(f.name))
             continue
-        c = F.col(src)
-        if f.dataType.typeName() == "timestamp_ntz" and dict(both.dtypes)[src] == "string":
-            v = c.try_cast("timestamp").cast("timestamp_ntz")
+        c = F.col(f.name)
+        if f.dataType.typeName() == "timestamp_ntz" and types[f.name] == "string":
+            v = c.try_cast("timestamp").cast("timestamp_ntz")   # ISO strings with offsets
         else:
             v = c.try_cast(f.dataType)
         raw_cols.append(v.alias(f.name))
@@ -63,39 +83,95 @@ def write_batch(batch: DataFrame, batch_id: int, entity: str, raw_path: str,
     lost_expr = lost[0]
     for x in lost[1:]:
         lost_expr = lost_expr + x
-    out = both.select("_file_path", "_file_size", *raw_cols, lost_expr.alias("_lost"))
+    return landing.select("_file_path", *raw_cols, lost_expr.alias("_lost"))
+
+
+def _write(out: DataFrame, sizes: dict, failed: list, entity: str, batch_id: int,
+           raw_path: str, history_path: str) -> None:
+    spark = out.sparkSession
     out = out.persist()
     try:
+        cols = [f.name for f in RAW[entity].fields]
+        # clustered: sorted on the common filter columns so row-group min/max prune scans
         (out.select(*cols).withColumn(BATCH_COL, F.lit(batch_id).cast("bigint"))
+            .sortWithinPartitions(*RAW_CLUSTER[entity])
             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
             .partitionBy(BATCH_COL).parquet(raw_path))
-        hist = (out.groupBy("_file_path", "_file_size")
-                   .agg(F.count(F.lit(1)).alias("row_parsed"),
-                        F.count_if(F.col("_lost") == 0).alias("row_count"),
-                        F.sum("_lost").alias("_lost_values"),
-                        F.max("_loaded_at").alias("last_load_time"))
-                   .select(F.col("_file_path").alias("file_name"),
-                           F.col("_file_size").cast("bigint").alias("file_size"),
-                           "row_count", "row_parsed",
-                           F.when(F.col("_lost_values") > 0,
-                                  F.concat(F.lit("values lost in cast: "), F.col("_lost_values")))
-                            .alias("first_error_message"),
-                           F.when(F.col("_lost_values") > 0, F.lit("PARTIALLY_LOADED"))
-                            .otherwise(F.lit("LOADED")).alias("status"),
-                           "last_load_time",
-                           F.lit(batch_id).cast("bigint").alias(BATCH_COL)))
-        (hist.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy(BATCH_COL).parquet(history_path))
+        size_df = spark.createDataFrame(list(sizes.items()), "_file_path string, file_size long")
+        loaded = (out.groupBy("_file_path")
+                     .agg(F.count(F.lit(1)).alias("row_parsed"),
+                          F.count_if(F.col("_lost") == 0).alias("row_count"),
+                          F.sum("_lost").alias("_lost_values"),
+                          F.max("_loaded_at").alias("last_load_time"))
+                     .join(size_df, "_file_path", "left")
+                     .select(F.col("_file_path").alias("file_name"), "file_size",
+                             "row_count", "row_parsed",
+                             F.when(F.col("_lost_values") > 0,
+                                    F.concat(F.lit("values lost in cast: "), F.col("_lost_values")))
+                              .alias("first_error_message"),
+                             F.when(F.col("_lost_values") > 0, F.lit("PARTIALLY_LOADED"))
+                              .otherwise(F.lit("LOADED")).alias("status"),
+                             "last_load_time"))
+        if failed:
+            bad = spark.createDataFrame(
+                [(p, sizes.get(p), 0, 0, err[:1000], "LOAD_FAILED") for p, err in failed],
+                "file_name string, file_size long, row_count long, row_parsed long, "
+                "first_error_message string, status string"
+            ).withColumn("last_load_time", F.localtimestamp())
+            loaded = loaded.unionByName(bad)
+        (loaded.withColumn(BATCH_COL, F.lit(batch_id).cast("bigint"))
+               .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+               .partitionBy(BATCH_COL).parquet(history_path))
     finally:
         out.unpersist()
 
 
+def write_batch(files: DataFrame, batch_id: int, entity: str, raw_path: str,
+                history_path: str) -> None:
+    """Load one micro-batch of landing files (idempotent per ``batch_id``)."""
+    spark = files.sparkSession
+    # file metadata only: at most maxFilesPerTrigger (path, size) pairs
+    sizes = {r["path"]: r["length"] for r in files.collect()}
+    if not sizes:
+        return
+    paths = sorted(sizes)
+    try:
+        _write(_to_raw_with_losses(_declared(spark, paths, entity), entity), sizes, [], entity,
+               batch_id, raw_path, history_path)
+        return
+    except Exception:
+        pass  # some footer disagrees with the declared schema: sort the files out one by one
+    good, frames, failed = [], [], []
+    for p in paths:
+        try:
+            schema = spark.read.parquet(p).schema
+        except Exception as exc:
+            failed.append((p, str(exc).splitlines()[0] if str(exc) else repr(exc)))
+            continue
+        if _compatible(schema, entity):
+            good.append(p)
+        else:
+            frames.append(_own_schema(spark, p, entity))
+    if good:
+        frames.insert(0, _declared(spark, good, entity))
+    if frames:
+        landing = frames[0]
+        for f in frames[1:]:
+            landing = landing.unionByName(f)
+    else:
+        landing = spark.createDataFrame([], LANDING[entity]).withColumn(
+            "_file_path", F.lit(None).cast("string"))
+    _write(_to_raw_with_losses(landing, entity), sizes, failed, entity, batch_id, raw_path,
+           history_path)
+
+
 def ingest_stream(spark: SparkSession, landing_base: str, entity: str, raw_path: str,
                   history_path: str, checkpoint: str, available_now: bool = True,
                   processing_time: str | None = None,
                   max_files_per_trigger: int | None = None) -> StreamingQuery:
-    """Start the ingest stream; ``available_now`` drains what is there and stops (nightly)."""
-    w = (landing_stream(spark, landing_base, entity, max_files_per_trigger).writeStream
+    """Start the ingest stream; ``available_now`` drains what is there and stops (nightly),
+    otherwise it polls every ``processing_time`` (continuous)."""
+    w = (landing_files(spark, landing_base, entity, max_files_per_trigger).writeStream
          .foreachBatch(lambda b, i: write_batch(b, i, entity, raw_path, history_path))
          .option("checkpointLocation", checkpoint)
          .queryName(f"ingest_{entity}"))

@@ -80,3 +80,31 @@ def test_all_null_column_page_is_typed(spark, tmp_path):
     L.stage(api_emps(spark, 3), "employees", "2024-07-01", base)
     df = L.read_landing(spark, base, "employees")
     assert dict(df.dtypes)["manager_id"] == "string" and df.where("manager_id is null").count() == 3
+
+
+def test_foreign_files_load_or_fail_per_file(spark, tmp_path):
+    """A page whose all-null column has another physical type still loads; garbage is LOAD_FAILED."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    base, out = tmp_path / "landing", str(tmp_path / "out")
+    L.stage(api_emps(spark, 5), "employees", "2024-07-01", str(base))
+    day = base / "employees" / "year=2024" / "month=07" / "day=02"
+    day.mkdir(parents=True)
+    cols = {f.name: [None] * 2 for f in API_EMPLOYEE.fields}
+    cols["employee_id"] = ["EMP-X1", "EMP-X2"]
+    cols["hire_date"] = [dt.date(2020, 1, 1), dt.date(2020, 2, 1)]
+    tbl = pa.table({**cols, "manager_id": pa.array([None, None], pa.int32()),
+                    "_pipeline_entity": ["employees"] * 2,
+                    "_pipeline_run_date": [dt.date(2024, 7, 2)] * 2,
+                    "_pipeline_page_num": pa.array([0, 0], pa.int64()),
+                    "_pipeline_written_at": [dt.datetime(2024, 7, 2, 2)] * 2})
+    pq.write_table(tbl, day / "foreign_p000.parquet")
+    (day / "broken_p001.parquet").write_bytes(b"not a parquet file at all")
+    I.ingest_stream(spark, str(base), "employees", f"{out}/raw", f"{out}/hist", f"{out}/ckpt").awaitTermination()
+    raw = I.read_raw(spark, f"{out}/raw", "employees")
+    assert raw.count() == 7
+    assert raw.where("employee_id = 'EMP-X1'").first().hire_date == dt.date(2020, 1, 1)
+    hist = {r.file_name.rsplit("/", 1)[-1]: r for r in I.read_history(spark, f"{out}/hist").collect()}
+    assert hist["broken_p001.parquet"].status == "LOAD_FAILED"
+    assert hist["foreign_p000.parquet"].row_count == 2
+    assert I.load_failures(I.read_history(spark, f"{out}/hist"), dt.datetime.now()).count() == 1
