@@ -6,16 +6,29 @@ from pyspark.sql import DataFrame, functions as F
 
 from attrix.functions import (as_date, clean, clean_lower, clean_upper, days_between,
                               flag, month_start, surrogate_key)
-from attrix.operators.dedup import latest_per_key
+from attrix.operators.dedup import latest_per_key, refresh_latest
+from attrix.schema import NATURAL_KEY
 
-# Tie-breaks after the primary ordering: the later write, then the later page.
-_EMP_ORDER = ["_pipeline_run_date", "_pipeline_written_at", "_pipeline_page_num", "_loaded_at"]
-_TERM_ORDER = ["_pipeline_written_at", "_pipeline_run_date", "_pipeline_page_num", "_loaded_at"]
+# Primary ordering (latest snapshot by run date / latest load by write time), then
+# tie-breaks: the later write or run, the later page, the later load.
+ORDER = {
+    "employees": ["_pipeline_run_date", "_pipeline_written_at", "_pipeline_page_num", "_loaded_at"],
+    "terminations": ["_pipeline_written_at", "_pipeline_run_date", "_pipeline_page_num", "_loaded_at"],
+}
 
 
-def stage_employees(raw: DataFrame, as_of) -> DataFrame:
+def latest_raw(raw: DataFrame, entity: str, previous: DataFrame | None = None) -> DataFrame:
+    """Latest raw row per natural key; with ``previous`` (an earlier result of this
+    function) only the new rows are merged in — the nightly incremental path."""
+    keys = [NATURAL_KEY[entity]]
+    if previous is not None:
+        return refresh_latest(previous, raw, keys, ORDER[entity])
+    return latest_per_key(raw, keys, ORDER[entity])
+
+
+def stage_employees(raw: DataFrame, as_of, deduplicated: bool = False) -> DataFrame:
     """Latest snapshot per employee (by run date), cleaned, with key and tenure as of ``as_of``."""
-    d = latest_per_key(raw, ["employee_id"], _EMP_ORDER)
+    d = raw if deduplicated else latest_raw(raw, "employees")
     status = clean_upper("employment_status")
     return d.select(
         surrogate_key("employee_id").alias("employee_key"),
@@ -39,9 +52,9 @@ def stage_employees(raw: DataFrame, as_of) -> DataFrame:
     )
 
 
-def stage_terminations(raw: DataFrame) -> DataFrame:
+def stage_terminations(raw: DataFrame, deduplicated: bool = False) -> DataFrame:
     """Latest-loaded row per termination, cleaned, with keys and calendar fields."""
-    d = latest_per_key(raw, ["termination_id"], _TERM_ORDER)
+    d = raw if deduplicated else latest_raw(raw, "terminations")
     ttype = clean_upper("termination_type")
     return d.select(
         surrogate_key("termination_id").alias("termination_key"),

@@ -119,10 +119,12 @@ def read_landing(spark: SparkSession, base_path: str, entity: str, start=None,
     df = (spark.read.schema(LANDING[entity]).option("pathGlobFilter", "*.parquet")
                .option("basePath", f"{base_path.rstrip('/')}/{entity}")
                .parquet(f"{base_path.rstrip('/')}/{entity}"))
+    # the directory date (year=/month=/day=) prunes partitions before any file is opened
+    part_day = F.make_date(F.col("year"), F.col("month"), F.col("day"))
     if start is not None:
-        df = df.where(F.col("_pipeline_run_date") >= as_date(start))
+        df = df.where((part_day >= as_date(start)) & (F.col("_pipeline_run_date") >= as_date(start)))
     if end is not None:
-        df = df.where(F.col("_pipeline_run_date") <= as_date(end))
+        df = df.where((part_day <= as_date(end)) & (F.col("_pipeline_run_date") <= as_date(end)))
     return df.select(*[f.name for f in LANDING[entity].fields])
 
 

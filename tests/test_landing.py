@@ -108,3 +108,13 @@ def test_foreign_files_load_or_fail_per_file(spark, tmp_path):
     assert hist["broken_p001.parquet"].status == "LOAD_FAILED"
     assert hist["foreign_p000.parquet"].row_count == 2
     assert I.load_failures(I.read_history(spark, f"{out}/hist"), dt.datetime.now()).count() == 1
+
+
+def test_landing_date_window_prunes_partitions(spark, tmp_path):
+    base = str(tmp_path / "p")
+    for d in ["2024-07-01", "2024-07-02", "2024-08-01"]:
+        L.stage(api_emps(spark, 10), "employees", d, base)
+    df = L.read_landing(spark, base, "employees", "2024-07-02", "2024-07-31")
+    assert df.count() == 10
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(year" in plan or "make_date" in plan
