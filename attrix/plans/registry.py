@@ -322,6 +322,33 @@ def q_nightly_run(spark, sf_dir):
                                                       "records_staged")
 
 
+def q_nightly_turnover(spark, sf_dir):
+    """End to end: two nightly runs stage report records, file streams load raw,
+    the models are built with the marts written as tables, and the mart is read."""
+    from attrix.plans.nightly import run_ingest
+    from attrix.sources.landing import api_records
+    from attrix.streaming.ingest import ingest_stream, read_raw
+    orders = A.table(spark, sf_dir, "orders")
+    first, later = A.employee_snapshots(orders)
+    term = api_records(A.raw_terminations(orders, A.table(spark, sf_dir, "lineitem")), "terminations")
+    base = scratch_path(spark, "nightly")
+    land, runs = f"{base}/landing", f"{base}/runs"
+    run_ingest(spark, api_records(first, "employees"), term, land, runs,
+               run_date=NIGHT_1, full_load=True)
+    run_ingest(spark, api_records(later, "employees"), term, land, runs, run_date=NIGHT_2)
+    raw = {}
+    for entity in ("employees", "terminations"):
+        ingest_stream(spark, land, entity, f"{base}/raw/{entity}", f"{base}/history/{entity}",
+                      f"{base}/checkpoint/{entity}").awaitTermination()
+        raw[entity] = read_raw(spark, f"{base}/raw/{entity}", entity)
+    models = build(raw["employees"], raw["terminations"], A.ORDERS_AS_OF, A.ORDERS_SPINE_START,
+                   materialize=written(spark, f"{base}/marts"))
+    return models["turnover"]
+
+
+NIGHT_1, NIGHT_2 = "2001-11-05", "2001-11-06"
+
+
 QUERIES: dict[str, Query] = {
     "stage_employees": q_stage_employees,
     "stage_terminations": q_stage_terminations,
@@ -363,4 +390,5 @@ QUERIES: dict[str, Query] = {
     "recent_loads": q_recent_loads,
     "read_report_json": q_read_report_json,
     "nightly_run": q_nightly_run,
+    "nightly_turnover": q_nightly_turnover,
 }

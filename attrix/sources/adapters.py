@@ -54,6 +54,12 @@ def _employee_attrs(o: DataFrame) -> list:
 
 
 def raw_employees(orders: DataFrame, as_of: str = ORDERS_AS_OF) -> DataFrame:
+    first, later = employee_snapshots(orders, as_of)
+    return first.unionByName(later)
+
+
+def employee_snapshots(orders: DataFrame, as_of: str = ORDERS_AS_OF):
+    """(first snapshot: everyone active, later snapshot: finished orders terminated)."""
     o = orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
                       "o_orderdate", "o_orderpriority")
 
@@ -74,7 +80,7 @@ def raw_employees(orders: DataFrame, as_of: str = ORDERS_AS_OF) -> DataFrame:
 
     first = snapshot(o, F.lit("Active"), F.date_add(F.col("o_orderdate").cast("date"), 1))
     later = snapshot(o.where(F.col("o_orderstatus") == "F"), F.lit("Terminated"), as_date(as_of))
-    return first.unionByName(later)
+    return first, later
 
 
 def raw_terminations(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
