@@ -31,6 +31,21 @@ def checkpointed(spark: SparkSession) -> Materializer:
     return lambda name, df: df.checkpoint(eager=True)
 
 
+def cached(spark: SparkSession) -> Materializer:
+    """Columnar cache in executor memory, spilling to disk (``MEMORY_AND_DISK``).
+
+    For short-lived reuse inside one job (a quality suite over the models): no
+    file commit, and a lost executor's partitions are recomputed from lineage.
+    """
+    from pyspark import StorageLevel
+
+    def m(name: str, df: DataFrame) -> DataFrame:
+        out = df.persist(StorageLevel.MEMORY_AND_DISK)
+        out.count()
+        return out
+    return m
+
+
 def written(spark: SparkSession, base: str, fmt: str = "parquet") -> Materializer:
     """Overwrite ``base/<name>`` and read it back: the model becomes a table."""
     def m(name: str, df: DataFrame) -> DataFrame:

@@ -32,6 +32,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+
 def _ts_of_date(d, hours: int):
     return F.timestamp_add("HOUR", F.lit(hours), d.cast("timestamp_ntz"))
 

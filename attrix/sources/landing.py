@@ -53,7 +53,9 @@ def with_page_numbers(df: DataFrame, order: Sequence[str], page_size: int = PAGE
     """
     keys = list(order) + [c for c in df.columns if c not in order]
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    # range bounds on the order columns only (equal values share a partition), the full
+    # total order inside each partition
+    ranged = (df.repartitionByRange(n, *order).sortWithinPartitions(*keys)
                 .withColumn(_PID, F.spark_partition_id())
                 .withColumn(_MID, F.monotonically_increasing_id()))
     counts = ranged.groupBy(_PID).agg(F.count(F.lit(1)).alias("_n"))
@@ -81,11 +83,15 @@ def with_lineage(df: DataFrame, entity: str, run_date, written_at=None,
 
 
 def stage(df: DataFrame, entity: str, run_date, base_path: str, written_at=None,
-          page_size: int = PAGE_SIZE) -> dict:
+          page_size: int = PAGE_SIZE, records_per_file: int | None = None) -> dict:
     """Append API records of one run as landing Parquet; returns the run summary.
 
-    Files go to ``<base>/<entity>/year=YYYY/month=MM/day=DD/``, at most
-    ``page_size`` records each (bounded files, as the API's bounded pages).
+    Files go to ``<base>/<entity>/year=YYYY/month=MM/day=DD/``. Every record
+    carries its page number (pages of ``page_size`` in natural-key order), and
+    pages are contiguous inside files. File size is a separate knob: by default
+    one file per write task, because files of a few hundred records — a memory
+    bound for a single-process extractor — would mean millions of tiny files at
+    scale; ``records_per_file`` caps rows per file when a consumer needs it.
     Row and page totals come from an ``Observation`` on the write itself, so
     the input is scanned once; an empty input writes no data files.
     """
@@ -102,9 +108,10 @@ def stage(df: DataFrame, entity: str, run_date, base_path: str, written_at=None,
                   .withColumn("day", F.lit(f"{run_date.day:02d}"))
                   .sortWithinPartitions("_pipeline_page_num"))
     root = f"{base_path.rstrip('/')}/{entity}"
-    (part.write.mode("append").option("compression", "snappy")
-         .option("maxRecordsPerFile", page_size)
-         .partitionBy("year", "month", "day").parquet(root))
+    w = part.write.mode("append").option("compression", "snappy")
+    if records_per_file:
+        w = w.option("maxRecordsPerFile", records_per_file)
+    w.partitionBy("year", "month", "day").parquet(root)
     m = obs.get
     rows = int(m.get("rows") or 0)
     pages = 0 if rows == 0 else int(m["max_page"]) + 1

@@ -17,7 +17,7 @@ def api_emps(spark, n, start=0):
 def test_pages_of_500(spark, tmp_path):
     for n, pages in [(500, 1), (501, 2), (1000, 2), (1001, 3)]:
         base = str(tmp_path / f"l{n}")
-        s = L.stage(api_emps(spark, n), "employees", "2024-07-01", base)
+        s = L.stage(api_emps(spark, n), "employees", "2024-07-01", base, records_per_file=500)
         assert (s["records"], s["pages"]) == (n, pages)
         df = L.read_landing(spark, base, "employees")
         counts = {r["_pipeline_page_num"]: r["count"] for r in df.groupBy("_pipeline_page_num").count().collect()}
