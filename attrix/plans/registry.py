@@ -63,6 +63,13 @@ def q_monthly_headcount(spark, sf_dir):
     return monthly_headcount(lifecycle(dim, fct), A.ORDERS_SPINE_START, A.ORDERS_AS_OF)
 
 
+def q_headcount_orders(spark, sf_dir):
+    """End-of-month headcount over orders read directly as lifecycles (headcount alone)."""
+    ensure_conf(spark)
+    life = A.order_lifecycles(A.table(spark, sf_dir, "orders"))
+    return monthly_headcount(life, A.ORDERS_SPINE_START, A.ORDERS_AS_OF)
+
+
 def q_monthly_exits(spark, sf_dir):
     return monthly_exits(_hr(spark, sf_dir)[3])
 
@@ -357,6 +364,7 @@ QUERIES: dict[str, Query] = {
     "lifecycle": q_lifecycle,
     "monthly_headcount": q_monthly_headcount,
     "monthly_exits": q_monthly_exits,
+    "headcount_orders": q_headcount_orders,
     "monthly_combined": q_monthly_combined,
     "rolling_turnover": q_rolling_turnover,
     "latest_per_key": q_latest_per_key,

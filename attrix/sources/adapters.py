@@ -138,3 +138,16 @@ def hr_inputs(spark: SparkSession, sf_dir: str):
     orders = table(spark, sf_dir, "orders")
     lineitem = table(spark, sf_dir, "lineitem")
     return raw_employees(orders), raw_terminations(orders, lineitem)
+
+
+def order_lifecycles(orders: DataFrame) -> DataFrame:
+    """Orders read directly as lifecycles (no staging): start = order date, finished
+    orders end a price-derived number of days later; state = order priority."""
+    start = F.col("o_orderdate").cast("date")
+    return orders.select(
+        F.col("o_orderkey").alias("employee_key"),
+        F.col("o_orderpriority").alias("location_state"),
+        start.alias("hire_date"),
+        F.when(F.col("o_orderstatus") == "F",
+               F.date_add(start, F.floor(F.col("o_totalprice") / 1000).cast("int")))
+         .alias("termination_date"))

@@ -15,7 +15,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-HEADLINE = ["rolling_turnover", "monthly_headcount", "stage_employees", "stage_terminations",
+HEADLINE = ["rolling_turnover", "monthly_headcount", "headcount_orders", "stage_employees", "stage_terminations",
             "fct_terminations", "latest_per_key", "dq_suite", "stage_parquet", "ingest_stream",
             "run_history"]
 
