@@ -43,13 +43,21 @@ def coerce_dates(df: DataFrame, cols: Sequence[str] = DATE_COLUMNS) -> DataFrame
 
 def with_page_numbers(df: DataFrame, order: Sequence[str], page_size: int = PAGE_SIZE,
                       out: str = "_pipeline_page_num", partitions: int | None = None) -> DataFrame:
-    """Zero-based page number = floor(rank / page_size) under ``order`` (made total).
+    """Zero-based page number = floor(rank / page_size) under ``order`` (made total)."""
+    idx = "__attrix_idx"
+    return (with_row_index(df, order, idx, partitions)
+            .withColumn(out, F.floor(F.col(idx) / page_size).cast("bigint")).drop(idx))
 
-    Distributed global rank without a single-partition window: range-partition
-    and sort by the order, count rows per partition (one row per partition),
-    turn the counts into offsets, and add each row's position inside its
-    partition. The offset table is bounded by the partition count, so it is
-    broadcast safely.
+
+def with_row_index(df: DataFrame, order: Sequence[str], out: str = "row_index",
+                   partitions: int | None = None) -> DataFrame:
+    """Zero-based contiguous rank under ``order`` (made total by the remaining columns).
+
+    Distributed, without a single-partition window: range-partition on the
+    order columns and sort by the total order, count rows per partition (one
+    row per partition), turn the counts into offsets, and add each row's
+    position inside its partition. The offset table is bounded by the
+    partition count, so it is broadcast safely.
     """
     keys = list(order) + [c for c in df.columns if c not in order]
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -63,7 +71,7 @@ def with_page_numbers(df: DataFrame, order: Sequence[str], page_size: int = PAGE
         _PID, (F.sum("_n").over(_whole_ordered(_PID)) - F.col("_n")).alias("_off"))
     local = F.col(_MID) - F.shiftleft(F.col(_PID).cast("bigint"), 33)
     return (ranged.join(F.broadcast(offsets), _PID)
-                  .withColumn(out, F.floor((F.col("_off") + local) / page_size).cast("bigint"))
+                  .withColumn(out, (F.col("_off") + local).cast("bigint"))
                   .drop(_PID, _MID, "_off"))
 
 

@@ -78,3 +78,12 @@ def test_page_limit_zero_means_all(spark):
     df = spark.range(10).withColumnRenamed("id", "k")
     assert FL.page(df, ["k"], limit=0, offset=0).count() == 10
     assert [r.k for r in FL.page(df, ["k"], limit=3, offset=4).collect()] == [4, 5, 6]
+
+
+def test_deep_page_uses_distributed_rank(spark, monkeypatch):
+    df = spark.range(1000).selectExpr("id AS k", "id % 7 AS g").repartition(5)
+    small = [r.k for r in FL.page(df, ["k"], limit=10, offset=20).collect()]
+    monkeypatch.setattr(FL, "TOP_K_BOUND", 5)
+    deep = [r.k for r in FL.page(df, ["k"], limit=10, offset=20).collect()]
+    assert small == deep == list(range(20, 30))
+    assert [r.k for r in FL.page(df, ["k"], offset=990).collect()] == list(range(990, 1000))
