@@ -44,12 +44,16 @@ def month_spine(spark: SparkSession, start, end_exclusive) -> DataFrame:
 
 def monthly_headcount(life: DataFrame, spine_start, end_exclusive,
                       group: str = "location_state", key: str = "employee_key",
-                      start: str = "hire_date", end: str = "termination_date") -> DataFrame:
+                      start: str = "hire_date", end: str = "termination_date",
+                      dense: bool = False) -> DataFrame:
     """End-of-month headcount per ``group`` over the month spine.
 
     Output ``(month_start, month_end, <group>, headcount)``; like the grouped
     count it reproduces, a (month, group) row exists only when at least one row
     is active, and ``headcount`` counts non-null keys. A null group is a group.
+    ``dense=True`` keeps months with zero headcount after a group's first
+    active month, so exits in a month that empties a group are still counted
+    and trailing windows span calendar months.
     """
     first, last = _spine_bounds(spine_start, end_exclusive)
     # first counted month (greatest() would skip a null hire date: keep it null)
@@ -75,8 +79,8 @@ def monthly_headcount(life: DataFrame, spine_start, end_exclusive,
     sparse = deltas.select(
         "g", "m", F.sum("dn").over(run).alias("n"), F.sum("dk").over(run).alias("hc"),
         F.coalesce(F.add_months(F.lead("m").over(w), -1), last).alias("until"))
-    return (sparse.where(F.col("n") > 0)
-                  .select("g", "hc", F.explode(F.sequence(F.col("m"), F.col("until"), _month()))
+    kept = sparse if dense else sparse.where(F.col("n") > 0)
+    return (kept.select("g", "hc", F.explode(F.sequence(F.col("m"), F.col("until"), _month()))
                           .alias("m"))
                   .select(F.col("m").alias("month_start"), F.last_day("m").alias("month_end"),
                           F.col("g").alias(group), F.col("hc").alias("headcount")))

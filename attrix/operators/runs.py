@@ -86,13 +86,17 @@ def daily_volume(runs: DataFrame, entity: str = "terminations",
 
 
 def resolve_window(runs: DataFrame, as_of, start=None, end=None, full_load: bool = False,
-                   entity: str = "terminations", fallback_days: int = 30) -> DataFrame:
+                   entity: str = "terminations", fallback_days: int = 30,
+                   lookback_days: int = 0) -> DataFrame:
     """The incremental window as one row ``(start_date, end_date, source, is_empty)``.
 
     start: explicit override → none when ``full_load`` → day after the last
     successful run → ``fallback_days`` before ``as_of``. end: override or
     ``as_of``. A window whose start is after its end is flagged ``is_empty``
     (a second run on the same day extracts nothing instead of failing).
+    ``lookback_days`` re-reads that many days before the derived start, so an
+    exit entered after its own date is still picked up (re-read records are
+    removed again by de-duplication in staging).
     """
     day = as_date(_day(as_of))
     end_c = as_date(end) if end is not None else day
@@ -103,7 +107,7 @@ def resolve_window(runs: DataFrame, as_of, start=None, end=None, full_load: bool
         s, src = F.lit(None).cast("date"), F.lit("full_load")
     else:
         lr = F.col("last_run_date")
-        s = F.coalesce(F.date_add(lr, 1), F.date_sub(day, fallback_days))
+        s = F.coalesce(F.date_add(lr, 1 - lookback_days), F.date_sub(day, fallback_days))
         src = F.when(lr.isNotNull(), F.lit("last_success")).otherwise(F.lit("fallback"))
     return last.select(s.alias("start_date"), end_c.alias("end_date"), src.alias("source"),
                        F.coalesce(s > end_c, F.lit(False)).alias("is_empty"))

@@ -58,13 +58,14 @@ def written(spark: SparkSession, base: str, fmt: str = "parquet") -> Materialize
 def build(raw_employees: DataFrame, raw_terminations: DataFrame, as_of,
           spine_start=SPINE_START, months: int = ROLLING_MONTHS,
           materialize: Materializer = lazy, materialize_staging: bool = False,
-          group: str = "location_state") -> dict[str, DataFrame]:
+          group: str = "location_state", dense: bool = False) -> dict[str, DataFrame]:
     """All models keyed by name; ``materialize`` stores the marts (and staging if asked)."""
     ms = materialize if materialize_staging else lazy
     stg_e = ms("stg_employees", stage_employees(raw_employees, as_of))
     stg_t = ms("stg_terminations", stage_terminations(raw_terminations))
     dim = materialize("dim_employees", dim_employees(stg_e))
     fct = materialize("fct_terminations", fct_terminations(stg_t, dim))
-    turnover = materialize("turnover", turnover_mart(dim, fct, as_of, spine_start, months, group))
+    turnover = materialize("turnover", turnover_mart(dim, fct, as_of, spine_start, months, group,
+                                                     dense))
     return {"stg_employees": stg_e, "stg_terminations": stg_t, "dim_employees": dim,
             "fct_terminations": fct, "turnover": turnover}

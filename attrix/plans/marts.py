@@ -77,13 +77,14 @@ def fct_terminations(stg_t: DataFrame, dim: DataFrame) -> DataFrame:
 
 
 def turnover_mart(dim: DataFrame, fct: DataFrame, as_of, spine_start=SPINE_START,
-                  months: int = ROLLING_MONTHS, group: str = "location_state") -> DataFrame:
+                  months: int = ROLLING_MONTHS, group: str = "location_state",
+                  dense: bool = False) -> DataFrame:
     """Monthly rolling turnover per group: spine → headcount → exits → rolling rates.
 
     The spine ends before ``as_of``'s month (exclusive end), and rows after that
     month are dropped.
     """
     life = lifecycle(dim, fct)
-    hc = monthly_headcount(life, spine_start, as_date(as_of), group=group)
+    hc = monthly_headcount(life, spine_start, as_date(as_of), group=group, dense=dense)
     monthly = monthly_combined(hc, monthly_exits(fct, group=group), group=group)
     return rolling_turnover(monthly, months=months, group=group, as_of=as_of)

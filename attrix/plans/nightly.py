@@ -25,7 +25,8 @@ def _now() -> _dt.datetime:
 
 def run_ingest(spark: SparkSession, employees: DataFrame, terminations: DataFrame,
                landing_base: str, runs_path: str, run_date=None, start_date=None,
-               end_date=None, full_load: bool = False, as_of=None) -> dict:
+               end_date=None, full_load: bool = False, as_of=None,
+               lookback_days: int = 0) -> dict:
     """Stage all employees and the terminations of the incremental window.
 
     Window: explicit ``start_date`` → none when ``full_load`` → day after the
@@ -40,7 +41,8 @@ def run_ingest(spark: SparkSession, employees: DataFrame, terminations: DataFram
         FL.validate_window(start_date, end_date, as_of)
         if path_exists(spark, runs_path):
             runs = RN.read_runs(spark, runs_path)
-            win = RN.resolve_window(runs, str(run_date), start_date, end_date, full_load).first()
+            win = RN.resolve_window(runs, str(run_date), start_date, end_date, full_load,
+                                    lookback_days=lookback_days).first()
             start, end, empty = win["start_date"], win["end_date"], win["is_empty"]
         else:
             start = (RN.as_py_date(start_date) if start_date else

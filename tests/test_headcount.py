@@ -108,3 +108,15 @@ def test_lifecycle_fans_out_repeat_leavers(spark):
                                 "employee_key string, termination_date date")
     rows = sorted((r["employee_key"], r["termination_date"]) for r in lifecycle(dim, fct).collect())
     assert rows == [("k1", dt.date(2021, 1, 1)), ("k1", dt.date(2022, 1, 1)), ("k2", None)]
+
+
+def test_dense_keeps_zero_months_and_their_exits(spark):
+    life = spark.createDataFrame([("g", "G", dt.date(2024, 1, 5), dt.date(2024, 9, 15))], LIFE)
+    hc = monthly_headcount(life, "2024-01-01", "2025-01-01", dense=True)
+    rows = {r["month_start"]: r["headcount"] for r in hc.collect()}
+    assert rows[dt.date(2024, 8, 1)] == 1 and rows[dt.date(2024, 9, 1)] == 0
+    assert max(rows) == dt.date(2024, 12, 1)
+    fct = spark.createDataFrame([("g", "G", dt.date(2024, 9, 15), True, False)],
+                                "employee_key string, location_state string, termination_date date, "
+                                "is_voluntary boolean, is_regrettable boolean")
+    assert sum(r["total_terminations"] for r in monthly_combined(hc, monthly_exits(fct)).collect()) == 1

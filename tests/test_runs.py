@@ -87,3 +87,10 @@ def test_deep_page_uses_distributed_rank(spark, monkeypatch):
     deep = [r.k for r in FL.page(df, ["k"], limit=10, offset=20).collect()]
     assert small == deep == list(range(20, 30))
     assert [r.k for r in FL.page(df, ["k"], offset=990).collect()] == list(range(990, 1000))
+
+
+def test_lookback_days_reopens_recent_days(spark):
+    d = dt.date
+    r = runs_df(spark, [row("terminations", d(2024, 6, 30))])
+    w = RN.resolve_window(r, "2024-07-01", lookback_days=3).first()
+    assert (w.start_date, w.end_date) == (d(2024, 6, 28), d(2024, 7, 1))
