@@ -132,9 +132,8 @@ def q_lookup(spark, sf_dir):
 
 def q_exits_drill(spark, sf_dir):
     """Dashboard drill-through: one state's exits in one month."""
-    f = _hr(spark, sf_dir)[3]
-    return f.where((F.col("location_state") == "1-URGENT")
-                   & (F.col("termination_month_start") == F.lit("1998-06-01").cast("date")))
+    from attrix.plans.dashboard import exits
+    return exits(_hr(spark, sf_dir)[3], "1-URGENT", "1998-06-01")
 
 
 # -- run log ---------------------------------------------------------------------------

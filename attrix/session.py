@@ -39,6 +39,27 @@ def get_session(master: str = "local[8]", shuffle_partitions: int = 8,
     return spark
 
 
+def scale_conf(input_bytes: int, total_cores: int,
+               target_partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
+    """Sizing for a cluster run: partitions of about ``target_partition_bytes``.
+
+    Shuffle partitions start at input / target, clamped to 2–8 × cores: more
+    reducers would multiply shuffle blocks (maps × reducers) without adding
+    parallelism, and AQE coalesces small partitions and splits skewed ones at
+    runtime. File splits use the same target so scan tasks fit in executor
+    memory without spilling.
+    """
+    parts = min(8 * total_cores, max(2 * total_cores, -(-input_bytes // target_partition_bytes)))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    }
+
+
 def ensure_conf(spark: SparkSession) -> None:
     """Apply the runtime-settable parts of REQUIRED_CONF to an existing session."""
     for k, v in REQUIRED_CONF.items():
