@@ -160,30 +160,88 @@ def _row(name, model, column, severity, failures) -> "F.Column":
                     F.lit(severity).alias("severity"), failures.cast("bigint").alias("failures"))
 
 
+# Checks whose failures are counted as distinct failing values: (check → value column,
+# failing-row condition, extra condition on the group count)
+def _grouped(c: Check, df: DataFrame):
+    col = F.col(c.column)
+    a = c.args
+    if c.test == "unique":
+        return col.cast("string"), col.isNotNull(), "n > 1"
+    if c.test == "accepted_values":
+        return col.cast("string"), col.isNotNull() & ~col.isin(list(a["values"])), None
+    if c.test == "not_in_future":
+        return col.cast("string"), col > as_date(a["as_of"]), None
+    if c.test == "is_between":
+        return (col.cast("string"), col.isNotNull() & ((col < a["min_value"]) | (col > a["max_value"])),
+                None)
+    if c.test == "not_before_column":
+        ref = F.col(a["reference_column"])
+        return (F.concat_ws("|", col.cast("string"), ref.cast("string")),
+                col.isNotNull() & ref.isNotNull() & (col < ref), None)
+    return None
+
+
+def _grouped_counts(df: DataFrame, cks: list[Check]) -> DataFrame:
+    """Failure counts of several grouped checks on one model with one shuffle.
+
+    Each row emits one (check index, value) pair per check it fails (for
+    ``unique``: per non-null value); a partially aggregated count per pair and a
+    count of qualifying pairs per check give every check's failures. The
+    exchange carries at most rows × checks pairs, the same volume as one
+    shuffle per check, in one stage.
+    """
+    pairs, having = [], {}
+    for i, c in enumerate(cks):
+        value, cond, hv = _grouped(c, df)
+        pairs.append(F.when(cond, F.struct(F.lit(i).alias("i"), value.alias("v"))))
+        if hv:
+            having[i] = hv
+    exploded = df.select(F.explode(F.filter(F.array(*pairs), lambda x: x.isNotNull())).alias("p"))
+    grouped = (exploded.groupBy(F.col("p.i").alias("i"), F.col("p.v").alias("v"))
+                       .agg(F.count(F.lit(1)).alias("n")))
+    keep = F.lit(True)
+    for i, hv in having.items():
+        keep = F.when(F.col("i") == i, F.expr(hv)).otherwise(keep)
+    counts = grouped.where(keep).groupBy("i").agg(F.count(F.lit(1)).alias("failures"))
+    # every check gets a row, zero when nothing failed
+    spark = df.sparkSession
+    meta = spark.createDataFrame([(i, c.name, c.model, c.column, c.severity) for i, c in enumerate(cks)],
+                                 "i int, test string, model string, column string, severity string")
+    return (meta.join(F.broadcast(counts), "i", "left")
+                .select("test", "model", "column", "severity",
+                        F.coalesce(F.col("failures"), F.lit(0)).cast("bigint").alias("failures")))
+
+
 def run_suite(checks: Sequence[Check], models: dict[str, DataFrame],
               extra: dict[str, tuple[str, str, DataFrame]] | None = None) -> DataFrame:
     """All checks as one lazy table ``(test, model, column, severity, failures)``.
 
-    ``not_null`` checks on one model share a single aggregate pass (one
-    ``count_if`` per column); every other check is its own small aggregate.
-    Pass materialised models (``checkpoint``/tables): each check re-reads its model.
+    Per model: all ``not_null`` checks share one aggregate pass (``count_if``
+    per column) and all value-grouped checks share one shuffle
+    (``_grouped_counts``); ``relationships`` checks are anti joins.
     ``extra`` maps test name → (model, severity, failing-rows DataFrame).
+    Pass materialised models: each pass re-reads its model.
     """
     parts = []
-    nn: dict[str, list[Check]] = {}
+    by_model: dict[str, dict[str, list[Check]]] = {}
     for c in checks:
-        if c.test == "not_null":
-            nn.setdefault(c.model, []).append(c)
-            continue
-        cnt = failing_rows(c, models).agg(F.count(F.lit(1)).alias("n"))
-        parts.append(cnt.select(F.inline(F.array(_row(c.name, c.model, c.column, c.severity,
-                                                      F.col("n"))))))
-    for model, cks in nn.items():
-        agg = models[model].agg(*[F.count_if(F.col(c.column).isNull()).alias(f"n{i}")
-                                  for i, c in enumerate(cks)])
-        parts.append(agg.select(F.inline(F.array(*[
-            _row(c.name, c.model, c.column, c.severity, F.col(f"n{i}"))
-            for i, c in enumerate(cks)]))))
+        kind = "nn" if c.test == "not_null" else ("rel" if c.test == "relationships" else "grp")
+        by_model.setdefault(c.model, {}).setdefault(kind, []).append(c)
+    for model, kinds in by_model.items():
+        df = models[model]
+        if kinds.get("nn"):
+            cks = kinds["nn"]
+            agg = df.agg(*[F.count_if(F.col(c.column).isNull()).alias(f"n{i}")
+                           for i, c in enumerate(cks)])
+            parts.append(agg.select(F.inline(F.array(*[
+                _row(c.name, c.model, c.column, c.severity, F.col(f"n{i}"))
+                for i, c in enumerate(cks)]))))
+        if kinds.get("grp"):
+            parts.append(_grouped_counts(df, kinds["grp"]))
+        for c in kinds.get("rel", []):
+            cnt = failing_rows(c, models).agg(F.count(F.lit(1)).alias("n"))
+            parts.append(cnt.select(F.inline(F.array(_row(c.name, c.model, c.column, c.severity,
+                                                          F.col("n"))))))
     for name, (model, severity, df) in (extra or {}).items():
         cnt = df.agg(F.count(F.lit(1)).alias("n"))
         parts.append(cnt.select(F.inline(F.array(_row(name, model, None, severity, F.col("n"))))))

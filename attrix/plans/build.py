@@ -61,8 +61,17 @@ def build(raw_employees: DataFrame, raw_terminations: DataFrame, as_of,
           group: str = "location_state", dense: bool = False) -> dict[str, DataFrame]:
     """All models keyed by name; ``materialize`` stores the marts (and staging if asked)."""
     ms = materialize if materialize_staging else lazy
-    stg_e = ms("stg_employees", stage_employees(raw_employees, as_of))
-    stg_t = ms("stg_terminations", stage_terminations(raw_terminations))
+    stg_e_df = stage_employees(raw_employees, as_of)
+    stg_t_df = stage_terminations(raw_terminations)
+    if ms is lazy:
+        stg_e, stg_t = stg_e_df, stg_t_df
+    else:
+        # the two staging models are independent: materialise them as concurrent jobs
+        from concurrent.futures import ThreadPoolExecutor
+        with ThreadPoolExecutor(2) as pool:
+            fe = pool.submit(ms, "stg_employees", stg_e_df)
+            ft = pool.submit(ms, "stg_terminations", stg_t_df)
+            stg_e, stg_t = fe.result(), ft.result()
     dim = materialize("dim_employees", dim_employees(stg_e))
     fct = materialize("fct_terminations", fct_terminations(stg_t, dim))
     turnover = materialize("turnover", turnover_mart(dim, fct, as_of, spine_start, months, group,
