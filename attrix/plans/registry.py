@@ -6,11 +6,10 @@ driver tables through the adapters in ``attrix.sources.adapters``.
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
-
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from attrix.operators import filters as FL, quality as Q, runs as RN
 from attrix.operators.dedup import latest_per_key
@@ -18,11 +17,17 @@ from attrix.operators.headcount import monthly_combined, monthly_exits, monthly_
 from attrix.operators.joins import lifecycle
 from attrix.operators.rolling import rolling_turnover
 from attrix.plans.build import build, written
+from attrix.plans.dashboard import exits
 from attrix.plans.marts import dim_employees, fct_terminations
+from attrix.plans.nightly import run_ingest
 from attrix.plans.staging import stage_employees, stage_terminations
 from attrix.plans.suite import business_rules, suite
+from attrix.schema import API_TERMINATION, TERMINATION_TYPES
 from attrix.session import ensure_conf, scratch_path
 from attrix.sources import adapters as A
+from attrix.sources.landing import (api_records, read_landing, read_report_json, stage,
+                                    with_page_numbers)
+from attrix.streaming.ingest import ingest_stream, read_history, read_raw, recent_loads
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -132,7 +137,6 @@ def q_lookup(spark, sf_dir):
 
 def q_exits_drill(spark, sf_dir):
     """Dashboard drill-through: one state's exits in one month."""
-    from attrix.plans.dashboard import exits
     return exits(_hr(spark, sf_dir)[3], "1-URGENT", "1998-06-01")
 
 
@@ -175,7 +179,6 @@ def q_dq_not_null(spark, sf_dir):
 
 def q_dq_accepted_values(spark, sf_dir):
     """Raw (uncleaned) termination types against the controlled list."""
-    from attrix.schema import TERMINATION_TYPES
     return Q.accepted_values(A.hr_inputs(spark, sf_dir)[1], "termination_type", TERMINATION_TYPES)
 
 
@@ -230,12 +233,10 @@ STAGE_WRITTEN_AT = "2001-11-05 02:00:00"
 
 
 def _api_terminations(spark, sf_dir):
-    from attrix.sources.landing import api_records
     return api_records(A.hr_inputs(spark, sf_dir)[1], "terminations")
 
 
 def _staged(spark, sf_dir):
-    from attrix.sources.landing import stage
     base = scratch_path(spark, "landing")
     stage(_api_terminations(spark, sf_dir), "terminations", STAGE_RUN_DATE, base,
           written_at=STAGE_WRITTEN_AT)
@@ -244,12 +245,10 @@ def _staged(spark, sf_dir):
 
 def q_stage_parquet(spark, sf_dir):
     """Stage terminations as paged, date-partitioned landing Parquet; read it back."""
-    from attrix.sources.landing import read_landing
     return read_landing(spark, _staged(spark, sf_dir), "terminations")
 
 
 def _ingested(spark, sf_dir, entity="terminations"):
-    from attrix.streaming.ingest import ingest_stream
     landing = _staged(spark, sf_dir) if entity == "terminations" else _staged_employees(spark, sf_dir)
     out = scratch_path(spark, "raw")
     q = ingest_stream(spark, landing, entity, f"{out}/raw", f"{out}/history",
@@ -259,7 +258,6 @@ def _ingested(spark, sf_dir, entity="terminations"):
 
 
 def _staged_employees(spark, sf_dir):
-    from attrix.sources.landing import api_records, stage
     base = scratch_path(spark, "landing")
     stage(api_records(A.hr_inputs(spark, sf_dir)[0], "employees"), "employees", STAGE_RUN_DATE,
           base, written_at=STAGE_WRITTEN_AT)
@@ -268,15 +266,12 @@ def _staged_employees(spark, sf_dir):
 
 def q_ingest_employees(spark, sf_dir):
     """Employee snapshots: landing → raw through the file stream."""
-    from attrix.streaming.ingest import read_raw
     out = _ingested(spark, sf_dir, "employees")
     return read_raw(spark, f"{out}/raw", "employees").drop("_loaded_at")
 
 
 def q_recent_loads(spark, sf_dir):
     """Files loaded in the last 24 hours (as of now): file and row totals per status."""
-    import datetime as _dt
-    from attrix.streaming.ingest import read_history, recent_loads
     h = read_history(spark, f"{_ingested(spark, sf_dir)}/history")
     now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None) + _dt.timedelta(minutes=5)
     return (recent_loads(h, now, 24).groupBy("status")
@@ -285,14 +280,12 @@ def q_recent_loads(spark, sf_dir):
 
 def q_ingest_stream(spark, sf_dir):
     """Landing files → raw table through an availableNow file stream."""
-    from attrix.streaming.ingest import read_raw
     out = _ingested(spark, sf_dir)
     return read_raw(spark, f"{out}/raw", "terminations").drop("_loaded_at")
 
 
 def q_load_history(spark, sf_dir):
     """Rows loaded and parsed per load status over all files of the ingest."""
-    from attrix.streaming.ingest import read_history
     h = read_history(spark, f"{_ingested(spark, sf_dir)}/history")
     return h.groupBy("status").agg(F.sum("row_count").alias("row_count"),
                                    F.sum("row_parsed").alias("row_parsed"))
@@ -300,8 +293,6 @@ def q_load_history(spark, sf_dir):
 
 def q_read_report_json(spark, sf_dir):
     """Write terminations as report envelopes (one per page of 500), read the records back."""
-    from attrix.sources.landing import read_report_json, with_page_numbers
-    from attrix.schema import API_TERMINATION
     recs = with_page_numbers(_api_terminations(spark, sf_dir), ["termination_id"], out="_page")
     env = (recs.groupBy("_page")
                .agg(F.collect_list(F.struct(*[f.name for f in API_TERMINATION.fields])).alias("data"))
@@ -316,8 +307,6 @@ def q_read_report_json(spark, sf_dir):
 
 def q_nightly_run(spark, sf_dir):
     """Two runs on one day: a full load, then a repeat whose window is empty."""
-    from attrix.plans.nightly import run_ingest
-    from attrix.sources.landing import api_records
     raw_e, raw_t = A.hr_inputs(spark, sf_dir)
     emp, term = api_records(raw_e, "employees"), api_records(raw_t, "terminations")
     base = scratch_path(spark, "nightly")
@@ -331,9 +320,6 @@ def q_nightly_run(spark, sf_dir):
 def q_nightly_turnover(spark, sf_dir):
     """End to end: two nightly runs stage report records, file streams load raw,
     the models are built with the marts written as tables, and the mart is read."""
-    from attrix.plans.nightly import run_ingest
-    from attrix.sources.landing import api_records
-    from attrix.streaming.ingest import ingest_stream, read_raw
     orders = A.table(spark, sf_dir, "orders")
     first, later = A.employee_snapshots(orders)
     term = api_records(A.raw_terminations(orders, A.table(spark, sf_dir, "lineitem")), "terminations")
