@@ -61,9 +61,9 @@ def with_row_index(df: DataFrame, order: Sequence[str], out: str = "row_index",
     """
     keys = list(order) + [c for c in df.columns if c not in order]
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # range bounds on the order columns only (equal values share a partition), the full
-    # total order inside each partition
-    ranged = (df.repartitionByRange(n, *order).sortWithinPartitions(*keys)
+    # range bounds on the full total order: a natural key held by a third of the rows
+    # is still split across partitions by the remaining columns
+    ranged = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
                 .withColumn(_PID, F.spark_partition_id())
                 .withColumn(_MID, F.monotonically_increasing_id()))
     counts = ranged.groupBy(_PID).agg(F.count(F.lit(1)).alias("_n"))

@@ -118,3 +118,14 @@ def test_landing_date_window_prunes_partitions(spark, tmp_path):
     assert df.count() == 10
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(year" in plan or "make_date" in plan
+
+
+def test_row_index_splits_a_hot_key(spark):
+    rows = [("HOT", i) for i in range(3000)] + [(f"k{i}", i) for i in range(6000)]
+    df = spark.createDataFrame(rows, "k string, v long").repartition(4)
+    idx = L.with_row_index(df, ["k"], "ix", partitions=8)
+    per_part = idx.groupBy(F.spark_partition_id()).count().collect()
+    assert max(r["count"] for r in per_part) < 3000          # the hot key spans partitions
+    got = [tuple(r) for r in idx.orderBy("ix").collect()]
+    assert [r[2] for r in got] == list(range(9000))          # contiguous
+    assert [(r[0], r[1]) for r in got] == sorted(rows)       # in total order
