@@ -164,10 +164,13 @@ def cluster_for_write(df: DataFrame, cols: Sequence[str], partitions: int | None
     """Range-partition and sort on the common filter columns before a write.
 
     Row groups then hold narrow min/max ranges on ``cols``, so later filters on
-    them skip row groups (the Parquet analogue of table clustering).
+    them skip row groups (the Parquet analogue of table clustering). The range
+    bounds continue over the remaining columns: a nightly snapshot shares one
+    run date, and bounds on ``cols`` alone would send it all to one task.
     """
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
+    rest = [c for c in df.columns if c not in cols]
+    return df.repartitionByRange(n, *cols, *rest).sortWithinPartitions(*cols, *rest)
 
 
 def api_records(df: DataFrame, entity: str) -> DataFrame:
