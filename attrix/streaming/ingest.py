@@ -165,12 +165,20 @@ def write_batch(files: DataFrame, batch_id: int, entity: str, raw_path: str,
            history_path)
 
 
+MAX_FILES_PER_BATCH = 10_000
+
+
 def ingest_stream(spark: SparkSession, landing_base: str, entity: str, raw_path: str,
                   history_path: str, checkpoint: str, available_now: bool = True,
                   processing_time: str | None = None,
-                  max_files_per_trigger: int | None = None) -> StreamingQuery:
+                  max_files_per_trigger: int | None = MAX_FILES_PER_BATCH) -> StreamingQuery:
     """Start the ingest stream; ``available_now`` drains what is there and stops (nightly),
-    otherwise it polls every ``processing_time`` (continuous)."""
+    otherwise it polls every ``processing_time`` (continuous).
+
+    ``max_files_per_trigger`` bounds each micro-batch (and the file list its
+    driver-side batch function sees); ``availableNow`` still drains everything,
+    in as many batches as needed.
+    """
     w = (landing_files(spark, landing_base, entity, max_files_per_trigger).writeStream
          .foreachBatch(lambda b, i: write_batch(b, i, entity, raw_path, history_path))
          .option("checkpointLocation", checkpoint)

@@ -129,3 +129,14 @@ def test_row_index_splits_a_hot_key(spark):
     got = [tuple(r) for r in idx.orderBy("ix").collect()]
     assert [r[2] for r in got] == list(range(9000))          # contiguous
     assert [(r[0], r[1]) for r in got] == sorted(rows)       # in total order
+
+
+def test_many_small_batches_load_everything_once(spark, tmp_path):
+    base, out = str(tmp_path / "landing"), str(tmp_path / "out")
+    for d in ["2024-07-01", "2024-07-02", "2024-07-03"]:
+        L.stage(api_emps(spark, 30), "employees", d, base, records_per_file=10)
+    I.ingest_stream(spark, base, "employees", f"{out}/raw", f"{out}/hist", f"{out}/ckpt",
+                    max_files_per_trigger=2).awaitTermination()
+    raw = I.read_raw(spark, f"{out}/raw", "employees")
+    assert raw.count() == 90
+    assert I.read_history(spark, f"{out}/hist").select("_batch_id").distinct().count() >= 4
