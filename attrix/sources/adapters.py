@@ -28,8 +28,16 @@ ORDERS_SPINE_START = "1995-01-01"
 EVENTS_AS_OF = "2024-01-31 00:00:00"
 
 
+_SCHEMAS: dict[str, object] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A driver table. The tables are immutable, so each file's schema is inferred once per
+    process (later reads skip the footer-reading job)."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 
