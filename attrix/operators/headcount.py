@@ -12,7 +12,6 @@ counts in O(N + groups × months) work, with no cross join and no row per pair.
 
 from __future__ import annotations
 
-import datetime as _dt
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 

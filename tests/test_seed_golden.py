@@ -1,6 +1,5 @@
 """Golden results on the reference's seed (FIXTURES.md §4)."""
 
-import datetime as dt
 
 import pytest
 
