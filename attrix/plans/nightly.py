@@ -23,10 +23,29 @@ def _now() -> _dt.datetime:
     return _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
 
 
+def _confirm_load(spark: SparkSession, landing_base: str, summary: dict, confirm_with: dict) -> None:
+    """Load the entity's new files now and require the run's rows in the load history."""
+    from pyspark.sql import functions as F
+    from attrix.streaming.ingest import ingest_stream, read_history
+    entity = summary["entity"]
+    hist = f"{confirm_with['history']}/{entity}"
+    ingest_stream(spark, landing_base, entity, f"{confirm_with['raw']}/{entity}", hist,
+                  f"{confirm_with['checkpoint']}/{entity}").awaitTermination()
+    if not summary["records"]:
+        return
+    day = summary["path"].split(":", 1)[-1] if "://" not in summary["path"] else summary["path"]
+    loaded = (read_history(spark, hist)
+              .where(F.col("file_name").contains(day) & (F.col("status") != "LOAD_FAILED"))
+              .agg(F.sum("row_parsed")).first()[0] or 0)
+    if loaded < summary["records"]:
+        raise RuntimeError(f"{entity}: staged {summary['records']} records but the load history "
+                           f"confirms {loaded}")
+
+
 def run_ingest(spark: SparkSession, employees: DataFrame, terminations: DataFrame,
                landing_base: str, runs_path: str, run_date=None, start_date=None,
                end_date=None, full_load: bool = False, as_of=None,
-               lookback_days: int = 0) -> dict:
+               lookback_days: int = 0, confirm_with: dict | None = None) -> dict:
     """Stage all employees and the terminations of the incremental window.
 
     Window: explicit ``start_date`` → none when ``full_load`` → day after the
@@ -34,6 +53,11 @@ def run_ingest(spark: SparkSession, employees: DataFrame, terminations: DataFram
     run date. A window that starts after it ends stages nothing. Each entity
     appends a SUCCESS row to the run log; a failure appends one FAILED row for
     entity ``pipeline`` and re-raises.
+
+    ``confirm_with`` (``{"raw": …, "history": …, "checkpoint": …}``) makes SUCCESS
+    mean *loaded*, not just staged: each entity's new files are ingested right
+    away and the load history must account for every staged record, otherwise
+    the run fails (and the next run's window starts from the last confirmed day).
     """
     run_date = RN.as_py_date(run_date or _dt.date.today())
     as_of = as_of or run_date
@@ -53,6 +77,8 @@ def run_ingest(spark: SparkSession, employees: DataFrame, terminations: DataFram
 
         started = _now()
         emp = stage(FL.filter_status(employees, "All"), "employees", run_date, landing_base)
+        if confirm_with:
+            _confirm_load(spark, landing_base, emp, confirm_with)
         RN.record_run(spark, runs_path, "employees", run_date, emp["records"], "SUCCESS",
                       started, keys=[emp["path"]] if emp["path"] else [])
 
@@ -63,6 +89,8 @@ def run_ingest(spark: SparkSession, employees: DataFrame, terminations: DataFram
             windowed = FL.filter_window(terminations.withColumn(
                 "_td", terminations["termination_date"].cast("date")), "_td", start, end).drop("_td")
             term = stage(windowed, "terminations", run_date, landing_base)
+        if confirm_with:
+            _confirm_load(spark, landing_base, term, confirm_with)
         RN.record_run(spark, runs_path, "terminations", run_date, term["records"], "SUCCESS",
                       started, keys=[term["path"]] if term["path"] else [])
         return {"status": "SUCCESS", "run_date": str(run_date),

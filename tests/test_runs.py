@@ -94,3 +94,27 @@ def test_lookback_days_reopens_recent_days(spark):
     r = runs_df(spark, [row("terminations", d(2024, 6, 30))])
     w = RN.resolve_window(r, "2024-07-01", lookback_days=3).first()
     assert (w.start_date, w.end_date) == (d(2024, 6, 28), d(2024, 7, 1))
+
+
+def test_nightly_run_with_load_confirmation(spark, tmp_path):
+    from pyspark.sql import functions as F
+    import seed
+    from attrix.plans.nightly import run_ingest
+    from attrix.sources.landing import api_records
+    from attrix.streaming.ingest import read_raw
+    emp = api_records(seed.raw_employees(spark), "employees")
+    term = api_records(seed.raw_terminations(spark), "terminations")
+    b = str(tmp_path)
+    conf = {"raw": f"{b}/raw", "history": f"{b}/hist", "checkpoint": f"{b}/ckpt"}
+    out = run_ingest(spark, emp, term, f"{b}/landing", f"{b}/runs", run_date="2025-04-01",
+                     full_load=True, confirm_with=conf)
+    assert out["employees"]["records"] == 8 and out["terminations"]["records"] == 8
+    assert read_raw(spark, f"{b}/raw/terminations", "terminations").count() == 8
+    runs = RN.read_runs(spark, f"{b}/runs")
+    assert runs.where(F.col("status") == "SUCCESS").count() == 2
+    # a failing run is logged as entity 'pipeline' and re-raised
+    with pytest.raises(ValueError):
+        run_ingest(spark, emp, term, f"{b}/landing", f"{b}/runs", run_date="2025-04-01",
+                   start_date="2025-05-01", as_of="2025-04-01")
+    failed = RN.read_runs(spark, f"{b}/runs").where("status = 'FAILED'").first()
+    assert failed.entity == "pipeline" and "future" in failed.error_message
