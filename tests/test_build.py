@@ -24,3 +24,27 @@ def test_written_marts_are_tables(spark):
     # a written model is a plain file scan: lineage is cut
     plan = m["turnover"]._jdf.queryExecution().optimizedPlan().toString()
     assert "Relation" in plan and "Window" not in plan
+
+
+def test_bucketed_models_join_without_shuffle(spark):
+    from attrix.operators.joins import lifecycle
+    from attrix.plans.build import bucketed
+    e, t = seed.raw_employees(spark), seed.raw_terminations(spark)
+    base = build(e, t, "2025-04-01", "2015-01-01")
+    m = build(e, t, "2025-04-01", "2015-01-01",
+              materialize=bucketed(spark, scratch_path(spark, "t-bkt"), 4), materialize_staging=True)
+    for name in ("dim_employees", "fct_terminations", "turnover"):
+        assert _rows(m[name]) == _rows(base[name]), name
+    # with broadcasts off (as for large tables) the joins read matching buckets: no shuffle
+    keys = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    old = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, "-1")
+        life = lifecycle(m["dim_employees"], m["fct_terminations"])
+        life.collect()
+        plan = life._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning" not in plan and "SortMergeJoin" in plan
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
