@@ -20,6 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from attrix.functions.dates import as_date
+from attrix.session import ensure_conf
 
 # Fixed adapter parameters (query constants; the driver data spans 1995–2001
 # for orders and January 2024 for events).
@@ -34,6 +35,7 @@ _SCHEMAS: dict[str, object] = {}
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A driver table. The tables are immutable, so each file's schema is inferred once per
     process (later reads skip the footer-reading job)."""
+    ensure_conf(spark)       # UTC session time: instants and wall-clock values agree
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
     if path not in _SCHEMAS:
         _SCHEMAS[path] = spark.read.parquet(path).schema

@@ -140,3 +140,13 @@ def test_many_small_batches_load_everything_once(spark, tmp_path):
     raw = I.read_raw(spark, f"{out}/raw", "employees")
     assert raw.count() == 90
     assert I.read_history(spark, f"{out}/hist").select("_batch_id").distinct().count() >= 4
+
+
+def test_queries_pin_utc_session_time(spark):
+    import __spark_entry__ as E
+    import oracle
+    from conftest import SF_SMALL
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    df = E.queries()["ingest_stream"](spark, SF_SMALL)
+    assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
+    assert oracle.compare(df, E.oracle_sql()["ingest_stream"], oracle.duck(SF_SMALL))["ok"]
