@@ -64,7 +64,7 @@ def _compatible(schema, entity) -> bool:
 def _to_raw_with_losses(landing: DataFrame, entity: str) -> DataFrame:
     """Raw-typed columns plus ``_lost``: values that were non-null before the cast and null after."""
     loaded_at = F.localtimestamp()
-    raw_cols, lost = [], []
+    raw_cols, lost, per_col = [], [], []
     types = dict(landing.dtypes)
     for f in RAW[entity].fields:
         if f.name == "_loaded_at":
@@ -79,11 +79,13 @@ def _to_raw_with_losses(landing: DataFrame, entity: str) -> DataFrame:
         else:
             v = c.try_cast(f.dataType)
         raw_cols.append(v.alias(f.name))
-        lost.append(F.when(c.isNotNull() & v.isNull(), 1).otherwise(0))
+        flag = F.when(c.isNotNull() & v.isNull(), 1).otherwise(0)
+        lost.append(flag)
+        per_col.append(flag.alias(f"_lost__{f.name}"))
     lost_expr = lost[0]
     for x in lost[1:]:
         lost_expr = lost_expr + x
-    return landing.select("_file_path", *raw_cols, lost_expr.alias("_lost"))
+    return landing.select("_file_path", *raw_cols, lost_expr.alias("_lost"), *per_col)
 
 
 def _write(out: DataFrame, sizes: dict, failed: list, entity: str, batch_id: int,
@@ -98,16 +100,22 @@ def _write(out: DataFrame, sizes: dict, failed: list, entity: str, batch_id: int
             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
             .partitionBy(BATCH_COL).parquet(raw_path))
         size_df = spark.createDataFrame(list(sizes.items()), "_file_path string, file_size long")
+        lost_cols = [c for c in out.columns if c.startswith("_lost__")]
+        # per column: how many non-null inputs the cast turned into null, e.g. "hire_date=3"
+        detail = F.concat_ws(", ", *[F.when(F.col(c) > 0, F.concat(F.lit(c[len("_lost__"):] + "="),
+                                                                   F.col(c)))
+                                     for c in lost_cols])
         loaded = (out.groupBy("_file_path")
                      .agg(F.count(F.lit(1)).alias("row_parsed"),
                           F.count_if(F.col("_lost") == 0).alias("row_count"),
                           F.sum("_lost").alias("_lost_values"),
-                          F.max("_loaded_at").alias("last_load_time"))
+                          F.max("_loaded_at").alias("last_load_time"),
+                          *[F.sum(c).alias(c) for c in lost_cols])
                      .join(size_df, "_file_path", "left")
                      .select(F.col("_file_path").alias("file_name"), "file_size",
                              "row_count", "row_parsed",
                              F.when(F.col("_lost_values") > 0,
-                                    F.concat(F.lit("values lost in cast: "), F.col("_lost_values")))
+                                    F.concat(F.lit("values lost in cast: "), detail))
                               .alias("first_error_message"),
                              F.when(F.col("_lost_values") > 0, F.lit("PARTIALLY_LOADED"))
                               .otherwise(F.lit("LOADED")).alias("status"),

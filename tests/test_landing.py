@@ -150,3 +150,27 @@ def test_queries_pin_utc_session_time(spark):
     df = E.queries()["ingest_stream"](spark, SF_SMALL)
     assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
     assert oracle.compare(df, E.oracle_sql()["ingest_stream"], oracle.duck(SF_SMALL))["ok"]
+
+
+def test_lost_cast_values_are_reported_per_column(spark, tmp_path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    base, out = tmp_path / "landing", str(tmp_path / "out")
+    day = base / "terminations" / "year=2024" / "month=07" / "day=01"
+    day.mkdir(parents=True)
+    cols = {f.name: [None, None] for f in API_TERMINATION.fields}
+    cols.update(termination_id=["T1", "T2"], employee_id=["E1", "E2"],
+                recorded_at=["2024-07-01T09:15:00Z", "not a time"])
+    tbl = pa.table({**cols, "termination_date": pa.array([dt.date(2024, 6, 30)] * 2),
+                    "last_day_of_work": pa.array([dt.date(2024, 6, 30)] * 2),
+                    "rehire_eligible": pa.array([True, False]),
+                    "_pipeline_entity": ["terminations"] * 2,
+                    "_pipeline_run_date": [dt.date(2024, 7, 1)] * 2,
+                    "_pipeline_page_num": pa.array([0, 0], pa.int64()),
+                    "_pipeline_written_at": [dt.datetime(2024, 7, 1, 2)] * 2})
+    pq.write_table(tbl, day / "p000.parquet")
+    I.ingest_stream(spark, str(base), "terminations", f"{out}/raw", f"{out}/hist", f"{out}/ckpt").awaitTermination()
+    h = I.read_history(spark, f"{out}/hist").first()
+    assert (h.status, h.row_parsed, h.row_count) == ("PARTIALLY_LOADED", 2, 1)
+    assert h.first_error_message == "values lost in cast: recorded_at=1"
+    assert I.read_raw(spark, f"{out}/raw", "terminations").count() == 2      # rows kept, value null
