@@ -77,11 +77,17 @@ def shared_dir(spark: SparkSession) -> str:
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        d = spark.sparkContext.getCheckpointDir()
+        try:
+            d = spark.sparkContext.getCheckpointDir()
+        except Exception:  # a session without a local SparkContext (e.g. Spark Connect)
+            d = None
     if not d:
         d = tempfile.mkdtemp(prefix="attrix-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-        spark.sparkContext.setCheckpointDir(d)
+        try:
+            spark.sparkContext.setCheckpointDir(d)
+        except Exception:
+            pass
     return d.rstrip("/")
 
 
@@ -96,6 +102,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether ``path`` exists on its (Hadoop-compatible) filesystem."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    try:
+        jvm = spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    except Exception:  # no JVM gateway in this process: local paths only, else try a listing
+        if "://" not in path or path.startswith("file:"):
+            return os.path.exists(path.replace("file:", "", 1))
+        try:
+            return len(spark.read.format("binaryFile").load(path).select("path").limit(1).collect()) > 0
+        except Exception:
+            return False
