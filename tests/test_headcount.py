@@ -120,3 +120,19 @@ def test_dense_keeps_zero_months_and_their_exits(spark):
                                 "employee_key string, location_state string, termination_date date, "
                                 "is_voluntary boolean, is_regrettable boolean")
     assert sum(r["total_terminations"] for r in monthly_combined(hc, monthly_exits(fct)).collect()) == 1
+
+
+from hypothesis import HealthCheck, given, settings, strategies as st  # noqa: E402
+
+_day = st.one_of(st.none(), st.dates(min_value=dt.date(2013, 1, 1), max_value=dt.date(2021, 12, 31)))
+_row = st.tuples(st.one_of(st.none(), st.sampled_from(["k1", "k2", "k3", "k4"])),
+                 st.one_of(st.none(), st.sampled_from(["A", "B"])), _day, _day)
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+@given(rows=st.lists(_row, min_size=1, max_size=25))
+def test_delta_headcount_hypothesis(spark, rows):
+    start, end = dt.date(2015, 1, 1), dt.date(2020, 1, 1)
+    got = {(r["month_start"], r["location_state"]): r["headcount"]
+           for r in monthly_headcount(spark.createDataFrame(rows, LIFE), start, end).collect()}
+    assert got == brute(rows, start, end)
