@@ -48,3 +48,15 @@ def test_bucketed_models_join_without_shuffle(spark):
     finally:
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_dashboard_reads(spark):
+    from attrix.plans.dashboard import exits, turnover
+    e, t = seed.raw_employees(spark), seed.raw_terminations(spark)
+    base = scratch_path(spark, "t-dash")
+    m = build(e, t, "2025-04-01", "2015-01-01", materialize=written(spark, base))
+    tx = turnover(spark, f"{base}/turnover", "TX")
+    assert tx.count() == 92
+    cell = tx.where("month_start = date'2025-01-01'").first()
+    drill = exits(m["fct_terminations"], "TX", "2025-01-01").collect()
+    assert cell.total_terminations == len(drill) == 1 and drill[0].termination_id == "TERM-3003"

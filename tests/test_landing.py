@@ -174,3 +174,11 @@ def test_lost_cast_values_are_reported_per_column(spark, tmp_path):
     assert (h.status, h.row_parsed, h.row_count) == ("PARTIALLY_LOADED", 2, 1)
     assert h.first_error_message == "values lost in cast: recorded_at=1"
     assert I.read_raw(spark, f"{out}/raw", "terminations").count() == 2      # rows kept, value null
+
+
+def test_cluster_for_write_spreads_one_run_date(spark):
+    rows = [(dt.date(2024, 7, 1), "ACTIVE", f"E{i:05d}") for i in range(4000)]
+    df = spark.createDataFrame(rows, "_pipeline_run_date date, employment_status string, employee_id string")
+    out = L.cluster_for_write(df, ["_pipeline_run_date", "employment_status"], partitions=8)
+    sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) > 1 and max(sizes) < 4000
