@@ -63,9 +63,15 @@ def with_row_index(df: DataFrame, order: Sequence[str], out: str = "row_index",
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # range bounds on the full total order: a natural key held by a third of the rows
     # is still split across partitions by the remaining columns
-    ranged = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-                .withColumn(_PID, F.spark_partition_id())
-                .withColumn(_MID, F.monotonically_increasing_id()))
+    ranged = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    # The count branch and the index branch must see the same partitions: Spark
+    # runs the shared range exchange once (exchange reuse). With reuse switched
+    # off each branch would sample its own range bounds, so pin the partitions
+    # with a persisted copy (recomputed from the same shuffle after a loss).
+    if df.sparkSession.conf.get("spark.sql.exchange.reuse", "true").lower() == "false":
+        ranged = ranged.persist()
+    ranged = (ranged.withColumn(_PID, F.spark_partition_id())
+                    .withColumn(_MID, F.monotonically_increasing_id()))
     counts = ranged.groupBy(_PID).agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.select(
         _PID, (F.sum("_n").over(_whole_ordered(_PID)) - F.col("_n")).alias("_off"))

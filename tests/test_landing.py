@@ -182,3 +182,14 @@ def test_cluster_for_write_spreads_one_run_date(spark):
     out = L.cluster_for_write(df, ["_pipeline_run_date", "employment_status"], partitions=8)
     sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
     assert len(sizes) > 1 and max(sizes) < 4000
+
+
+def test_row_index_without_exchange_reuse(spark):
+    old = spark.conf.get("spark.sql.exchange.reuse")
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        df = spark.range(5000).selectExpr("cast(id * 7919 % 5000 as string) AS k", "id").repartition(5)
+        got = sorted(r.ix for r in L.with_row_index(df, ["k"], "ix", partitions=6).collect())
+        assert got == list(range(5000))
+    finally:
+        spark.conf.set("spark.sql.exchange.reuse", old)
