@@ -79,11 +79,22 @@ def bucketed(spark: SparkSession, base: str, buckets: int, key: str = "employee_
     return m
 
 
+# SQL names under which build(views=True) registers the models
+VIEW_NAMES = {"stg_employees": "stg_employees", "stg_terminations": "stg_terminations",
+              "dim_employees": "dim_employees", "fct_terminations": "fct_terminations",
+              "turnover": "fct_turnover_rolling_12m"}
+
+
 def build(raw_employees: DataFrame, raw_terminations: DataFrame, as_of,
           spine_start=SPINE_START, months: int = ROLLING_MONTHS,
           materialize: Materializer = lazy, materialize_staging: bool = False,
-          group: str = "location_state", dense: bool = False) -> dict[str, DataFrame]:
-    """All models keyed by name; ``materialize`` stores the marts (and staging if asked)."""
+          group: str = "location_state", dense: bool = False,
+          views: bool = False) -> dict[str, DataFrame]:
+    """All models keyed by name; ``materialize`` stores the marts (and staging if asked).
+
+    ``views=True`` also registers each model as a temporary view (``VIEW_NAMES``),
+    so existing SQL over the models runs unchanged through ``spark.sql``.
+    """
     ms = materialize if materialize_staging else lazy
     stg_e_df = stage_employees(raw_employees, as_of)
     stg_t_df = stage_terminations(raw_terminations)
@@ -100,5 +111,9 @@ def build(raw_employees: DataFrame, raw_terminations: DataFrame, as_of,
     fct = materialize("fct_terminations", fct_terminations(stg_t, dim))
     turnover = materialize("turnover", turnover_mart(dim, fct, as_of, spine_start, months, group,
                                                      dense))
-    return {"stg_employees": stg_e, "stg_terminations": stg_t, "dim_employees": dim,
-            "fct_terminations": fct, "turnover": turnover}
+    models = {"stg_employees": stg_e, "stg_terminations": stg_t, "dim_employees": dim,
+              "fct_terminations": fct, "turnover": turnover}
+    if views:
+        for name, df in models.items():
+            df.createOrReplaceTempView(VIEW_NAMES[name])
+    return models

@@ -60,3 +60,13 @@ def test_dashboard_reads(spark):
     cell = tx.where("month_start = date'2025-01-01'").first()
     drill = exits(m["fct_terminations"], "TX", "2025-01-01").collect()
     assert cell.total_terminations == len(drill) == 1 and drill[0].termination_id == "TERM-3003"
+
+
+def test_models_as_sql_views(spark):
+    e, t = seed.raw_employees(spark), seed.raw_terminations(spark)
+    build(e, t, "2025-04-01", "2015-01-01", views=True)
+    assert spark.sql("SELECT count(*) AS n FROM fct_turnover_rolling_12m").first().n == 271
+    r = spark.sql("""SELECT location_state, sum(total_terminations) AS exits
+                     FROM fct_turnover_rolling_12m GROUP BY 1 ORDER BY 1""").collect()
+    assert [(x.location_state, x.exits) for x in r] == [("AZ", 0), ("CO", 0), ("GA", 0), ("MO", 0), ("TX", 2)]
+    assert spark.sql("SELECT count(*) AS n FROM fct_terminations WHERE location_state IS NULL").first().n == 5
