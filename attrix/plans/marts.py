@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from attrix.functions import as_date, days_between, flag, month_start, tenure_bucket
+from attrix.functions import (as_date, days_between, flag, month_start, surrogate_key,
+                              tenure_bucket)
 from attrix.operators.headcount import monthly_combined, monthly_exits, monthly_headcount
 from attrix.operators.joins import flag_referenced, lifecycle
 from attrix.operators.rolling import rolling_turnover
@@ -20,8 +21,15 @@ DIM_COLUMNS = [
 
 
 def dim_employees(stg: DataFrame) -> DataFrame:
-    """One row per employee with hire calendar fields, tenure bucket and manager flag."""
-    e = flag_referenced(stg, "employee_id", stg, "manager_id", out="is_manager")
+    """One row per employee with hire calendar fields, tenure bucket and manager flag.
+
+    The manager flag compares surrogate keys (``employee_key`` with the key of each
+    non-null ``manager_id``), which is equality of ids, so the join keeps the
+    staging model's partitioning on the employee key.
+    """
+    managers = (stg.where(F.col("manager_id").isNotNull())
+                   .select(surrogate_key("manager_id").alias("manager_key")))
+    e = flag_referenced(stg, "employee_key", managers, "manager_key", out="is_manager")
     return e.select(
         *DIM_COLUMNS[:16],
         F.year("hire_date").alias("hire_year"),

@@ -27,11 +27,21 @@ def latest_raw(raw: DataFrame, entity: str, previous: DataFrame | None = None) -
 
 
 def stage_employees(raw: DataFrame, as_of, deduplicated: bool = False) -> DataFrame:
-    """Latest snapshot per employee (by run date), cleaned, with key and tenure as of ``as_of``."""
-    d = raw if deduplicated else latest_raw(raw, "employees")
+    """Latest snapshot per employee (by run date), cleaned, with key and tenure as of ``as_of``.
+
+    De-duplication is partitioned by the surrogate key, a deterministic function of
+    the employee id (same groups, same ties), so the model leaves the exchange
+    hash-partitioned on ``employee_key`` and the dimension/fact/lifecycle joins on that
+    key reuse it instead of shuffling the employees again.
+    """
+    if deduplicated:
+        d = raw.withColumn("employee_key", surrogate_key("employee_id"))
+    else:
+        d = latest_per_key(raw.withColumn("employee_key", surrogate_key("employee_id")),
+                           ["employee_key"], ORDER["employees"])
     status = clean_upper("employment_status")
     return d.select(
-        surrogate_key("employee_id").alias("employee_key"),
+        "employee_key",
         "employee_id",
         clean("first_name").alias("first_name"),
         clean("last_name").alias("last_name"),
