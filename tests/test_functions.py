@@ -26,3 +26,14 @@ def test_hours_between_counts_boundaries(spark):
     df = spark.createDataFrame([(dt.datetime(2024, 1, 1, 10, 59), dt.datetime(2024, 1, 1, 11, 1))],
                                "a timestamp_ntz, b timestamp_ntz")
     assert df.select(hours_between("a", "b").alias("h")).first().h == 1
+
+
+def test_scale_conf_clamps_partitions():
+    from attrix.session import scale_conf
+    big = scale_conf(100 * 2**40, total_cores=8000)          # 100 TB on 8000 cores
+    assert big["spark.sql.shuffle.partitions"] == str(8 * 8000)
+    small = scale_conf(10**9, total_cores=8)                 # 1 GB locally
+    assert small["spark.sql.shuffle.partitions"] == "16"
+    mid = scale_conf(4 * 2**40, total_cores=8000)            # 4 TB: input / 256 MB
+    assert mid["spark.sql.shuffle.partitions"] == str(4 * 2**40 // (256 * 2**20))
+    assert big["spark.sql.files.maxPartitionBytes"] == str(256 * 2**20)
