@@ -3,12 +3,14 @@
 The library never creates its own cluster configuration for production use;
 ``get_session`` is a convenience for tests, benches and local runs.  Shared
 scratch space always comes from ``spark.checkpoint.dir`` (set by the cluster);
-a local fallback is created only when that setting is absent.
+only a local session may leave it unset.
 """
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -70,34 +72,28 @@ def ensure_conf(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder (``spark.checkpoint.dir``).
+    """The folder that driver and executors share (``spark.checkpoint.dir``).
 
-    When unset (local tests), a scratch folder is created and registered as the
-    session's checkpoint dir so ``checkpoint()`` works too.
+    Only a local session (one JVM, so any folder is shared) may leave the setting
+    out; it then gets one scratch folder of its own, removed when the driver ends.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
     if not d:
-        try:
-            d = spark.sparkContext.getCheckpointDir()
-        except Exception:  # a session without a local SparkContext (e.g. Spark Connect)
-            d = None
+        d = sc.getCheckpointDir()
     if not d:
-        d = tempfile.mkdtemp(prefix="attrix-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-        try:
-            spark.sparkContext.setCheckpointDir(d)
-        except Exception:
-            pass
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        d = "file:" + tempfile.mkdtemp(prefix="attrix-shared-")
+        atexit.register(shutil.rmtree, d.removeprefix("file:"), True)
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
     return d.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique sub-folder of the shared folder for one job run."""
-    base = shared_dir(spark)
-    p = f"{base}/attrix/{name}-{uuid.uuid4().hex[:12]}"
-    if "://" not in p or p.startswith("file:"):
-        os.makedirs(p.replace("file:", ""), exist_ok=True)
-    return p
+    """A fresh, unique path in the shared folder for one job run; its writer creates it."""
+    return f"{shared_dir(spark)}/attrix/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
