@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from attrix.llm.common import table
+from attrix.llm.decontaminate import find_contamination
 from attrix.llm.mixing import mix_rates
 from attrix.llm.substrings import dedup_substrings
 
@@ -18,9 +21,17 @@ def op4_substring_dedup(spark, sf_dir):
     return dedup_substrings(table(spark, sf_dir, "documents"), texts=False)
 
 
+def op9_benchmark_decontamination(spark, sf_dir):
+    """Every document against every benchmark item: 13-word windows found by winnowing."""
+    found = find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items",
+                        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated")
+
+
 QUERIES = {
     "op2_mix_sources": op2_mix_sources,
     "op4_substring_dedup": op4_substring_dedup,
+    "op9_benchmark_decontamination": op9_benchmark_decontamination,
 }
 
 SQL = {}
@@ -75,3 +86,24 @@ SELECT doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(n, 0))::BIGINT AS
 FROM d LEFT JOIN kept USING (doc_id)
 """
 
+
+SQL["op9_benchmark_decontamination"] = r"""
+WITH d AS (SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                  '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS ws FROM documents),
+b AS (SELECT item_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                  '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS ws FROM benchmark),
+bw AS (
+  SELECT DISTINCT item_id, least(13, len(ws)) AS n, array_to_string(ws[s:s + least(13, len(ws)) - 1], ' ') AS k
+  FROM b, unnest(generate_series(1, len(ws) - least(13, len(ws)) + 1)) AS g(s) WHERE len(ws) > 0),
+ns AS (SELECT DISTINCT n FROM bw),
+dw AS (
+  SELECT doc_id, n, s, array_to_string(ws[s:s + n - 1], ' ') AS k
+  FROM d, ns, unnest(generate_series(1, len(ws) - n + 1)) AS g(s) WHERE len(ws) >= n),
+m AS (SELECT doc_id, s, n, item_id FROM dw JOIN bw USING (n, k)),
+hit AS (SELECT doc_id, count(DISTINCT s + o)::BIGINT AS n_hit FROM m, unnest(generate_series(0, n - 1)) AS t(o) GROUP BY doc_id),
+it AS (SELECT doc_id, count(*)::BIGINT AS n_items, string_agg(i, ',' ORDER BY i) AS l
+       FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS i FROM m) GROUP BY doc_id)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(l, '')) AS items_sha256, coalesce(n_hit > 0 AND 20 * n_hit >= len(ws), false) AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN it USING (doc_id)
+"""

@@ -25,37 +25,20 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from attrix.llm.words import (SPACE_WORD, byte_slices, find_words, gram_hashes, mix, run_hashes, signed,
-                              slices, whole_grams)
+from attrix.llm.words import (SPACE_WORD, anchors, byte_slices, find_words, mix, run_hashes, signed, slices,
+                              whole_grams)
 
 SEED_WORDS = 8
 LENGTH = 20
 
 
-def _anchors(h: np.ndarray, first: np.ndarray, doc: np.ndarray, whole: np.ndarray, length: int, seed: int):
-    """Anchor positions, their seed hashes, and the first and last run start that chose each.
-
-    ``whole`` says for each word whether a run of ``length`` words starts there.
-    """
-    whole = whole[:max(0, len(h) - length + 1)]
-    starts = np.flatnonzero(whole)
-    if not len(starts):
-        return (np.zeros(0, np.int64),) * 2 + (np.zeros(0, np.uint64),) + (np.zeros(0, np.int64),) * 2
-    grams = gram_hashes(h, seed)
-    span = length - seed + 1
-    views = np.lib.stride_tricks.sliding_window_view(grams, span)[:len(whole)]
-    chosen = starts + (views[starts] if len(starts) < len(whole) else views).argmin(1)
-    at, low, n = np.unique(chosen, return_index=True, return_counts=True)  # the leftmost smallest never moves back
-    return at, doc[at], grams[at], starts[low], starts[low + n - 1]
-
-
 def _seeds(length: int, seed: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ids = b.column(0)
             for lo, hi, data, off in slices(b.column(1)):
                 w = find_words(data, off, SPACE_WORD)
-                at, doc, g, _, _ = _anchors(w.hash, w.first, w.doc, whole_grams(w, length), length, seed)
+                at, doc, g, _, _ = anchors(w.hash, w.first, w.doc, whole_grams(w, length), length, seed)
                 yield pa.record_batch([pa.array(signed(g)), ids.slice(lo, hi - lo).take(pa.array(doc)),
                                        pa.array((at - w.first[doc]).astype(np.int32))], names=["h", "doc_id", "pos"])
     return run
@@ -86,7 +69,7 @@ def _marked(b: pa.RecordBatch, length: int, seed: int):
     pos, off = _lists(b.column(2))
     for lo, hi, data, offsets in byte_slices(_unpacked(b.column(1))):
         w = find_words(data, offsets, SPACE_WORD)
-        at, doc, g, low, high = _anchors(w.hash, w.first, w.doc, whole_grams(w, length), length, seed)
+        at, doc, g, low, high = anchors(w.hash, w.first, w.doc, whole_grams(w, length), length, seed)
         named = np.repeat(w.first[:-1], np.diff(off[lo:hi + 1])) + pos[off[lo]:off[hi]]
         i = np.searchsorted(at, np.sort(named))
         yield lo, w, at[i], doc[i], g[i], low[i], high[i]
@@ -171,9 +154,9 @@ def dedup_substrings(docs: DataFrame, length: int = LENGTH, seed: int = SEED_WOR
         raise ValueError("seed must be between 1 and length")
     ids = dict(docs.dtypes)[id_col]
     own = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    anchors = own.mapInArrow(_seeds(length, seed), f"h long, doc_id {ids}, pos int")
-    twice = anchors.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
-    repeated = (anchors.join(twice, "h").groupBy("doc_id").agg(F.collect_set("pos").alias("seeds")))
+    seeds = own.mapInArrow(_seeds(length, seed), f"h long, doc_id {ids}, pos int")
+    twice = seeds.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
+    repeated = (seeds.join(twice, "h").groupBy("doc_id").agg(F.collect_set("pos").alias("seeds")))
     packed = own.mapInArrow(_packed, f"doc_id {ids}, z binary")
     with_seeds = packed.join(repeated, packed["doc_id"].eqNullSafe(repeated["doc_id"]), "left") \
                        .select(packed["doc_id"], "z", "seeds")

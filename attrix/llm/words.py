@@ -182,3 +182,21 @@ def run_hashes(h: np.ndarray, at: np.ndarray, n, salt: int = 0) -> np.ndarray:
 def whole_grams(w: Words, n: int) -> np.ndarray:
     """Whether the n-gram that starts at each word stays in its document."""
     return w.first[w.doc + 1] - np.arange(len(w.doc)) >= n
+
+
+def anchors(h: np.ndarray, first: np.ndarray, doc: np.ndarray, whole: np.ndarray, length: int, seed: int):
+    """Winnowing: the smallest hash of ``seed`` words in every run of ``length`` words.
+
+    Returns the anchors' positions, documents and hashes, and the first and last run start
+    that chose each.  Equal runs choose the same place.  ``whole`` says for each word whether a run of ``length`` words starts there.
+    """
+    whole = whole[:max(0, len(h) - length + 1)]
+    starts = np.flatnonzero(whole)
+    if not len(starts):
+        return (np.zeros(0, np.int64),) * 2 + (np.zeros(0, np.uint64),) + (np.zeros(0, np.int64),) * 2
+    grams = gram_hashes(h, seed)
+    span = length - seed + 1
+    views = np.lib.stride_tricks.sliding_window_view(grams, span)[:len(whole)]
+    chosen = starts + (views[starts] if len(starts) < len(whole) else views).argmin(1)
+    at, low, n = np.unique(chosen, return_index=True, return_counts=True)  # the leftmost smallest never moves back
+    return at, doc[at], grams[at], starts[low], starts[low + n - 1]
