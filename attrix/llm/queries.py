@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from attrix.llm.common import table
 from attrix.llm.decontaminate import find_contamination
 from attrix.llm.mixing import mix_rates
+from attrix.llm.near_duplicates import near_duplicates
 from attrix.llm.substrings import dedup_substrings
 
 
@@ -28,10 +29,16 @@ def op9_benchmark_decontamination(spark, sf_dir):
                         F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated")
 
 
+def op10_near_duplicates(spark, sf_dir):
+    """Near-duplicate groups of all documents: five-word shingles, similarity 0.75 or more."""
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op2_mix_sources": op2_mix_sources,
     "op4_substring_dedup": op4_substring_dedup,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
+    "op10_near_duplicates": op10_near_duplicates,
 }
 
 SQL = {}
@@ -107,3 +114,21 @@ SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
        sha256(coalesce(l, '')) AS items_sha256, coalesce(n_hit > 0 AND 20 * n_hit >= len(ws), false) AS contaminated
 FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN it USING (doc_id)
 """
+
+SQL["op10_near_duplicates"] = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x20\x09-\x0D]+'), []) AS ws FROM documents),
+sh AS (
+  SELECT DISTINCT doc_id, array_to_string(ws[s:s + 4], ' ') AS k
+  FROM d, unnest(generate_series(1, greatest(1, len(ws) - 4))) AS g(s) WHERE len(ws) > 0),
+n AS (SELECT doc_id, count(*)::BIGINT AS n FROM sh GROUP BY doc_id),
+e AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM sh a JOIN sh b ON a.k = b.k AND a.doc_id <> b.doc_id
+  JOIN n na ON na.doc_id = a.doc_id JOIN n nb ON nb.doc_id = b.doc_id
+  GROUP BY a.doc_id, b.doc_id HAVING 100 * count(*) >= 75 * (any_value(na.n) + any_value(nb.n) - count(*))),
+reach AS (SELECT doc_id AS node, doc_id AS other FROM d UNION SELECT r.node, e.b FROM reach r JOIN e ON e.a = r.other),
+c AS (SELECT node, min(other) AS component_id FROM reach GROUP BY node)
+SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, d.doc_id = component_id AS kept
+FROM d LEFT JOIN n USING (doc_id) JOIN c ON c.node = d.doc_id
+"""
