@@ -8,6 +8,7 @@ from attrix.llm.common import table
 from attrix.llm.decontaminate import find_contamination
 from attrix.llm.mixing import mix_rates
 from attrix.llm.near_duplicates import near_duplicates
+from attrix.llm.quality import STATS, score_quality
 from attrix.llm.substrings import dedup_substrings
 
 
@@ -17,6 +18,12 @@ def op2_mix_sources(spark, sf_dir):
         "doc_id", "size", "source_size", "target", "taken")
 
 
+def op3_quality_rules(spark, sf_dir):
+    """Base rules and perplexity bands over all documents."""
+    return score_quality(table(spark, sf_dir, "documents")).select(
+        "doc_id", *STATS, "base_failed", "kept", "perplexity")
+
+
 def op4_substring_dedup(spark, sf_dir):
     """Words of every 20-word run that starts earlier are removed; digest of what is kept."""
     return dedup_substrings(table(spark, sf_dir, "documents"), texts=False)
@@ -36,6 +43,7 @@ def op10_near_duplicates(spark, sf_dir):
 
 QUERIES = {
     "op2_mix_sources": op2_mix_sources,
+    "op3_quality_rules": op3_quality_rules,
     "op4_substring_dedup": op4_substring_dedup,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_near_duplicates": op10_near_duplicates,
