@@ -10,6 +10,7 @@ from attrix.llm.mixing import mix_rates
 from attrix.llm.near_duplicates import near_duplicates
 from attrix.llm.quality import STATS, score_quality
 from attrix.llm.substrings import dedup_substrings
+from attrix.llm.tokens import count_tokens
 
 
 def op2_mix_sources(spark, sf_dir):
@@ -29,6 +30,13 @@ def op4_substring_dedup(spark, sf_dir):
     return dedup_substrings(table(spark, sf_dir, "documents"), texts=False)
 
 
+def op7_token_counts(spark, sf_dir):
+    """Tokens of every document under the word-end BPE vocabulary."""
+    import public_tokenizers
+
+    return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op9_benchmark_decontamination(spark, sf_dir):
     """Every document against every benchmark item: 13-word windows found by winnowing."""
     found = find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -45,6 +53,7 @@ QUERIES = {
     "op2_mix_sources": op2_mix_sources,
     "op3_quality_rules": op3_quality_rules,
     "op4_substring_dedup": op4_substring_dedup,
+    "op7_token_counts": op7_token_counts,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_near_duplicates": op10_near_duplicates,
 }
