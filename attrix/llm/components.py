@@ -54,9 +54,10 @@ def components(edges: DataFrame) -> DataFrame:
     before = None
     while True:
         near = e.select(F.col("a").alias("u"), F.col("b").alias("v")).union(e.select("b", "a"))
-        least = near.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+        least = stored(near.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
         large = near.join(least, "u").where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
-        down = large.groupBy("a").agg(F.min("b").alias("m"))
+        large = stored(large, "large")
+        down = stored(large.groupBy("a").agg(F.min("b").alias("m")), "down")
         small = (large.join(down, "a").select(F.explode(F.array(
             F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct(F.col("a").alias("a"), F.col("m").alias("b")))).alias("x"))
             .select("x.a", "x.b").where("a <> b").distinct())

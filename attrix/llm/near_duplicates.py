@@ -144,10 +144,11 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
     own = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     sig = stored(own.mapInArrow(_signed(size, slots, rows), f"doc_id {ids}, n long, s1 long, s2 long, bands array<long>"), "signatures")
     some = sig.where("n > 0 and doc_id is not null")
-    classes = some.groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("rep"), F.any_value("bands").alias("bands"))
+    # grouped sides of joins are stored, so that the join shuffles both and can split a hot key
+    classes = stored(some.groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("rep"), F.any_value("bands").alias("bands")), "classes")
     buckets = classes.select("rep", "n", F.explode("bands").alias("key"))
-    leaders = (buckets.groupBy("key").agg(F.min(F.struct("rep", "n")).alias("f"), F.count("*").alias("c"))
-               .where("c > 1").select("key", F.col("f.rep").alias("lead"), F.col("f.n").alias("lead_n")))
+    leaders = stored(buckets.groupBy("key").agg(F.min(F.struct("rep", "n")).alias("f"), F.count("*").alias("c"))
+                     .where("c > 1").select("key", F.col("f.rep").alias("lead"), F.col("f.n").alias("lead_n")), "leaders")
     shared = stored(buckets.join(leaders, "key"), "buckets")
     wanted = shared.select(F.col("rep").alias("doc_id")).distinct()
     sets = stored(own.join(wanted, "doc_id", "left_semi").mapInArrow(_sets(size), f"doc_id {ids}, s binary"), "sets")
@@ -175,7 +176,7 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
     comp = components(found.union(more))
 
     member = placed(shared.select("key", "rep", "n"), "rep", "c")
-    split = (member.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("key"))
+    split = stored(member.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("key"), "split")
     member = stored(member.join(split, "key", "left_semi"), "members")
     cell = member.select("key", "c").distinct()
     across = (cell.join(cell.withColumnRenamed("c", "d"), "key").where("c < d"))

@@ -11,6 +11,7 @@ from attrix.llm.near_duplicates import near_duplicates
 from attrix.llm.quality import STATS, score_quality
 from attrix.llm.substrings import dedup_substrings
 from attrix.llm.tokens import count_tokens
+from attrix.llm.toxicity import score_toxicity
 
 
 def op2_mix_sources(spark, sf_dir):
@@ -37,6 +38,11 @@ def op7_token_counts(spark, sf_dir):
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op8_toxicity(spark, sf_dir):
+    """Toxicity of every document, learnt from the labels that are not held out."""
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_benchmark_decontamination(spark, sf_dir):
     """Every document against every benchmark item: 13-word windows found by winnowing."""
     found = find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -54,6 +60,7 @@ QUERIES = {
     "op3_quality_rules": op3_quality_rules,
     "op4_substring_dedup": op4_substring_dedup,
     "op7_token_counts": op7_token_counts,
+    "op8_toxicity": op8_toxicity,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_near_duplicates": op10_near_duplicates,
 }

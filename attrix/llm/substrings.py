@@ -25,6 +25,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
+from attrix.llm.common import stored
 from attrix.llm.words import (SPACE_WORD, anchors, byte_slices, find_words, mix, run_hashes, signed, slices,
                               whole_grams)
 
@@ -155,7 +156,8 @@ def dedup_substrings(docs: DataFrame, length: int = LENGTH, seed: int = SEED_WOR
     ids = dict(docs.dtypes)[id_col]
     own = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     seeds = own.mapInArrow(_seeds(length, seed), f"h long, doc_id {ids}, pos int")
-    twice = seeds.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
+    # grouped sides of joins are stored, so that the join shuffles both and can split a hot key
+    twice = stored(seeds.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "seeds")
     repeated = (seeds.join(twice, "h").groupBy("doc_id").agg(F.collect_set("pos").alias("seeds")))
     packed = own.mapInArrow(_packed, f"doc_id {ids}, z binary")
     with_seeds = packed.join(repeated, packed["doc_id"].eqNullSafe(repeated["doc_id"]), "left") \
@@ -165,7 +167,9 @@ def dedup_substrings(docs: DataFrame, length: int = LENGTH, seed: int = SEED_WOR
                 .mapInArrow(_contexts(length, seed), f"h long, ctx long, doc_id {ids}, pos int"))
     classes = (contexts.groupBy("h", "ctx").agg(F.min(F.struct("doc_id", "pos")).alias("f"))
                .select("h", "f.doc_id", "f.pos"))
-    several = classes.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h", F.lit(True).alias("several"))
+    classes = stored(classes, "classes")
+    several = stored(classes.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "several") \
+        .withColumn("several", F.lit(True))
     firsts = (classes.join(several, "h", "left").groupBy("doc_id")
               .agg(F.collect_set("pos").alias("firsts"),
                    F.collect_set(F.when(F.col("several"), F.col("pos"))).alias("open")))
@@ -174,8 +178,8 @@ def dedup_substrings(docs: DataFrame, length: int = LENGTH, seed: int = SEED_WOR
     runs = (packed.join(to_compare, packed["doc_id"].eqNullSafe(to_compare["doc_id"]))
             .select(packed["doc_id"], "z", "open")
             .mapInArrow(_runs(length, seed), f"r1 long, r2 long, doc_id {ids}, start int"))
-    first_run = (runs.groupBy("r1", "r2").agg(F.min(F.struct("doc_id", "start")).alias("f"), F.count("*").alias("n"))
-                 .where("n > 1").select("r1", "r2", "f"))
+    first_run = stored(runs.groupBy("r1", "r2").agg(F.min(F.struct("doc_id", "start")).alias("f"), F.count("*").alias("n"))
+                       .where("n > 1").select("r1", "r2", "f"), "runs")
     later = (runs.join(first_run, ["r1", "r2"])
              .where(F.struct("doc_id", "start") > F.col("f"))
              .groupBy("doc_id").agg(F.collect_set("start").alias("later")))

@@ -135,12 +135,18 @@ def byte_slices(texts: list[bytes], limit: int = SLICE_BYTES) -> Iterator[tuple[
             size += len(texts[i])
 
 
-def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, fold: bool = False) -> np.ndarray:
-    """A 64-bit hash of the bytes of each span."""
-    up, down = _BYTES.get(len(data) + 1)
+def byte_totals(data: np.ndarray, fold: bool = False) -> np.ndarray:
+    """Prefix sums from which ``span_hashes`` takes the hash of any span."""
     total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_VALUES[fold][data] * up[:len(data)], out=total[1:])
-    raw = (total[end] - total[start]) * down[start]
+    np.cumsum(_VALUES[fold][data] * _BYTES.get(len(data) + 1)[0][:len(data)], out=total[1:])
+    return total
+
+
+def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, fold: bool = False,
+                total: np.ndarray | None = None) -> np.ndarray:
+    """A 64-bit hash of the bytes of each span."""
+    total = byte_totals(data, fold) if total is None else total
+    raw = (total[end] - total[start]) * _BYTES.get(len(data) + 1)[1][start]
     return mix(raw + (end - start).astype(np.uint64) * np.uint64(0x632BE59BD9B4E019))
 
 
