@@ -22,12 +22,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 from attrix.llm.common import stored
 from attrix.llm.words import ALNUM_WORD, byte_totals, find_words, mix, signed, slices, span_hashes
 
-MAX_ROWS = 8_000
+MAX_ROWS = 12_000
 CANDIDATES = 8_192
 MIN_TEXTS = 5
 ENTER, ENTER_AT_ONCE, ROUNDS = 12.0, 16, 60   # score statistic to enter, features a round, rounds
 PENALTY = 1.0
-RIDGE = 1e-5
+RIDGE = 1e-6
 THRESHOLD = 0.7
 PREFIXES = (3, 4, 5, 6, 7, 8, 9)   # bytes; of longer words only, so a stem is told from its inflections
 
@@ -148,10 +148,11 @@ def fit_logistic(own, twins, label: np.ndarray, n_features: int, penalty: float
         test = np.where(inside, 0, np.bincount(col, (label - p)[row], n_features) ** 2 / spread)
         best = np.lexsort((np.arange(n_features), -test))[:ENTER_AT_ONCE]
         best = best[test[best] >= ENTER]
-        if not len(best):
-            break
+        last = not len(best)
         inside[best] = True
-        w, bias = _refit([(r[inside[c]], c[inside[c]]) for r, c in cells], label, len(pairs), w, bias, penalty, ridge, steps, rate)
+        w, bias = _refit([(r[inside[c]], c[inside[c]]) for r, c in cells], label, len(pairs), w, bias, penalty, ridge, 4 * steps if last else steps, rate)
+        if last:
+            break
     return w, bias
 
 
