@@ -6,12 +6,19 @@ from pyspark.sql import functions as F
 
 from attrix.llm.common import table
 from attrix.llm.decontaminate import find_contamination
+from attrix.llm.lm_scoring import score_documents
 from attrix.llm.mixing import mix_rates
 from attrix.llm.near_duplicates import near_duplicates
 from attrix.llm.quality import STATS, score_quality
 from attrix.llm.substrings import dedup_substrings
 from attrix.llm.tokens import count_tokens
 from attrix.llm.toxicity import score_toxicity
+from attrix.llm.warc import round_trip
+
+
+def op1_lm_scoring(spark, sf_dir):
+    """Masked pseudo-likelihood of every document under a network trained on all of them."""
+    return score_documents(table(spark, sf_dir, "documents"))
 
 
 def op2_mix_sources(spark, sf_dir):
@@ -31,6 +38,12 @@ def op4_substring_dedup(spark, sf_dir):
     return dedup_substrings(table(spark, sf_dir, "documents"), texts=False)
 
 
+def op5_warc(spark, sf_dir):
+    """Every page written to Zstandard WARC archives and read back."""
+    return round_trip(table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op7_token_counts(spark, sf_dir):
     """Tokens of every document under the word-end BPE vocabulary."""
     import public_tokenizers
@@ -56,9 +69,11 @@ def op10_near_duplicates(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_lm_scoring": op1_lm_scoring,
     "op2_mix_sources": op2_mix_sources,
     "op3_quality_rules": op3_quality_rules,
     "op4_substring_dedup": op4_substring_dedup,
+    "op5_warc": op5_warc,
     "op7_token_counts": op7_token_counts,
     "op8_toxicity": op8_toxicity,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
@@ -156,3 +171,15 @@ c AS (SELECT node, min(other) AS component_id FROM reach GROUP BY node)
 SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, d.doc_id = component_id AS kept
 FROM d LEFT JOIN n USING (doc_id) JOIN c ON c.node = d.doc_id
 """
+
+SQL["op5_warc"] = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b, sha1(coalesce(html, '')) AS h FROM pages),
+f AS (SELECT h, min(page_id) AS first FROM p GROUP BY h)
+SELECT page_id, octet_length(b)::BIGINT AS payload_bytes,
+       list_aggregate([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         ((('0x' || substr(h, 5 * (i // 4) + 1, 5))::BIGINT >> (15 - 5 * (i % 4))) & 31)::INT + 1, 1)
+         FOR i IN range(32)], 'string_agg', '') AS payload_digest,
+       CASE WHEN first IS NULL OR page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to
+FROM p JOIN f USING (h)
+"""
