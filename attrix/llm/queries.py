@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from attrix.llm.common import table
 from attrix.llm.decontaminate import find_contamination
+from attrix.llm.lines import dedup_lines
 from attrix.llm.lm_scoring import score_documents
 from attrix.llm.mixing import mix_rates
 from attrix.llm.near_duplicates import near_duplicates
@@ -44,6 +45,12 @@ def op5_warc(spark, sf_dir):
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op6_line_dedup(spark, sf_dir):
+    """Lines of all documents that repeat an earlier line, exactly or within one edit."""
+    return dedup_lines(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_lines", "n_removed", F.array_join("removed", ",").alias("removed_lines"))
+
+
 def op7_token_counts(spark, sf_dir):
     """Tokens of every document under the word-end BPE vocabulary."""
     import public_tokenizers
@@ -74,6 +81,7 @@ QUERIES = {
     "op3_quality_rules": op3_quality_rules,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_warc": op5_warc,
+    "op6_line_dedup": op6_line_dedup,
     "op7_token_counts": op7_token_counts,
     "op8_toxicity": op8_toxicity,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
@@ -183,3 +191,25 @@ SELECT page_id, octet_length(b)::BIGINT AS payload_bytes,
        CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to
 FROM p JOIN f USING (h)
 """
+
+# within one edit: equal after one character is dropped from the longer line, or, at equal
+# length, after the character at the same place is dropped from both
+SQL["op6_line_dedup"] = r"""
+WITH l AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS ln
+  FROM documents),
+w AS (SELECT * FROM l WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+f AS (SELECT line, min({'d': doc_id, 'n': ln}) AS first FROM w GROUP BY line),
+n AS (SELECT line, first, length(line) AS m FROM f WHERE length(line) >= 20),
+v AS (SELECT line, first, m, i, md5(left(line, i - 1) || substr(line, i + 1)) AS k FROM n, unnest(generate_series(1, m)) AS t(i)),
+p AS (
+  SELECT a.line, b.first FROM v a JOIN v b ON a.k = b.k AND a.i = b.i AND a.m = b.m AND a.line <> b.line
+  UNION ALL SELECT a.line, b.first FROM v a JOIN n b ON a.k = md5(b.line) AND b.m = a.m - 1
+  UNION ALL SELECT b.line, a.first FROM v a JOIN n b ON a.k = md5(b.line) AND b.m = a.m - 1),
+e AS (SELECT line, min(first) AS first FROM (SELECT * FROM p UNION ALL SELECT * FROM f) GROUP BY line),
+g AS (SELECT doc_id, string_agg(ln::VARCHAR, ',' ORDER BY ln) AS r, count(*)::BIGINT AS c
+      FROM w JOIN e USING (line) WHERE {'d': doc_id, 'n': ln} > first GROUP BY doc_id)
+SELECT doc_id, coalesce(len(string_split(text, chr(10))), 0)::BIGINT AS n_lines, coalesce(c, 0)::BIGINT AS n_removed,
+       coalesce(r, '') AS removed_lines
+FROM documents LEFT JOIN g USING (doc_id)
+"""
