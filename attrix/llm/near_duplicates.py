@@ -12,13 +12,18 @@ then against the leaders of its other buckets from which the links so far do not
 connect it, and last, buckets whose members still lie in different components compare
 those across components - so no candidate link between components goes unverified, and
 within a component none is needed.
+
+Where that last step would pair many members (copies of one text, each too far from the
+others), their pairs are sought by prefix filtering instead, which is exact: with the
+shingles of each set ordered from rare to frequent among these documents, two sets over
+the threshold share one of the first few, and edits made to a copy come first there.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from attrix.llm.common import stored
 from attrix.llm.components import components
@@ -26,6 +31,7 @@ from attrix.llm.words import SPACE_WORD, find_words, mix, run_hashes, signed, sl
 
 SHINGLE = 5
 PERCENT = 75
+CROWDED = 16   # pairs per member beyond which a bucket's pairs are sought by rare shingles
 SLOTS, ROWS = 128, 4   # 32 bands: a pair at 0.75 shares none with probability (1 - 0.75^4)^32, 5 in a million
 
 
@@ -130,6 +136,44 @@ def _linked(percent: int):
     return run
 
 
+def _tokens(batches):
+    """(rep, n, c, set) -> a row per shingle."""
+    for b in batches:
+        for i in range(b.num_rows):
+            t = np.frombuffer(b.column(3)[i].as_buffer(), np.int64)
+            at = pa.array(np.full(len(t), i))
+            yield pa.record_batch([b.column(0).take(at), b.column(1).take(at), b.column(2).take(at), pa.array(t)],
+                                  names=["rep", "n", "c", "t"])
+
+
+def _rare_pairs(members: DataFrame, sets: DataFrame, percent: int, ids: str) -> DataFrame:
+    """Pairs a, b of ``members`` (rep, n, c: distinct, of several components c) that may be linked across components.
+
+    Sets x and y over the threshold share at least ``share * (|x| + |y|)`` shingles.  Partners are
+    sought per class of sizes (each a tenth larger than the last), for which that bounds how
+    many of x's rarest shingles must hold a common one.
+    """
+    share, base = percent / (100 + percent), 1.1
+    tokens = stored(members.join(sets.withColumnRenamed("doc_id", "rep"), "rep").select("rep", "n", "c", "s")
+                    .mapInArrow(_tokens, f"rep {ids}, n long, c {ids}, t long"), "tokens")
+    df = stored(tokens.groupBy("t").agg(F.count("*").alias("df")), "frequencies")
+    size_class = lambda n: F.floor(F.log(n) / F.lit(float(np.log(base))) + 1e-9).cast("int")
+    position = F.row_number().over(Window.partitionBy("rep").orderBy("df", "t")) - 1
+    low = F.greatest(F.lit(1.0), F.floor(F.pow(F.lit(base), F.col("other"))))   # no larger than any size of the class
+    enough = F.ceil((F.col("n") + low) * share - 1e-9)
+    rows = (tokens.join(df, "t").withColumn("p", position).where("df > 1")
+            .withColumn("own", size_class(F.col("n")))
+            .withColumn("other", F.explode(F.sequence(size_class(F.greatest(F.lit(1.0), F.col("n") * (percent / 100) - 1)),
+                                                      size_class(F.col("n") * (100 / percent) + 1))))
+            .where(F.col("p") <= F.col("n") - enough).select("t", "own", "other", "rep", "n", "c", "p"))
+    x = rows.select("t", "own", "other", *[F.col(k).alias(k + "a") for k in ("rep", "n", "c", "p")])
+    y = rows.select("t", F.col("own").alias("other"), F.col("other").alias("own"),
+                    *[F.col(k).alias(k + "b") for k in ("rep", "n", "c", "p")])
+    left = F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb"))
+    return (x.join(y, ["t", "own", "other"]).where(F.col("ca") < F.col("cb")).where(left >= (F.col("na") + F.col("nb")) * share - 1e-9)
+            .select(F.col("repa").alias("a"), F.col("repb").alias("b")).distinct())
+
+
 def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, slots: int = SLOTS, rows: int = ROWS,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: doc_id, n_shingles, component_id (smallest id reachable) and kept (doc_id = component_id).
@@ -176,13 +220,17 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
     comp = components(found.union(more))
 
     member = placed(shared.select("key", "rep", "n"), "rep", "c")
-    split = stored(member.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("key"), "split")
-    member = stored(member.join(split, "key", "left_semi"), "members")
-    cell = member.select("key", "c").distinct()
-    across = (cell.join(cell.withColumnRenamed("c", "d"), "key").where("c < d"))
-    pairs = (across.join(member.select("key", "c", F.col("rep").alias("a"), F.col("n").alias("na")), ["key", "c"])
-             .join(member.select("key", F.col("c").alias("d"), F.col("rep").alias("b"), F.col("n").alias("nb")), ["key", "d"])
-             .where(near("na", "nb")).select("a", "b").distinct())
+    cell = member.groupBy("key", "c").agg(F.count("*").alias("m"))
+    split = stored(cell.groupBy("key").agg(F.sum("m").alias("m"), F.sum(F.col("m") * F.col("m")).alias("q"), F.count("*").alias("k"))
+                   .where("k > 1").select("key", ((F.col("m") * F.col("m") - F.col("q")) / 2 > CROWDED * F.col("m")).alias("crowded")), "split")
+    member = stored(member.join(split, "key"), "members")
+    calm = member.where("not crowded")
+    cell = calm.select("key", "c").distinct()
+    across = cell.join(cell.withColumnRenamed("c", "d"), "key").where("c < d")
+    pairs = (across.join(calm.select("key", "c", F.col("rep").alias("a"), F.col("n").alias("na")), ["key", "c"])
+             .join(calm.select("key", F.col("c").alias("d"), F.col("rep").alias("b"), F.col("n").alias("nb")), ["key", "d"])
+             .where(near("na", "nb")).select("a", "b"))
+    pairs = pairs.union(_rare_pairs(member.where("crowded").select("rep", "n", "c").distinct(), sets, percent, ids)).distinct()
     last = links(pairs)
     place = classes.select("s1", "s2", "n", "rep")
     rows = sig.select("doc_id", "n", "s1", "s2").join(place, ["s1", "s2", "n"], "left")
@@ -190,5 +238,6 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
     same_id = rows.where("rep <> doc_id").join(several, "doc_id", "left_semi").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
     comp = components(found.union(more).union(last).union(same_id))
     out = placed(rows.withColumn("rep", F.coalesce("rep", "doc_id")), "rep", "component_id")
+    out = out.withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.col("component_id")))
     return out.select("doc_id", F.col("n").alias("n_shingles"), "component_id",
                       F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
