@@ -155,14 +155,14 @@ def _refined(rows: DataFrame, max_edits: int) -> DataFrame:
             at, m = segment(n, edits + 1, j)
             low = max(-(j - 1), d - (edits + 1 - j))
             high = min(j - 1, d + (edits + 1 - j))
-            for s in range(low, high + 1) if probe else [0]:
+            for s in range(low, high + 1):
                 fits = (at + s >= 1) & (at + s + m - 1 <= end - begin)
-                # an index row is looked up by other index rows too, at the places of its own length
-                cells.append(F.when(fits, F.xxhash64("key", F.lit(j), F.substring("line", begin + at + s - 1, m))))
+                # an index row also looks up the index at the other places of its own length
+                cells.append(F.when(fits, F.struct(F.xxhash64("key", F.lit(j), F.substring("line", begin + at + s - 1, m)).alias("key"),
+                                                   F.lit(probe or s != 0).alias("probe"))))
         finer.append(F.when((F.col("probe") == probe) & (F.col("delta") == delta) & (F.col("i") == i) & (F.col("shift") == shift),
                             F.array(*cells)))
-    return (rows.withColumn("key", F.explode(F.coalesce(*finer))).where("key is not null")
-            .select("key", "probe", "delta", "i", "shift", "h").distinct())
+    return rows.select("h", F.explode(F.coalesce(*finer)).alias("k")).where("k is not null").select("k.key", "k.probe", "h").distinct()
 
 
 def _live(rows: DataFrame) -> DataFrame:
