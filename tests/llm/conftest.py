@@ -1,0 +1,6 @@
+"""Skips this folder's modules when the subpackage is not there."""
+
+import importlib.util
+
+if importlib.util.find_spec("attrix.llm") is None:
+    collect_ignore_glob = ["test_*.py"]
