@@ -182,7 +182,7 @@ def _write(folder: str, dictionary: bytes):
                 if out is None:
                     system.create_dir(base, recursive=True)
                     name, n = f"pages-{uuid.uuid4().hex}.warc.zst", 0
-                    out = system.open_output_stream(f"{base}/{name}")
+                    out = system.open_output_stream(f"{base}/{name}", compression=None)
                     out.write(start)
                 if first is not None and first != key:
                     sum32 = base64.b32encode(bytes.fromhex(sha1)).decode()
@@ -229,7 +229,7 @@ def _read(batches):
         for path, expected in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
             system, name = _filesystem(path)
             rows, n = [], 0
-            with system.open_input_stream(name) as stream:
+            with system.open_input_stream(name, compression=None) as stream:
                 for headers, block in read_archive(stream):
                     rows.append(page_of(headers, block) | {"url": headers.get("warc-target-uri")})
                     n += 1
