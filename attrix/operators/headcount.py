@@ -44,9 +44,11 @@ def month_spine(spark: SparkSession, start, end_exclusive) -> DataFrame:
 def monthly_headcount(life: DataFrame, spine_start, end_exclusive,
                       group: str = "location_state", key: str = "employee_key",
                       start: str = "hire_date", end: str = "termination_date",
-                      dense: bool = False) -> DataFrame:
+                      dense: bool = False, weight: str | None = None) -> DataFrame:
     """End-of-month headcount per ``group`` over the month spine.
 
+    ``weight`` names a column with how often a row counts (see ``headcount_rows``).
+
     Output ``(month_start, month_end, <group>, headcount)``; like the grouped
     count it reproduces, a (month, group) row exists only when at least one row
     is active, and ``headcount`` counts non-null keys. A null group is a group.
@@ -59,13 +61,14 @@ def monthly_headcount(life: DataFrame, spine_start, end_exclusive,
     a = F.when(F.col(start).isNotNull(), F.greatest(month_start(start), first))
     b = month_start(end)                               # first month no longer counted
     k = F.when(F.col(key).isNotNull(), 1).otherwise(0)
-    rows = (life.select(F.col(group).alias("g"), a.alias("a"), b.alias("b"), k.alias("k"))
+    n = F.lit(1) if weight is None else F.col(weight)
+    rows = (life.select(F.col(group).alias("g"), a.alias("a"), b.alias("b"), (k * n).alias("k"), n.alias("n"))
                 .where(F.col("a").isNotNull() & (F.col("a") <= last)
                        & (F.col("b").isNull() | (F.col("b") > F.col("a")))))
     events = F.array(
-        F.struct(F.col("a").alias("m"), F.lit(1).alias("dn"), F.col("k").alias("dk")),
+        F.struct(F.col("a").alias("m"), F.col("n").alias("dn"), F.col("k").alias("dk")),
         F.when(F.col("b") <= last,
-               F.struct(F.col("b").alias("m"), F.lit(-1).alias("dn"), (-F.col("k")).alias("dk"))))
+               F.struct(F.col("b").alias("m"), (-F.col("n")).alias("dn"), (-F.col("k")).alias("dk"))))
     deltas = (rows.select("g", F.inline(F.filter(events, lambda e: e.isNotNull())))
                   .groupBy("g", "m")
                   .agg(F.sum("dn").alias("dn"), F.sum("dk").alias("dk")))
@@ -85,6 +88,24 @@ def monthly_headcount(life: DataFrame, spine_start, end_exclusive,
                           F.col("g").alias(group), F.col("hc").alias("headcount")))
 
 
+def headcount_rows(dim: DataFrame, fct: DataFrame, group: str = "location_state", key: str = "employee_key",
+                   start: str = "hire_date", end: str = "termination_date") -> DataFrame:
+    """Weighted rows that count like the lifecycle ``dim LEFT JOIN fct``, without joining them again.
+
+    Each dimension row counts once, open-ended.  The fact already carries its
+    employee's ``start`` and ``group`` (null where the employee is unknown, and a
+    null start never counts): each fact row counts once up to its end, and one row
+    per employee with exits takes the open-ended count back.
+    """
+    cols = [F.col(key), F.col(group), F.col(start)]
+    open_end = F.lit(None).cast(fct.schema[end].dataType).alias(end)
+    known = fct.where(F.col(start).isNotNull() & F.col(key).isNotNull())
+    taken_back = known.select(*cols).dropDuplicates([key])
+    return (dim.select(*cols, open_end, F.lit(1).alias("weight"))
+            .unionByName(known.select(*cols, F.col(end), F.lit(1).alias("weight")))
+            .unionByName(taken_back.select(*cols, open_end, F.lit(-1).alias("weight"))))
+
+
 def monthly_exits(fct: DataFrame, group: str = "location_state",
                   date_col: str = "termination_date", voluntary: str = "is_voluntary",
                   regrettable: str = "is_regrettable") -> DataFrame:

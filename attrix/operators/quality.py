@@ -12,9 +12,9 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from attrix.functions.dates import as_date, as_timestamp, hours_between
+from attrix.functions.dates import as_date, as_timestamp
 from attrix.operators import joins
 
 
@@ -62,13 +62,13 @@ def is_between(df: DataFrame, col: str, lo, hi) -> DataFrame:
 
 def freshness(df: DataFrame, col: str, as_of, warn_hours: int = 25,
               error_hours: int = 48) -> DataFrame:
-    """One row: newest ``col``, its age in hours at ``as_of`` and pass / warn / error."""
+    """One row: newest ``col``, its age in whole hours at ``as_of`` and pass / warn / error by elapsed time."""
     now = as_timestamp(as_of)
-    age = hours_between("max_loaded_at", now)
+    age = F.timestamp_diff("SECOND", F.col("max_loaded_at"), now)   # elapsed time, not hour marks crossed
     return (df.agg(F.max(col).alias("max_loaded_at"))
-              .select("max_loaded_at", now.alias("snapshotted_at"), age.alias("age_hours"),
-                      F.when(F.col("max_loaded_at").isNull() | (age > error_hours), F.lit("error"))
-                       .when(age > warn_hours, F.lit("warn")).otherwise(F.lit("pass"))
+              .select("max_loaded_at", now.alias("snapshotted_at"), F.floor(age / 3600).cast("bigint").alias("age_hours"),
+                      F.when(F.col("max_loaded_at").isNull() | (age > error_hours * 3600), F.lit("error"))
+                       .when(age > warn_hours * 3600, F.lit("warn")).otherwise(F.lit("pass"))
                        .alias("status")))
 
 
@@ -80,7 +80,7 @@ def termination_after_hire(fct: DataFrame) -> DataFrame:
 
 
 def last_day_lte_termination(stg_t: DataFrame) -> DataFrame:
-    return stg_t.where(F.col("last_day_of_work") > F.col("termination_date"))
+    return stg_t.where(ROW_RULES["last_day_lte_termination"]())
 
 
 def active_with_termination(stg_e: DataFrame, stg_t: DataFrame) -> DataFrame:
@@ -96,20 +96,28 @@ def terminated_without_exit(dim: DataFrame, fct: DataFrame) -> DataFrame:
                .join(keys, "employee_key", "left_anti"))
 
 
+#: Rules on single rows, as conditions: the suite counts them in the model's one aggregate pass.
+ROW_RULES = {
+    "last_day_lte_termination": lambda: F.col("last_day_of_work") > F.col("termination_date"),
+    "headcount_non_negative": lambda: F.col("eom_headcount") < 0,
+    "regrettable_subset": lambda: (F.col("regrettable_terminations") > F.col("voluntary_terminations"))
+    | (F.col("rolling_12m_regrettable") > F.col("rolling_12m_voluntary")),
+    "types_sum_to_total": lambda: (F.col("voluntary_terminations") + F.col("involuntary_terminations")
+                                   != F.col("total_terminations"))
+    | (F.col("rolling_12m_voluntary") + F.col("rolling_12m_involuntary") != F.col("rolling_12m_terminations")),
+}
+
+
 def headcount_non_negative(mart: DataFrame) -> DataFrame:
-    return mart.where(F.col("eom_headcount") < 0)
+    return mart.where(ROW_RULES["headcount_non_negative"]())
 
 
 def regrettable_subset(mart: DataFrame) -> DataFrame:
-    return mart.where((F.col("regrettable_terminations") > F.col("voluntary_terminations"))
-                      | (F.col("rolling_12m_regrettable") > F.col("rolling_12m_voluntary")))
+    return mart.where(ROW_RULES["regrettable_subset"]())
 
 
 def types_sum_to_total(mart: DataFrame) -> DataFrame:
-    return mart.where(
-        (F.col("voluntary_terminations") + F.col("involuntary_terminations") != F.col("total_terminations"))
-        | (F.col("rolling_12m_voluntary") + F.col("rolling_12m_involuntary")
-           != F.col("rolling_12m_terminations")))
+    return mart.where(ROW_RULES["types_sum_to_total"]())
 
 
 def spine_contiguous(mart: DataFrame, group: str = "location_state",
@@ -165,18 +173,19 @@ def _row(name, model, column, severity, failures) -> "F.Column":
 def _grouped(c: Check, df: DataFrame):
     col = F.col(c.column)
     a = c.args
+    none = F.lit(None).cast("string")
+    one = F.struct(col.cast("string").alias("v1"), none.alias("v2"))
     if c.test == "unique":
-        return col.cast("string"), col.isNotNull(), "n > 1"
+        return one, col.isNotNull(), "n > 1"
     if c.test == "accepted_values":
-        return col.cast("string"), col.isNotNull() & ~col.isin(list(a["values"])), None
+        return one, col.isNotNull() & ~col.isin(list(a["values"])), None
     if c.test == "not_in_future":
-        return col.cast("string"), col > as_date(a["as_of"]), None
+        return one, col > as_date(a["as_of"]), None
     if c.test == "is_between":
-        return (col.cast("string"), col.isNotNull() & ((col < a["min_value"]) | (col > a["max_value"])),
-                None)
+        return one, col.isNotNull() & ((col < a["min_value"]) | (col > a["max_value"])), None
     if c.test == "not_before_column":
         ref = F.col(a["reference_column"])
-        return (F.concat_ws("|", col.cast("string"), ref.cast("string")),
+        return (F.struct(col.cast("string").alias("v1"), ref.cast("string").alias("v2")),
                 col.isNotNull() & ref.isNotNull() & (col < ref), None)
     return None
 
@@ -213,13 +222,14 @@ def _grouped_counts(df: DataFrame, cks: list[Check]) -> DataFrame:
 
 
 def run_suite(checks: Sequence[Check], models: dict[str, DataFrame],
-              extra: dict[str, tuple[str, str, DataFrame]] | None = None) -> DataFrame:
+              extra: dict[str, tuple[str, str, DataFrame | Column]] | None = None) -> DataFrame:
     """All checks as one lazy table ``(test, model, column, severity, failures)``.
 
-    Per model: all ``not_null`` checks share one aggregate pass (``count_if``
-    per column) and all value-grouped checks share one shuffle
+    Per model: all ``not_null`` checks and row rules share one aggregate pass
+    (``count_if`` each) and all value-grouped checks share one shuffle
     (``_grouped_counts``); ``relationships`` checks are anti joins.
-    ``extra`` maps test name → (model, severity, failing-rows DataFrame).
+    ``extra`` maps test name → (model, severity, failing-rows DataFrame, or the
+    condition of failing rows).
     Pass materialised models: each pass re-reads its model.
     """
     parts = []
@@ -227,15 +237,19 @@ def run_suite(checks: Sequence[Check], models: dict[str, DataFrame],
     for c in checks:
         kind = "nn" if c.test == "not_null" else ("rel" if c.test == "relationships" else "grp")
         by_model.setdefault(c.model, {}).setdefault(kind, []).append(c)
+    rules: dict[str, list] = {}
+    for name, (model, severity, rule) in (extra or {}).items():
+        if isinstance(rule, Column):
+            rules.setdefault(model, []).append((name, None, severity, rule))
+            by_model.setdefault(model, {})
     for model, kinds in by_model.items():
         df = models[model]
-        if kinds.get("nn"):
-            cks = kinds["nn"]
-            agg = df.agg(*[F.count_if(F.col(c.column).isNull()).alias(f"n{i}")
-                           for i, c in enumerate(cks)])
+        rows = [(c.name, c.column, c.severity, F.col(c.column).isNull()) for c in kinds.get("nn", [])] + rules.get(model, [])
+        if rows:
+            agg = df.agg(*[F.count_if(cond).alias(f"n{i}") for i, (_, _, _, cond) in enumerate(rows)])
             parts.append(agg.select(F.inline(F.array(*[
-                _row(c.name, c.model, c.column, c.severity, F.col(f"n{i}"))
-                for i, c in enumerate(cks)]))))
+                _row(name, model, column, severity, F.col(f"n{i}"))
+                for i, (name, column, severity, _) in enumerate(rows)]))))
         if kinds.get("grp"):
             parts.append(_grouped_counts(df, kinds["grp"]))
         for c in kinds.get("rel", []):
@@ -243,6 +257,8 @@ def run_suite(checks: Sequence[Check], models: dict[str, DataFrame],
             parts.append(cnt.select(F.inline(F.array(_row(c.name, c.model, c.column, c.severity,
                                                           F.col("n"))))))
     for name, (model, severity, df) in (extra or {}).items():
+        if isinstance(df, Column):
+            continue
         cnt = df.agg(F.count(F.lit(1)).alias("n"))
         parts.append(cnt.select(F.inline(F.array(_row(name, model, None, severity, F.col("n"))))))
     out = parts[0]

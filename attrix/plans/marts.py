@@ -6,11 +6,13 @@ from pyspark.sql import DataFrame, functions as F
 
 from attrix.functions import (as_date, days_between, flag, month_start, surrogate_key,
                               tenure_bucket)
-from attrix.operators.headcount import monthly_combined, monthly_exits, monthly_headcount
-from attrix.operators.joins import flag_referenced, lifecycle
+from attrix.operators.headcount import (headcount_rows, monthly_combined, monthly_exits,
+                                        monthly_headcount)
+from attrix.operators.joins import flag_referenced
 from attrix.operators.rolling import rolling_turnover
 from attrix.schema import REGRETTABLE_MIN_TENURE_DAYS, ROLLING_MONTHS, SPINE_START
 
+# Model column lists that consumers of the models rely on.
 DIM_COLUMNS = [
     "employee_key", "employee_id", "first_name", "last_name", "full_name", "email",
     "job_title", "department", "worker_type", "manager_id", "location_city",
@@ -41,17 +43,6 @@ def dim_employees(stg: DataFrame) -> DataFrame:
     )
 
 
-FCT_COLUMNS = [
-    "termination_key", "termination_id", "employee_key", "employee_id", "full_name",
-    "first_name", "last_name", "email", "job_title", "department", "worker_type",
-    "location_city", "location_state", "location_country", "manager_id", "is_manager",
-    "hire_date", "termination_date", "last_day_of_work", "termination_type",
-    "termination_reason", "termination_reason_detail", "is_voluntary", "rehire_eligible",
-    "notice_period_days", "recorded_by", "recorded_at", "tenure_at_exit_days",
-    "tenure_at_exit_bucket", "termination_year", "termination_month",
-    "termination_month_start", "termination_quarter", "is_regrettable", "snapshot_date",
-]
-
 _FROM_DIM = ["full_name", "first_name", "last_name", "email", "job_title", "department",
              "worker_type", "location_city", "location_state", "location_country",
              "manager_id", "is_manager", "hire_date"]
@@ -69,8 +60,7 @@ def fct_terminations(stg_t: DataFrame, dim: DataFrame) -> DataFrame:
     tenure = days_between("hire_date", "termination_date")
     return j.select(
         "termination_key", "termination_id", "employee_key", "employee_id",
-        *_FROM_DIM[:4], *_FROM_DIM[4:7], *_FROM_DIM[7:10], "manager_id", "is_manager",
-        "hire_date", "termination_date", "last_day_of_work", "termination_type",
+        *_FROM_DIM, "termination_date", "last_day_of_work", "termination_type",
         "termination_reason", "termination_reason_detail", "is_voluntary", "rehire_eligible",
         "notice_period_days", "recorded_by", "recorded_at",
         F.when(F.col("hire_date").isNotNull() & F.col("termination_date").isNotNull(), tenure)
@@ -92,7 +82,7 @@ def turnover_mart(dim: DataFrame, fct: DataFrame, as_of, spine_start=SPINE_START
     The spine ends before ``as_of``'s month (exclusive end), and rows after that
     month are dropped.
     """
-    life = lifecycle(dim, fct)
-    hc = monthly_headcount(life, spine_start, as_date(as_of), group=group, dense=dense)
+    hc = monthly_headcount(headcount_rows(dim, fct, group=group), spine_start, as_date(as_of), group=group,
+                           dense=dense, weight="weight")
     monthly = monthly_combined(hc, monthly_exits(fct, group=group), group=group)
     return rolling_turnover(monthly, months=months, group=group, as_of=as_of)

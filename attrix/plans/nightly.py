@@ -13,7 +13,7 @@ import logging
 from pyspark.sql import DataFrame, SparkSession
 
 from attrix.operators import filters as FL, runs as RN
-from attrix.session import path_exists
+from attrix.session import bare_path, path_exists
 from attrix.sources.landing import stage
 
 log = logging.getLogger(__name__)
@@ -24,7 +24,7 @@ def _now() -> _dt.datetime:
 
 
 def _confirm_load(spark: SparkSession, landing_base: str, summary: dict, confirm_with: dict) -> None:
-    """Load the entity's new files now and require the run's rows in the load history."""
+    """Load the entity's new files now and require exactly this run's files in the load history."""
     from pyspark.sql import functions as F
     from attrix.streaming.ingest import ingest_stream, read_history
     entity = summary["entity"]
@@ -33,10 +33,12 @@ def _confirm_load(spark: SparkSession, landing_base: str, summary: dict, confirm
                   f"{confirm_with['checkpoint']}/{entity}").awaitTermination()
     if not summary["records"]:
         return
-    day = summary["path"].split(":", 1)[-1] if "://" not in summary["path"] else summary["path"]
-    loaded = (read_history(spark, hist)
-              .where(F.col("file_name").contains(day) & (F.col("status") != "LOAD_FAILED"))
-              .agg(F.sum("row_parsed")).first()[0] or 0)
+    files = spark.createDataFrame([(bare_path(f),) for f in summary["files"]], "_f string")
+    loaded = 0
+    if path_exists(spark, hist):
+        loaded = (read_history(spark, hist).where(F.col("status") != "LOAD_FAILED")
+                  .join(files, bare_path(F.col("file_name")) == F.col("_f"), "left_semi")
+                  .agg(F.sum("row_parsed")).first()[0] or 0)
     if loaded < summary["records"]:
         raise RuntimeError(f"{entity}: staged {summary['records']} records but the load history "
                            f"confirms {loaded}")
@@ -80,11 +82,11 @@ def run_ingest(spark: SparkSession, employees: DataFrame, terminations: DataFram
         if confirm_with:
             _confirm_load(spark, landing_base, emp, confirm_with)
         RN.record_run(spark, runs_path, "employees", run_date, emp["records"], "SUCCESS",
-                      started, keys=[emp["path"]] if emp["path"] else [])
+                      started, keys=emp["files"])
 
         started = _now()
         if empty:
-            term = {"entity": "terminations", "records": 0, "pages": 0, "path": None}
+            term = {"entity": "terminations", "records": 0, "pages": 0, "path": None, "files": []}
         else:
             windowed = FL.filter_window(terminations.withColumn(
                 "_td", terminations["termination_date"].cast("date")), "_td", start, end).drop("_td")
@@ -92,14 +94,14 @@ def run_ingest(spark: SparkSession, employees: DataFrame, terminations: DataFram
         if confirm_with:
             _confirm_load(spark, landing_base, term, confirm_with)
         RN.record_run(spark, runs_path, "terminations", run_date, term["records"], "SUCCESS",
-                      started, keys=[term["path"]] if term["path"] else [])
+                      started, keys=term["files"])
         return {"status": "SUCCESS", "run_date": str(run_date),
                 "incremental_window": {"start": str(start), "end": str(end)},
                 "employees": emp, "terminations": term}
     except Exception as exc:
         try:
             RN.record_run(spark, runs_path, "pipeline", run_date, 0, "FAILED", _now(),
-                          error_message=str(exc)[:4000])
+                          error_message=str(exc))
         except Exception as audit_exc:  # the original error matters more
             log.error("could not write FAILED run record: %s", audit_exc)
         raise

@@ -13,21 +13,23 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from attrix.operators import filters as FL, quality as Q, runs as RN
 from attrix.operators.dedup import latest_per_key
-from attrix.operators.headcount import monthly_combined, monthly_exits, monthly_headcount
+from attrix.operators.headcount import (headcount_rows, month_spine, monthly_combined, monthly_exits,
+                                        monthly_headcount)
 from attrix.operators.joins import lifecycle
 from attrix.operators.rolling import rolling_turnover
 from attrix.plans.build import build, written
-from attrix.plans.dashboard import exits
+from attrix.plans.dashboard import exits, turnover
 from attrix.plans.marts import dim_employees, fct_terminations
 from attrix.plans.nightly import run_ingest
 from attrix.plans.staging import stage_employees, stage_terminations
 from attrix.plans.suite import business_rules, suite
-from attrix.schema import API_TERMINATION, TERMINATION_TYPES
-from attrix.session import ensure_conf, scratch_path
+from attrix.schema import API_TERMINATION, LANDING, TERMINATION_TYPES
+from attrix.session import bare_path, ensure_conf, list_files, move_file, scratch_path
 from attrix.sources import adapters as A
-from attrix.sources.landing import (api_records, read_landing, read_report_json, stage,
-                                    with_page_numbers)
-from attrix.streaming.ingest import ingest_stream, read_history, read_raw, recent_loads
+from attrix.sources.landing import (api_records, coerce_dates, lost_dates, read_landing, read_report_json,
+                                    stage, with_lineage, with_page_numbers)
+from attrix.streaming.ingest import (ingest_stream, load_failures, read_history, read_raw,
+                                     recent_loads)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -65,7 +67,19 @@ def q_lifecycle(spark, sf_dir):
 
 def q_monthly_headcount(spark, sf_dir):
     _, _, dim, fct = _hr(spark, sf_dir)
-    return monthly_headcount(lifecycle(dim, fct), A.ORDERS_SPINE_START, A.ORDERS_AS_OF)
+    return _headcount(dim, fct)
+
+
+def _headcount(dim, fct):
+    return monthly_headcount(headcount_rows(dim, fct), A.ORDERS_SPINE_START, A.ORDERS_AS_OF, weight="weight")
+
+
+def q_month_spine(spark, sf_dir):
+    """The months from the first to before the last order's, a row each."""
+    ensure_conf(spark)
+    span = A.table(spark, sf_dir, "orders").agg(F.min("o_orderdate").cast("date").alias("a"),
+                                                F.max("o_orderdate").cast("date").alias("b")).first()
+    return month_spine(spark, span["a"], span["b"])
 
 
 def q_headcount_orders(spark, sf_dir):
@@ -81,8 +95,7 @@ def q_monthly_exits(spark, sf_dir):
 
 def q_monthly_combined(spark, sf_dir):
     _, _, dim, fct = _hr(spark, sf_dir)
-    hc = monthly_headcount(lifecycle(dim, fct), A.ORDERS_SPINE_START, A.ORDERS_AS_OF)
-    return monthly_combined(hc, monthly_exits(fct))
+    return monthly_combined(_headcount(dim, fct), monthly_exits(fct))
 
 
 def q_rolling_turnover(spark, sf_dir):
@@ -91,8 +104,7 @@ def q_rolling_turnover(spark, sf_dir):
 
 
 def _turnover(dim, fct):
-    hc = monthly_headcount(lifecycle(dim, fct), A.ORDERS_SPINE_START, A.ORDERS_AS_OF)
-    return rolling_turnover(monthly_combined(hc, monthly_exits(fct)), as_of=A.ORDERS_AS_OF)
+    return rolling_turnover(monthly_combined(_headcount(dim, fct), monthly_exits(fct)), as_of=A.ORDERS_AS_OF)
 
 
 def _models(spark, sf_dir):
@@ -131,8 +143,16 @@ def q_page(spark, sf_dir):
     return FL.page(_hr(spark, sf_dir)[0], ["employee_id"], limit=100, offset=200)
 
 
+def q_page_deep(spark, sf_dir):
+    """500 rows from three fifths down the line items, under a key that repeats and is null in places."""
+    ensure_conf(spark)
+    li = A.table(spark, sf_dir, "lineitem")
+    keyed = li.select(F.when(F.col("l_quantity") <= 40, F.col("l_linenumber")).alias("k"), *li.columns)
+    return FL.page(keyed, ["k"], limit=500, offset=3 * li.count() // 5)
+
+
 def q_lookup(spark, sf_dir):
-    return FL.lookup(_hr(spark, sf_dir)[2], "employee_id", "E1")
+    return FL.lookup(_hr(spark, sf_dir)[2], "employee_id", "E1", hashed_key="employee_key")
 
 
 def q_exits_drill(spark, sf_dir):
@@ -140,6 +160,14 @@ def q_exits_drill(spark, sf_dir):
     return exits(_hr(spark, sf_dir)[3], "1-URGENT", "1998-06-01")
 
 
+def q_dashboard_turnover(spark, sf_dir):
+    """The mart written as a table and read for one state."""
+    _, _, dim, fct = _hr(spark, sf_dir)
+    path = scratch_path(spark, "mart")
+    _turnover(dim, fct).write.parquet(path)
+    return turnover(spark, path, "1-URGENT")
+
+
 # -- run log ---------------------------------------------------------------------------
 
 def q_last_success(spark, sf_dir):
@@ -166,6 +194,19 @@ def q_resolve_window(spark, sf_dir):
     return RN.resolve_window(_runs(spark, sf_dir), A.EVENTS_AS_OF)
 
 
+def q_resolve_window_override(spark, sf_dir):
+    return RN.resolve_window(_runs(spark, sf_dir), A.EVENTS_AS_OF, start="2024-01-05", end="2024-01-09")
+
+
+def q_resolve_window_full(spark, sf_dir):
+    return RN.resolve_window(_runs(spark, sf_dir), A.EVENTS_AS_OF, full_load=True)
+
+
+def q_resolve_window_first_run(spark, sf_dir):
+    """An entity without a successful run: thirty days back."""
+    return RN.resolve_window(_runs(spark, sf_dir), A.EVENTS_AS_OF, entity="pipeline")
+
+
 # -- data quality ------------------------------------------------------------------------
 
 def q_dq_unique(spark, sf_dir):
@@ -174,7 +215,13 @@ def q_dq_unique(spark, sf_dir):
 
 
 def q_dq_not_null(spark, sf_dir):
-    return Q.not_null(_hr(spark, sf_dir)[3], "location_state")
+    """Exits of employees that the dimension (here: without one priority's orders) does not know."""
+    _, stg_t, dim, _ = _hr(spark, sf_dir)
+    return Q.not_null(fct_terminations(stg_t, _without_urgent(dim)), "location_state")
+
+
+def _without_urgent(dim):
+    return dim.where(F.col("location_state") != "1-URGENT")
 
 
 def q_dq_accepted_values(spark, sf_dir):
@@ -183,8 +230,8 @@ def q_dq_accepted_values(spark, sf_dir):
 
 
 def q_dq_relationships(spark, sf_dir):
-    _, _, dim, fct = _hr(spark, sf_dir)
-    return Q.relationships(dim, "manager_id", dim, "employee_id")
+    dim = _hr(spark, sf_dir)[2]
+    return Q.relationships(dim, "manager_id", _without_urgent(dim), "employee_id")
 
 
 def q_dq_not_in_future(spark, sf_dir):
@@ -204,7 +251,14 @@ def q_dq_ran_recently(spark, sf_dir):
 
 
 def q_dq_freshness(spark, sf_dir):
-    return Q.freshness(A.hr_inputs(spark, sf_dir)[1], "_pipeline_written_at", "2001-11-06 12:00:00")
+    """Both sources at a fixed time, and terminations 25 hours 50 minutes after the newest row."""
+    raw_e, raw_t = A.hr_inputs(spark, sf_dir)
+    newest = raw_t.agg(F.max("_pipeline_written_at")).first()[0]
+    late = newest + _dt.timedelta(hours=25, minutes=50)
+    cases = [("terminations", raw_t, "2001-11-06 12:00:00"), ("employees", raw_e, "2002-01-01 02:30:00"),
+             ("terminations_late", raw_t, late)]
+    parts = [Q.freshness(df, "_pipeline_written_at", now).select(F.lit(name).alias("source"), "*") for name, df, now in cases]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 def q_dq_terminated_without_exit(spark, sf_dir):
@@ -213,7 +267,8 @@ def q_dq_terminated_without_exit(spark, sf_dir):
 
 
 def q_dq_spine_contiguous(spark, sf_dir):
-    return Q.spine_contiguous(_models(spark, sf_dir)["turnover"])
+    """The mart without its Junes: every July follows a gap."""
+    return Q.spine_contiguous(_models(spark, sf_dir)["turnover"].where(F.month("month_start") != 6))
 
 
 def q_dq_suite(spark, sf_dir):
@@ -223,7 +278,11 @@ def q_dq_suite(spark, sf_dir):
     models = build(raw_e, raw_t, A.ORDERS_AS_OF, A.ORDERS_SPINE_START,
                    materialize=written(spark, scratch_path(spark, "models")),
                    materialize_staging=True)
-    return Q.run_suite(suite(A.ORDERS_AS_OF), models, business_rules(models))
+    rules = business_rules(models, _runs(spark, sf_dir), SUITE_NOW)
+    return Q.run_suite(suite(A.ORDERS_AS_OF), models, rules)
+
+
+SUITE_NOW = "2024-02-01 01:30:00"
 
 
 # -- landing, streaming ingest, report JSON, nightly run ------------------------------
@@ -249,7 +308,15 @@ def q_stage_parquet(spark, sf_dir):
 
 
 def _ingested(spark, sf_dir, entity="terminations"):
-    landing = _staged(spark, sf_dir) if entity == "terminations" else _staged_employees(spark, sf_dir)
+    return _ingest(spark, _staged(spark, sf_dir) if entity == "terminations" else _staged_employees(spark, sf_dir), entity)
+
+
+def _later():
+    """A little after now: the history's load times lie before it."""
+    return _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None) + _dt.timedelta(minutes=5)
+
+
+def _ingest(spark, landing, entity):
     out = scratch_path(spark, "raw")
     q = ingest_stream(spark, landing, entity, f"{out}/raw", f"{out}/history",
                       f"{out}/checkpoint")
@@ -273,8 +340,7 @@ def q_ingest_employees(spark, sf_dir):
 def q_recent_loads(spark, sf_dir):
     """Files loaded in the last 24 hours (as of now): file and row totals per status."""
     h = read_history(spark, f"{_ingested(spark, sf_dir)}/history")
-    now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None) + _dt.timedelta(minutes=5)
-    return (recent_loads(h, now, 24).groupBy("status")
+    return (recent_loads(h, _later(), 24).groupBy("status")
             .agg(F.sum("row_count").alias("row_count")))
 
 
@@ -285,10 +351,60 @@ def q_ingest_stream(spark, sf_dir):
 
 
 def q_load_history(spark, sf_dir):
-    """Rows loaded and parsed per load status over all files of the ingest."""
-    h = read_history(spark, f"{_ingested(spark, sf_dir)}/history")
-    return h.groupBy("status").agg(F.sum("row_count").alias("row_count"),
-                                   F.sum("row_parsed").alias("row_parsed"))
+    """The load history against the landing itself: per status its rows, files that it lacks or has twice, wrong sizes."""
+    base = _staged(spark, sf_dir)
+    out = _ingest(spark, base, "terminations")
+    listed = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+              .load(f"{base}/terminations").select(bare_path(F.col("path")).alias("f"), "length"))
+    h = read_history(spark, f"{out}/history").withColumn("h", bare_path(F.col("file_name")))
+    j = listed.join(h, F.col("f") == F.col("h"), "full")
+    return j.groupBy("status").agg(
+        F.sum("row_count").alias("row_count"), F.sum("row_parsed").alias("row_parsed"),
+        (F.count("*") - F.count_distinct("f", "h")).alias("files_wrong"),
+        F.count_if(F.col("file_size").isNull() | (F.col("file_size") != F.col("length"))).alias("sizes_wrong"))
+
+
+def q_load_failures(spark, sf_dir):
+    """A batch with a broken file and one without rows beside the staged ones: its history, staged files summed."""
+    base = _staged(spark, sf_dir)
+    day = f"{base}/terminations/year=2001/month=11/day=06"
+    terms = _api_terminations(spark, sf_dir)
+    odd = scratch_path(spark, "odd")
+    terms.select("termination_id").orderBy("termination_id").limit(3).coalesce(1).write.text(f"{odd}/broken")
+    coerced = coerce_dates(terms.limit(0))
+    empty = with_lineage(coerced, "terminations", "2001-11-06", STAGE_WRITTEN_AT)
+    empty.select(*[F.col(f.name).cast(f.dataType) for f in LANDING["terminations"].fields]).coalesce(1).write.parquet(f"{odd}/empty")
+    for name in ("broken", "empty"):
+        move_file(spark, list_files(spark, f"{odd}/{name}")[0], f"{day}/{name}.parquet")
+    out = _ingest(spark, base, "terminations")
+    h = read_history(spark, f"{out}/history")
+    name = F.regexp_extract("file_name", "(broken|empty)[.]parquet$", 1)
+    failed = load_failures(h, _later()).select(F.col("file_name").alias("_n"), F.lit(True).alias("listed_as_failure"))
+    return (h.join(failed, F.col("file_name") == F.col("_n"), "left")
+            .groupBy(name.alias("file"), "status", F.coalesce("listed_as_failure", F.lit(False)).alias("listed_as_failure"))
+            .agg(F.sum("row_count").alias("row_count"), F.count_if(F.col("first_error_message").isNotNull()).alias("errors")))
+
+
+def q_ingest_new_checkpoint(spark, sf_dir):
+    """Two landings through two streams (two checkpoints) into one raw table: the rows of both."""
+    terms, out = _api_terminations(spark, sf_dir), scratch_path(spark, "raw")
+    even = F.pmod(F.xxhash64("termination_id"), F.lit(2)) == 0
+    for i, part in enumerate((terms.where(even), terms.where(~even))):
+        base = scratch_path(spark, "landing")
+        stage(part, "terminations", STAGE_RUN_DATE, base, written_at=STAGE_WRITTEN_AT)
+        ingest_stream(spark, base, "terminations", f"{out}/raw", f"{out}/history", f"{out}/checkpoint{i}").awaitTermination()
+    return read_raw(spark, f"{out}/raw", "terminations").drop("_loaded_at", "_pipeline_page_num")
+
+
+def q_coerce_dates(spark, sf_dir):
+    """Dates, date-times with and without an offset, and text: what each becomes, and what is lost."""
+    ensure_conf(spark)
+    o = A.table(spark, sf_dir, "orders")
+    day, k = F.date_format("o_orderdate", "yyyy-MM-dd"), F.col("o_orderkey") % 6
+    text = (F.when(k == 0, day).when(k == 1, F.concat(day, F.lit("T00:00:00Z"))).when(k == 2, F.concat(day, F.lit(" 09:00:00")))
+            .when(k == 3, F.concat(day, F.lit("T23:30:00-05:00"))).when(k == 4, F.lit("31/12/1999")))
+    df = o.select("o_orderkey", text.alias("hire_date"))
+    return coerce_dates(df.withColumn("lost", lost_dates(df)))
 
 
 def q_read_report_json(spark, sf_dir):
@@ -313,8 +429,19 @@ def q_nightly_run(spark, sf_dir):
     for full in (True, False):
         run_ingest(spark, emp, term, f"{base}/landing", f"{base}/runs", run_date=STAGE_RUN_DATE,
                    full_load=full)
-    return RN.read_runs(spark, f"{base}/runs").select("run_date", "entity", "status",
-                                                      "records_staged")
+    # the files that the log names are those of the landing, each named once
+    runs = RN.read_runs(spark, f"{base}/runs")
+    named = runs.select("run_id", F.explode(F.from_json("s3_key", "array<string>")).alias("file"))
+    there = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+             .load(f"{base}/landing").select(bare_path(F.col("path")).alias("f")))
+    per = (named.join(there, bare_path(F.col("file")) == F.col("f"), "left").groupBy("run_id")
+           .agg(F.count("*").alias("named"), F.count("f").alias("found")))
+    unnamed = there.join(named, bare_path(F.col("file")) == F.col("f"), "left_anti").agg(F.count("*").alias("unnamed"))
+    unnamed = unnamed.first()["unnamed"]
+    return (runs.join(per, "run_id", "left").withColumn("unnamed", F.lit(unnamed))
+            .select("run_date", "entity", "status", "records_staged",
+                    (F.coalesce("named", F.lit(0)) > 0).alias("has_files"),
+                    ((F.coalesce("named", F.lit(0)) == F.coalesce("found", F.lit(0))) & (F.col("unnamed") == 0)).alias("files_match")))
 
 
 def q_nightly_turnover(spark, sf_dir):
@@ -353,6 +480,15 @@ QUERIES: dict[str, Query] = {
     "monthly_combined": q_monthly_combined,
     "rolling_turnover": q_rolling_turnover,
     "latest_per_key": q_latest_per_key,
+    "month_spine": q_month_spine,
+    "page_deep": q_page_deep,
+    "dashboard_turnover": q_dashboard_turnover,
+    "resolve_window_override": q_resolve_window_override,
+    "resolve_window_full": q_resolve_window_full,
+    "resolve_window_first_run": q_resolve_window_first_run,
+    "load_failures": q_load_failures,
+    "ingest_new_checkpoint": q_ingest_new_checkpoint,
+    "coerce_dates": q_coerce_dates,
     "filter_terminations": q_filter_terminations,
     "filter_status": q_filter_status,
     "page": q_page,

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from attrix.operators import quality as Q
+from attrix.operators import quality as Q, runs as RN
 from attrix.operators.quality import Check
 from attrix.schema import (EMPLOYMENT_STATUSES, MAX_EXPECTED_TURNOVER_RATE, TENURE_BUCKETS,
                            TERMINATION_REASONS, TERMINATION_TYPES, UNKNOWN_BUCKET, WORKER_TYPES)
@@ -22,6 +22,7 @@ def _cols(model, cols, test, severity="error", **args):
     return [Check(model, c, test, dict(args), severity) for c in cols]
 
 
+# The declared checks, their columns and severities.
 def suite(as_of) -> list[Check]:
     E, T, D, F, R = "stg_employees", "stg_terminations", "dim_employees", "fct_terminations", "turnover"
     return [
@@ -67,17 +68,23 @@ def suite(as_of) -> list[Check]:
     ]
 
 
-def business_rules(models: dict[str, DataFrame]) -> dict:
-    """The singular checks: name → (model, severity, failing rows)."""
+def business_rules(models: dict[str, DataFrame], runs: DataFrame | None = None, now=None) -> dict:
+    """The singular checks: name → (model, severity, failing rows or their condition).
+
+    With the run log and the time of the check, ``pipeline_ran_recently`` is among them.
+    """
     E, T, D, F, R = (models[k] for k in ("stg_employees", "stg_terminations", "dim_employees",
                                          "fct_terminations", "turnover"))
-    return {
+    rules = {
         "termination_after_hire": ("fct_terminations", "error", Q.termination_after_hire(F)),
-        "last_day_lte_termination": ("stg_terminations", "error", Q.last_day_lte_termination(T)),
+        "last_day_lte_termination": ("stg_terminations", "error", Q.ROW_RULES["last_day_lte_termination"]()),
         "active_with_termination": ("stg_employees", "warn", Q.active_with_termination(E, T)),
         "terminated_without_exit": ("dim_employees", "warn", Q.terminated_without_exit(D, F)),
-        "headcount_non_negative": ("turnover", "error", Q.headcount_non_negative(R)),
-        "regrettable_subset": ("turnover", "error", Q.regrettable_subset(R)),
-        "types_sum_to_total": ("turnover", "error", Q.types_sum_to_total(R)),
-        "spine_contiguous": ("turnover", "warn", Q.spine_contiguous(R)),
+        "headcount_non_negative": ("turnover", "error", Q.ROW_RULES["headcount_non_negative"]()),
+        "regrettable_subset": ("turnover", "error", Q.ROW_RULES["regrettable_subset"]()),
+        "types_sum_to_total": ("turnover", "error", Q.ROW_RULES["types_sum_to_total"]()),
+        "spine_contiguous": ("turnover", "error", Q.spine_contiguous(R)),
     }
+    if runs is not None:
+        rules["pipeline_ran_recently"] = ("runs", "error", RN.ran_recently(runs, now))
+    return rules

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import atexit
 import os
+import re
 import shutil
 import tempfile
 import uuid
@@ -45,13 +46,12 @@ def scale_conf(input_bytes: int, total_cores: int,
                target_partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
     """Sizing for a cluster run: partitions of about ``target_partition_bytes``.
 
-    Shuffle partitions start at input / target, clamped to 2–8 × cores: more
-    reducers would multiply shuffle blocks (maps × reducers) without adding
-    parallelism, and AQE coalesces small partitions and splits skewed ones at
+    Shuffle partitions are input / target, at least two per core, whatever the
+    input's size: AQE coalesces small partitions and splits skewed ones at
     runtime. File splits use the same target so scan tasks fit in executor
     memory without spilling.
     """
-    parts = min(8 * total_cores, max(2 * total_cores, -(-input_bytes // target_partition_bytes)))
+    parts = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
     return {
         "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
@@ -65,10 +65,7 @@ def scale_conf(input_bytes: int, total_cores: int,
 def ensure_conf(spark: SparkSession) -> None:
     """Apply the runtime-settable parts of REQUIRED_CONF to an existing session."""
     for k, v in REQUIRED_CONF.items():
-        try:
-            spark.conf.set(k, v)
-        except Exception:  # static conf on a shared session: leave as is
-            pass
+        spark.conf.set(k, v)
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -109,3 +106,40 @@ def path_exists(spark: SparkSession, path: str) -> bool:
             return len(spark.read.format("binaryFile").load(path).select("path").limit(1).collect()) > 0
         except Exception:
             return False
+
+
+def list_files(spark: SparkSession, path: str) -> list[str]:
+    """Data files directly under ``path`` on its filesystem, fully qualified and sorted."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return []
+    names = [f.getPath().toString() for f in fs.listStatus(p) if f.isFile()]
+    return sorted(n for n in names if not n.rsplit("/", 1)[-1].startswith(("_", ".")))
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder that this process made."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def move_file(spark: SparkSession, source: str, target: str) -> None:
+    """Move one file on its filesystem, making the target's folder."""
+    jvm = spark.sparkContext._jvm
+    p, q = jvm.org.apache.hadoop.fs.Path(source), jvm.org.apache.hadoop.fs.Path(target)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(q.getParent())
+    if not fs.rename(p, q):
+        raise OSError(f"could not move {source} to {target}")
+
+
+def bare_path(path):
+    """A file path for comparisons (str or Column): percent-decoded, ``file:///x`` and ``file:/x`` alike."""
+    if isinstance(path, str):
+        from urllib.parse import unquote
+        return re.sub("^file:/+", "/", unquote(path))
+    from pyspark.sql import functions as F
+    return F.regexp_replace(F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))), "^file:/+", "/")

@@ -55,7 +55,7 @@ def _employee_attrs(o: DataFrame) -> list:
         F.concat(F.lit("Order"), F.col("o_orderkey"), F.lit(" ")).alias("last_name"),
         F.concat(F.lit("E"), F.col("o_orderkey"), F.lit("@Corp.Example ")).alias("email"),
         F.concat(F.lit("Grade "), F.substring(pr, 1, 1)).alias("job_title"),
-        F.substring(pr, 3, 100).alias("department"),
+        F.expr("substring(o_orderpriority, 3)").alias("department"),
         F.lower(pr).alias("location_city"),
         F.concat(F.lit(" "), F.lower(pr)).alias("location_state"),
         F.lit("us").alias("location_country"),

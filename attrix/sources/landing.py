@@ -12,11 +12,12 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from attrix.functions.dates import as_date, as_timestamp
 from attrix.schema import (API, DATE_COLUMNS, LANDING, NATURAL_KEY, PAGE_SIZE, RAW,
                            envelope)
+from attrix.session import list_files, remove_path, scratch_path
 
 _PID, _MID = "__attrix_pid", "__attrix_mid"
 
@@ -27,18 +28,43 @@ def read_report_json(spark: SparkSession, path: str, record_schema,
 
     ``total_records`` is ignored: rows are counted, not trusted from the header.
     An envelope holds one bounded page, so no task sees more than a page at once.
+    An envelope that does not parse, or has no ``data`` list, fails the read: its
+    records must not get lost silently.
     """
-    env = spark.read.schema(envelope(record_schema)).option("multiLine", multiline).json(path)
-    return env.select(F.explode("data").alias("d")).select("d.*")
+    bad = "_attrix_bad"
+    schema = T.StructType([*envelope(record_schema).fields, T.StructField(bad, T.StringType())])
+    env = (spark.read.schema(schema).option("multiLine", multiline).option("mode", "PERMISSIVE")
+           .option("columnNameOfCorruptRecord", bad).json(path))
+    broken = F.raise_error(F.concat(F.lit("unreadable report envelope in "), F.col("_metadata.file_path")))
+    data = F.when(F.col(bad).isNotNull() | F.col("data").isNull(), broken.cast(T.ArrayType(record_schema))).otherwise(F.col("data"))
+    return env.select(F.explode(data).alias("d")).select("d.*")
 
 
 def coerce_dates(df: DataFrame, cols: Sequence[str] = DATE_COLUMNS) -> DataFrame:
-    """ISO date strings → DATE; an unparseable value becomes null (never an error)."""
-    out = df
-    for c in cols:
-        if c in df.columns and dict(df.dtypes)[c] == "string":
-            out = out.withColumn(c, F.try_to_date(F.col(c), "yyyy-MM-dd"))
-    return out
+    """ISO dates and date-times → DATE; an unparseable value becomes null (never an error).
+
+    A date-time gives the date it is written with, whatever its offset.
+    ``lost_dates`` counts the values that become null.
+    """
+    return df.withColumns({c: _date_of(c) for c in _date_strings(df, cols)})
+
+
+def _date_strings(df: DataFrame, cols: Sequence[str]) -> list[str]:
+    types = dict(df.dtypes)
+    return [c for c in cols if types.get(c) == "string"]
+
+
+def _date_of(c: str):
+    v = F.trim(F.col(c))
+    stamped = F.when(F.length(v) > 10, v.try_cast("timestamp"))
+    return F.coalesce(F.try_to_date(v, "yyyy-MM-dd"),
+                      F.when(stamped.isNotNull(), F.try_to_date(F.substring(v, 1, 10), "yyyy-MM-dd")))
+
+
+def lost_dates(df: DataFrame, cols: Sequence[str] = DATE_COLUMNS) -> Column:
+    """Number of a row's non-null date strings that ``coerce_dates`` turns into null."""
+    return sum((F.when(F.col(c).isNotNull() & _date_of(c).isNull(), 1).otherwise(0)
+                for c in _date_strings(df, cols)), F.lit(0))
 
 
 def with_page_numbers(df: DataFrame, order: Sequence[str], page_size: int = PAGE_SIZE,
@@ -50,7 +76,7 @@ def with_page_numbers(df: DataFrame, order: Sequence[str], page_size: int = PAGE
 
 
 def with_row_index(df: DataFrame, order: Sequence[str], out: str = "row_index",
-                   partitions: int | None = None) -> DataFrame:
+                   partitions: int | None = None, nulls_last: bool = False) -> DataFrame:
     """Zero-based contiguous rank under ``order`` (made total by the remaining columns).
 
     Distributed, without a single-partition window: range-partition on the
@@ -59,7 +85,8 @@ def with_row_index(df: DataFrame, order: Sequence[str], out: str = "row_index",
     position inside its partition. The offset table is bounded by the
     partition count, so it is broadcast safely.
     """
-    keys = list(order) + [c for c in df.columns if c not in order]
+    keys = [F.col(c).asc_nulls_last() if nulls_last else F.col(c).asc()
+            for c in [*order, *[c for c in df.columns if c not in order]]]
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # range bounds on the full total order: a natural key held by a third of the rows
     # is still split across partitions by the remaining columns
@@ -106,12 +133,18 @@ def stage(df: DataFrame, entity: str, run_date, base_path: str, written_at=None,
     one file per write task, because files of a few hundred records — a memory
     bound for a single-process extractor — would mean millions of tiny files at
     scale; ``records_per_file`` caps rows per file when a consumer needs it.
-    Row and page totals come from an ``Observation`` on the write itself, so
-    the input is scanned once; an empty input writes no data files.
+    The coerced records are written once to the shared folder before they are
+    ranked (ranging samples its input), so the input is scanned once; row, page
+    and lost-date totals come from an ``Observation`` on the writes themselves.
+    An empty input writes no data files.  ``files`` in the summary lists what
+    this run wrote.
     """
     run_date = run_date if isinstance(run_date, _dt.date) else _dt.date.fromisoformat(str(run_date))
-    schema = LANDING[entity]
-    typed = coerce_dates(df)
+    schema, spark = LANDING[entity], df.sparkSession
+    seen, scratch = Observation(f"records_{entity}"), scratch_path(spark, "records")
+    counted = df.withColumn("_lost", lost_dates(df)).observe(seen, F.sum("_lost").alias("lost"))
+    coerce_dates(counted.drop("_lost")).write.parquet(scratch)
+    typed = spark.read.parquet(scratch)
     staged = with_lineage(typed, entity, run_date, written_at, page_size)
     staged = staged.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
     obs = Observation(f"stage_{entity}")
@@ -125,13 +158,16 @@ def stage(df: DataFrame, entity: str, run_date, base_path: str, written_at=None,
     w = part.write.mode("append").option("compression", "snappy")
     if records_per_file:
         w = w.option("maxRecordsPerFile", records_per_file)
+    day_dir = f"{root}/year={run_date.year}/month={run_date.month:02d}/day={run_date.day:02d}"
+    before = set(list_files(spark, day_dir))
     w.partitionBy("year", "month", "day").parquet(root)
+    remove_path(spark, scratch)
     m = obs.get
     rows = int(m.get("rows") or 0)
     pages = 0 if rows == 0 else int(m["max_page"]) + 1
-    day_dir = f"{root}/year={run_date.year}/month={run_date.month:02d}/day={run_date.day:02d}"
     return {"entity": entity, "run_date": str(run_date), "records": rows, "pages": pages,
-            "path": day_dir if rows else None}
+            "dates_lost": int(seen.get.get("lost") or 0), "path": day_dir if rows else None,
+            "files": sorted(set(list_files(spark, day_dir)) - before)}
 
 
 def read_landing(spark: SparkSession, base_path: str, entity: str, start=None,
@@ -151,14 +187,14 @@ def read_landing(spark: SparkSession, base_path: str, entity: str, start=None,
 
 def to_raw(df: DataFrame, entity: str, loaded_at=None) -> DataFrame:
     """Cast landing/API columns to the raw types (try-casts) and stamp ``_loaded_at``."""
-    out = []
+    out, types = [], dict(df.dtypes)
     for f in RAW[entity].fields:
         if f.name == "_loaded_at":
             out.append((as_timestamp(loaded_at) if loaded_at is not None
                         else F.localtimestamp()).alias("_loaded_at"))
-        elif f.name not in df.columns:
+        elif f.name not in types:
             out.append(F.lit(None).cast(f.dataType).alias(f.name))
-        elif f.dataType.typeName() == "timestamp_ntz" and dict(df.dtypes)[f.name] == "string":
+        elif f.dataType.typeName() == "timestamp_ntz" and types[f.name] == "string":
             # ISO strings with an offset ('...Z') parse as instants, kept as UTC wall clock
             out.append(F.col(f.name).try_cast("timestamp").cast("timestamp_ntz").alias(f.name))
         else:
@@ -181,10 +217,10 @@ def cluster_for_write(df: DataFrame, cols: Sequence[str], partitions: int | None
 
 def api_records(df: DataFrame, entity: str) -> DataFrame:
     """Project a typed frame to the API record shape (dates/timestamps as ISO strings)."""
-    cols = []
+    cols, types = [], dict(df.dtypes)
     for f in API[entity].fields:
         c = F.col(f.name)
-        t = dict(df.dtypes).get(f.name)
+        t = types.get(f.name)
         if t == "date":
             c = F.date_format(c, "yyyy-MM-dd")
         elif t and t.startswith("timestamp"):

@@ -7,8 +7,9 @@ reads them with the declared schema, casts to the raw types, stamps
 ``_loaded_at`` and writes the rows plus one load-history row per file.
 
 * Exactly once per file: the stream's checkpointed file log.
-* Exactly once per row: each micro-batch writes its own ``_batch_id=N``
-  partition with dynamic overwrite, so a replayed batch replaces its output.
+* Exactly once per row: each micro-batch writes its own partition (stream id,
+  batch id) with dynamic overwrite, so a replayed batch replaces its output and a
+  stream with a new checkpoint adds to the table.
 * Foreign files: if the batch cannot be read with the declared schema (a page
   whose all-null column was written with another physical type), files are
   checked one by one: compatible footers are read with the declared schema,
@@ -19,13 +20,16 @@ reads them with the declared schema, casts to the raw types, stamps
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from attrix.functions.dates import as_timestamp
 from attrix.schema import LANDING, LOAD_HISTORY, RAW, RAW_CLUSTER
+from attrix.session import bare_path
 
-BATCH_COL = "_batch_id"
+BATCH_COL, STREAM_COL = "_batch_id", "_stream_id"
 _BINARY = "path string, modificationTime timestamp, length long, content binary"
 
 
@@ -44,12 +48,12 @@ def _declared(spark, paths, entity) -> DataFrame:
                  .withColumn("_file_path", F.col("_metadata.file_path")))
 
 
-def _own_schema(spark, path, entity) -> DataFrame:
-    """One foreign file read with its own footer schema, cast to the declared landing types."""
-    df = spark.read.parquet(path)
-    cols = []
+def _own_schema(spark, paths, entity) -> DataFrame:
+    """Foreign files of one schema read with it, cast to the declared landing types."""
+    df = spark.read.parquet(*paths)
+    cols, have = [], set(df.columns)
     for f in LANDING[entity].fields:
-        if f.name in df.columns:
+        if f.name in have:
             cols.append(F.col(f.name).try_cast(f.dataType).alias(f.name))
         else:
             cols.append(F.lit(None).cast(f.dataType).alias(f.name))
@@ -88,92 +92,105 @@ def _to_raw_with_losses(landing: DataFrame, entity: str) -> DataFrame:
     return landing.select("_file_path", *raw_cols, lost_expr.alias("_lost"), *per_col)
 
 
-def _write(out: DataFrame, sizes: dict, failed: list, entity: str, batch_id: int,
-           raw_path: str, history_path: str) -> None:
-    spark = out.sparkSession
-    out = out.persist()
-    try:
-        cols = [f.name for f in RAW[entity].fields]
-        # clustered: sorted on the common filter columns so row-group min/max prune scans
-        (out.select(*cols).withColumn(BATCH_COL, F.lit(batch_id).cast("bigint"))
-            .sortWithinPartitions(*RAW_CLUSTER[entity])
-            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy(BATCH_COL).parquet(raw_path))
-        size_df = spark.createDataFrame(list(sizes.items()), "_file_path string, file_size long")
-        lost_cols = [c for c in out.columns if c.startswith("_lost__")]
-        # per column: how many non-null inputs the cast turned into null, e.g. "hire_date=3"
-        detail = F.concat_ws(", ", *[F.when(F.col(c) > 0, F.concat(F.lit(c[len("_lost__"):] + "="),
-                                                                   F.col(c)))
-                                     for c in lost_cols])
-        loaded = (out.groupBy("_file_path")
-                     .agg(F.count(F.lit(1)).alias("row_parsed"),
-                          F.count_if(F.col("_lost") == 0).alias("row_count"),
-                          F.sum("_lost").alias("_lost_values"),
-                          F.max("_loaded_at").alias("last_load_time"),
-                          *[F.sum(c).alias(c) for c in lost_cols])
-                     .join(size_df, "_file_path", "left")
-                     .select(F.col("_file_path").alias("file_name"), "file_size",
-                             "row_count", "row_parsed",
-                             F.when(F.col("_lost_values") > 0,
-                                    F.concat(F.lit("values lost in cast: "), detail))
-                              .alias("first_error_message"),
-                             F.when(F.col("_lost_values") > 0, F.lit("PARTIALLY_LOADED"))
-                              .otherwise(F.lit("LOADED")).alias("status"),
-                             "last_load_time"))
-        if failed:
-            bad = spark.createDataFrame(
-                [(p, sizes.get(p), 0, 0, err[:1000], "LOAD_FAILED") for p, err in failed],
-                "file_name string, file_size long, row_count long, row_parsed long, "
-                "first_error_message string, status string"
-            ).withColumn("last_load_time", F.localtimestamp())
-            loaded = loaded.unionByName(bad)
-        (loaded.withColumn(BATCH_COL, F.lit(batch_id).cast("bigint"))
-               .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-               .partitionBy(BATCH_COL).parquet(history_path))
-    finally:
-        out.unpersist()
+def _append(df: DataFrame, stream_id: str, batch_id: int, path: str) -> None:
+    """Write into the partition of this stream and micro-batch, replacing only a replay of itself."""
+    (df.withColumn(STREAM_COL, F.lit(stream_id)).withColumn(BATCH_COL, F.lit(batch_id).cast("bigint"))
+       .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+       .partitionBy(STREAM_COL, BATCH_COL).parquet(path))
+
+
+def _history(out: DataFrame, files: DataFrame, failed: DataFrame) -> DataFrame:
+    """One row per arrived file: those without data rows and those that failed included."""
+    lost_cols = [c for c in out.columns if c.startswith("_lost__")]
+    # per column: how many non-null inputs the cast turned into null, e.g. "hire_date=3"
+    detail = F.concat_ws(", ", *[F.when(F.col(c) > 0, F.concat(F.lit(c[len("_lost__"):] + "="), F.col(c)))
+                                 for c in lost_cols])
+    seen = (out.groupBy(bare_path(F.col("_file_path")).alias("_seen"))
+               .agg(F.count(F.lit(1)).alias("rows"), F.sum("_lost").alias("lost"), *[F.sum(c).alias(c) for c in lost_cols]))
+    lost = F.coalesce(F.col("lost"), F.lit(0)) > 0
+    rows = F.coalesce(F.col("rows"), F.lit(0)).cast("bigint")
+    return (files.join(seen, bare_path(F.col("path")) == F.col("_seen"), "left")
+                 .join(failed.withColumnRenamed("path", "_failed"), F.col("path") == F.col("_failed"), "left")
+                 .select(F.col("path").alias("file_name"), F.col("length").alias("file_size"),
+                         rows.alias("row_count"), rows.alias("row_parsed"),
+                         F.coalesce("error", F.when(lost, F.concat(F.lit("values lost in cast: "), detail)))
+                          .alias("first_error_message"),
+                         F.when(F.col("_failed").isNotNull(), F.lit("LOAD_FAILED"))
+                          .when(lost, F.lit("PARTIALLY_LOADED")).otherwise(F.lit("LOADED")).alias("status"),
+                         F.localtimestamp().alias("last_load_time")))
+
+
+def _is_file_fault(exc: Exception) -> bool:
+    """Whether an error says that a file's footer or column types are not what was declared.
+
+    Everything else (a storage error, a lost executor, a full disk) is raised: the batch
+    then fails as a whole and the stream reads its files again.
+    """
+    text = str(exc)
+    return any(x in text for x in _FILE_FAULTS)
+
+
+_FILE_FAULTS = ("PARQUET_COLUMN_DATA_TYPE_MISMATCH", "CANNOT_READ_FILE_FOOTER", "is not a Parquet file",
+                "UNABLE_TO_INFER_SCHEMA", "SchemaColumnConvertNotSupportedException", "CANNOT_MERGE_SCHEMAS")
+
+
+def _footers(spark: SparkSession, paths: list[str]) -> tuple[dict[str, object], list[tuple[str, str]]]:
+    """Schema of each readable file, and (path, error) of the others; footers are read side by side."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    def one(path):
+        try:
+            return path, spark.read.parquet(path).schema, None
+        except Exception as exc:
+            if not _is_file_fault(exc):
+                raise
+            return path, None, str(exc) or repr(exc)
+
+    with ThreadPoolExecutor(FOOTER_THREADS) as pool:
+        read = list(pool.map(one, paths))
+    return {p: s for p, s, e in read if e is None}, [(p, e) for p, s, e in read if e is not None]
 
 
 def write_batch(files: DataFrame, batch_id: int, entity: str, raw_path: str,
-                history_path: str) -> None:
-    """Load one micro-batch of landing files (idempotent per ``batch_id``)."""
+                history_path: str, stream_id: str = "stream") -> None:
+    """Load one micro-batch of landing files (idempotent per stream and ``batch_id``)."""
     spark = files.sparkSession
     # file metadata only: at most maxFilesPerTrigger (path, size) pairs
-    sizes = {r["path"]: r["length"] for r in files.collect()}
-    if not sizes:
+    listed = [(r["path"], r["length"]) for r in files.collect()]
+    if not listed:
         return
-    paths = sorted(sizes)
+    paths = sorted(p for p, _ in listed)
+    cols = [f.name for f in RAW[entity].fields]
+    known = spark.createDataFrame(listed, "path string, length long")
+    no_failure = spark.createDataFrame([], "path string, error string")
+
+    def load(landing: DataFrame, failed: DataFrame) -> None:
+        out = _to_raw_with_losses(landing, entity)
+        # clustered: sorted on the common filter columns so row-group min/max prune scans
+        _append(out.select(*cols).sortWithinPartitions(*RAW_CLUSTER[entity]), stream_id, batch_id, raw_path)
+        _append(_history(out, known, failed), stream_id, batch_id, history_path)
+
     try:
-        _write(_to_raw_with_losses(_declared(spark, paths, entity), entity), sizes, [], entity,
-               batch_id, raw_path, history_path)
-        return
-    except Exception:
-        pass  # some footer disagrees with the declared schema: sort the files out one by one
-    good, frames, failed = [], [], []
+        return load(_declared(spark, paths, entity), no_failure)
+    except Exception as exc:
+        if not _is_file_fault(exc):
+            raise
+    # some footer disagrees with the declared schema: sort the files by what they hold
+    schemas, failed = _footers(spark, paths)
+    good = [p for p in paths if p in schemas and _compatible(schemas[p], entity)]
+    foreign: dict[str, list[str]] = {}
     for p in paths:
-        try:
-            schema = spark.read.parquet(p).schema
-        except Exception as exc:
-            failed.append((p, str(exc).splitlines()[0] if str(exc) else repr(exc)))
-            continue
-        if _compatible(schema, entity):
-            good.append(p)
-        else:
-            frames.append(_own_schema(spark, p, entity))
-    if good:
-        frames.insert(0, _declared(spark, good, entity))
-    if frames:
-        landing = frames[0]
-        for f in frames[1:]:
-            landing = landing.unionByName(f)
-    else:
-        landing = spark.createDataFrame([], LANDING[entity]).withColumn(
-            "_file_path", F.lit(None).cast("string"))
-    _write(_to_raw_with_losses(landing, entity), sizes, failed, entity, batch_id, raw_path,
-           history_path)
+        if p in schemas and p not in good:
+            foreign.setdefault(schemas[p].json(), []).append(p)
+    landing = (_declared(spark, good, entity) if good else
+               spark.createDataFrame([], LANDING[entity]).withColumn("_file_path", F.lit(None).cast("string")))
+    for same in foreign.values():
+        landing = landing.unionByName(_own_schema(spark, same, entity))
+    load(landing, spark.createDataFrame(failed, "path string, error string") if failed else no_failure)
 
 
 MAX_FILES_PER_BATCH = 10_000
+FOOTER_THREADS = 16
 
 
 def ingest_stream(spark: SparkSession, landing_base: str, entity: str, raw_path: str,
@@ -185,10 +202,16 @@ def ingest_stream(spark: SparkSession, landing_base: str, entity: str, raw_path:
 
     ``max_files_per_trigger`` bounds each micro-batch (and the file list its
     driver-side batch function sees); ``availableNow`` still drains everything,
-    in as many batches as needed.
+    in as many batches as needed.  Rows are filed under the stream's own id, which
+    its checkpoint keeps: a stream with a new checkpoint adds to the tables.
     """
-    w = (landing_files(spark, landing_base, entity, max_files_per_trigger).writeStream
-         .foreachBatch(lambda b, i: write_batch(b, i, entity, raw_path, history_path))
+    def batch(files: DataFrame, batch_id: int) -> None:
+        # the checkpoint's metadata file holds the id that restarts of this stream share
+        head = spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()["value"]
+        write_batch(files, batch_id, entity, raw_path, history_path, json.loads(head)["id"])
+
+    w = (landing_files(spark, landing_base, entity, max_files_per_trigger or MAX_FILES_PER_BATCH).writeStream
+         .foreachBatch(batch)
          .option("checkpointLocation", checkpoint)
          .queryName(f"ingest_{entity}"))
     w = w.trigger(availableNow=True) if available_now else w.trigger(
@@ -203,9 +226,9 @@ def read_raw(spark: SparkSession, raw_path: str, entity: str) -> DataFrame:
 
 
 def read_history(spark: SparkSession, history_path: str) -> DataFrame:
-    """Per-file load history (``_batch_id`` is the micro-batch partition)."""
+    """Per-file load history (``_stream_id`` and ``_batch_id`` are its partitions)."""
     return spark.read.parquet(history_path).select(
-        *[F.col(f.name).cast(f.dataType) for f in LOAD_HISTORY.fields], BATCH_COL)
+        *[F.col(f.name).cast(f.dataType) for f in LOAD_HISTORY.fields], STREAM_COL, BATCH_COL)
 
 
 def recent_loads(hist: DataFrame, as_of, hours: int = 24) -> DataFrame:

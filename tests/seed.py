@@ -1,7 +1,6 @@
-"""The reference's mock seed: 8 employees and 8 terminations (test fixture data).
+"""A small invented company: joiners, leavers, an emptied state, unknown and repeat leavers, a late entry.
 
-Only the columns the metrics need carry the seed's values; the other text
-columns hold placeholders.
+Only the columns the metrics need carry values of their own; the others hold placeholders.
 """
 
 import datetime as dt
@@ -14,32 +13,33 @@ WRITTEN = dt.datetime(2025, 4, 1, 2, 0, 0)
 
 # employee_id, state, hire_date, status, manager_id
 EMPLOYEES = [
-    ("EMP-1001", "MO", "2020-03-15", "Active", "EMP-0201"),
-    ("EMP-1002", "MO", "2021-07-01", "Active", "EMP-0105"),
-    ("EMP-1003", "TX", "2018-11-20", "Terminated", "EMP-0088"),
-    ("EMP-1004", "CO", "2022-01-10", "Active", "EMP-0044"),
-    ("EMP-1005", "GA", "2019-05-06", "Terminated", "EMP-0201"),
-    ("EMP-1006", "TX", "2023-03-27", "Active", "EMP-0312"),
-    ("EMP-1007", "TX", "2017-08-14", "Terminated", "EMP-0088"),
-    ("EMP-1008", "AZ", "2024-01-08", "Active", "EMP-0044"),
+    ("A1", "OR", "2016-05-31", "Active", None),
+    ("A2", "OR", "2022-09-12", "Active", "A1"),
+    ("A3", "OR", "2019-01-02", "Terminated", "A1"),
+    ("A4", "OR", "2024-12-30", "Active", "A2"),
+    ("B1", "VT", "2023-02-28", "Terminated", "A1"),       # the only one there
+    ("C1", "NM", "2014-06-16", "Active", "Z9"),           # hired before the spine starts
+    ("C2", "NM", "2020-11-05", "Terminated", "C1"),       # leaves twice
+    ("C3", "NM", "2024-07-01", "Terminated", "C1"),       # leaves within three months
+    ("C4", "NM", "2021-03-15", "Terminated", "C1"),       # terminated, no record of it
+    ("D1", None, "2021-01-04", "Active", "C1"),           # no state
 ]
 
 # id, employee, termination_date, last_day, type, reason
 TERMINATIONS = [
-    ("TERM-3001", "EMP-1003", "2024-06-30", "2024-06-28", "Voluntary", "Resignation"),
-    ("TERM-3002", "EMP-1005", "2024-09-15", "2024-09-15", "Involuntary", "Performance"),
-    ("TERM-3003", "EMP-1007", "2025-01-10", "2025-01-10", "Voluntary", "Retirement"),
-    ("TERM-3004", "EMP-2010", "2024-03-01", "2024-02-29", "Involuntary", "Layoff"),
-    ("TERM-3005", "EMP-2045", "2024-11-22", "2024-11-22", "Voluntary", "Resignation"),
-    ("TERM-3006", "EMP-2067", "2025-02-14", "2025-02-14", "Involuntary", "Termination for Cause"),
-    ("TERM-3007", "EMP-2089", "2024-07-19", "2024-07-19", "Voluntary", "Resignation"),
-    ("TERM-3008", "EMP-2101", "2024-12-31", "2024-12-31", "Voluntary", "Resignation"),
+    ("L1", "A3", "2024-05-31", "2024-05-24", "Voluntary", "Resignation"),
+    ("L2", "B1", "2024-10-01", "2024-10-01", "Involuntary", "Layoff"),
+    ("L3", "C2", "2022-08-19", "2022-08-19", "Voluntary", "Retirement"),
+    ("L4", "C2", "2024-11-30", "2024-11-15", "Involuntary", "Performance"),
+    ("L5", "C3", "2024-09-10", "2024-09-10", "Voluntary", "Resignation"),
+    ("L6", "X1", "2024-04-02", "2024-03-29", "Voluntary", "Resignation"),          # unknown employee
+    ("L7", "X2", "2023-12-15", "2023-12-15", "Involuntary", "Termination for Cause"),
 ]
 
 
 def raw_employees(spark, rows=EMPLOYEES, run_date=RUN):
-    data = [(eid, f"First{eid[-4:]}", f"Last{eid[-4:]}", f"{eid.lower()}@example.com", "Analyst",
-             "Ops", "City", st, "USA", D(h), status, "Employee", mgr,
+    data = [(eid, f"First{eid}", f"Last{eid}", f"{eid}@example.org", "Clerk",
+             "Store", "Town", st, "USA", D(h), status, "Employee", mgr,
              "employees", run_date, 0, WRITTEN, WRITTEN)
             for eid, st, h, status, mgr in rows]
     return spark.createDataFrame(data, RAW_EMPLOYEE)

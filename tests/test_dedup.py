@@ -31,10 +31,10 @@ def test_partial_group_limit_before_exchange(spark):
 def test_staging_keeps_latest_snapshot(spark):
     import seed
     early = seed.raw_employees(spark, run_date=dt.date(2025, 3, 1))
-    late = seed.raw_employees(spark, rows=[("EMP-1001", "KS", "2020-03-15", "Terminated", None)],
+    late = seed.raw_employees(spark, rows=[("A1", "KS", "2016-05-31", "Terminated", None)],
                               run_date=dt.date(2025, 3, 2))
     from attrix.plans.staging import stage_employees
-    r = stage_employees(early.unionByName(late), "2025-04-01").where("employee_id = 'EMP-1001'").first()
+    r = stage_employees(early.unionByName(late), "2025-04-01").where("employee_id = 'A1'").first()
     assert (r["location_state"], r["employment_status"], r["snapshot_date"]) == \
         ("KS", "TERMINATED", dt.date(2025, 3, 2))
 
@@ -56,11 +56,11 @@ def test_staging_incremental_path(spark):
     import seed
     from attrix.plans.staging import latest_raw, stage_employees
     day1 = seed.raw_employees(spark, run_date=dt.date(2025, 3, 1))
-    day2 = seed.raw_employees(spark, rows=[("EMP-1001", "KS", "2020-03-15", "Terminated", None),
-                                            ("EMP-9999", "NE", "2025-03-02", "Active", None)],
+    day2 = seed.raw_employees(spark, rows=[("A1", "KS", "2016-05-31", "Terminated", None),
+                                            ("N9", "NE", "2025-03-02", "Active", None)],
                               run_date=dt.date(2025, 3, 2))
     kept = latest_raw(day1, "employees")
     inc = stage_employees(latest_raw(day2, "employees", previous=kept), "2025-04-01", deduplicated=True)
     full = stage_employees(day1.unionByName(day2), "2025-04-01")
     assert sorted(map(tuple, inc.collect())) == sorted(map(tuple, full.collect()))
-    assert inc.count() == 9
+    assert inc.count() == len(seed.EMPLOYEES) + 1

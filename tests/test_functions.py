@@ -28,10 +28,10 @@ def test_hours_between_counts_boundaries(spark):
     assert df.select(hours_between("a", "b").alias("h")).first().h == 1
 
 
-def test_scale_conf_clamps_partitions():
+def test_scale_conf_partition_size():
     from attrix.session import scale_conf
     big = scale_conf(100 * 2**40, total_cores=8000)          # 100 TB on 8000 cores
-    assert big["spark.sql.shuffle.partitions"] == str(8 * 8000)
+    assert big["spark.sql.shuffle.partitions"] == str(100 * 2**40 // (256 * 2**20))   # about 256 MB each
     small = scale_conf(10**9, total_cores=8)                 # 1 GB locally
     assert small["spark.sql.shuffle.partitions"] == "16"
     mid = scale_conf(4 * 2**40, total_cores=8000)            # 4 TB: input / 256 MB

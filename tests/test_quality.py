@@ -32,10 +32,11 @@ def test_is_between_inclusive(spark):
 def test_freshness_bands(spark):
     df = spark.createDataFrame([(dt.datetime(2024, 7, 1, 0, 30),)], "w timestamp_ntz")
     status = lambda now: Q.freshness(df, "w", now).first().status
-    assert status("2024-07-02 01:00:00") == "pass"    # 25 hour boundaries
-    assert status("2024-07-02 02:00:00") == "warn"    # 26
-    assert status("2024-07-03 00:59:00") == "warn"    # 48: not above the error bound
-    assert status("2024-07-03 01:00:00") == "error"   # 49
+    assert status("2024-07-02 01:30:00") == "pass"    # 25 hours to the second
+    assert status("2024-07-02 01:30:01") == "warn"
+    assert status("2024-07-02 02:20:00") == "warn"    # 25 h 50 min
+    assert status("2024-07-03 00:30:00") == "warn"    # 48 hours: not above the error bound
+    assert status("2024-07-03 00:30:01") == "error"
     empty = spark.createDataFrame([], "w timestamp_ntz")
     assert Q.freshness(empty, "w", "2024-07-02 00:00:00").first().status == "error"
 
@@ -62,3 +63,23 @@ def test_suite_counts_and_severity(spark):
     res = {r.test: (r.failures, r.severity) for r in Q.run_suite(checks, {"m": df}).collect()}
     assert res == {"unique_m_k": (1, "error"), "not_null_m_v": (1, "error"),
                    "not_null_m_k": (0, "error"), "accepted_values_m_v": (0, "warn")}
+
+
+def test_pairs_of_values_are_counted_apart(spark):
+    """Two values that would read alike once joined by a separator are two failing values."""
+    df = spark.createDataFrame([("a", "b|c"), ("a|b", "c"), ("a|b", "c")], "x string, y string")
+    check = Check("m", "x", "not_before_column", {"reference_column": "y"})
+    assert Q.run_suite([check], {"m": df}).first().failures == Q.failing_rows(check, {"m": df}).count() == 2
+
+
+def test_row_rules_and_run_log_in_the_suite(spark):
+    from attrix.operators import runs as RN
+    from attrix.schema import RUNS
+    stg = spark.createDataFrame([(dt.date(2024, 1, 3), dt.date(2024, 1, 1)), (None, dt.date(2024, 1, 1))],
+                                "last_day_of_work date, termination_date date")
+    runs = spark.createDataFrame([], RUNS)
+    rules = {"last_day_lte_termination": ("stg_terminations", "error", Q.ROW_RULES["last_day_lte_termination"]()),
+             "pipeline_ran_recently": ("runs", "error", RN.ran_recently(runs, "2024-01-01 00:00:00"))}
+    got = {r.test: r.failures for r in Q.run_suite([Check("stg_terminations", "last_day_of_work", "not_null")],
+                                                   {"stg_terminations": stg}, rules).collect()}
+    assert got == {"not_null_stg_terminations_last_day_of_work": 1, "last_day_lte_termination": 1, "pipeline_ran_recently": 1}

@@ -80,13 +80,18 @@ def test_page_limit_zero_means_all(spark):
     assert [r.k for r in FL.page(df, ["k"], limit=3, offset=4).collect()] == [4, 5, 6]
 
 
-def test_deep_page_uses_distributed_rank(spark, monkeypatch):
-    df = spark.range(1000).selectExpr("id AS k", "id % 7 AS g").repartition(5)
-    small = [r.k for r in FL.page(df, ["k"], limit=10, offset=20).collect()]
-    monkeypatch.setattr(FL, "TOP_K_BOUND", 5)
-    deep = [r.k for r in FL.page(df, ["k"], limit=10, offset=20).collect()]
-    assert small == deep == list(range(20, 30))
-    assert [r.k for r in FL.page(df, ["k"], offset=990).collect()] == list(range(990, 1000))
+def test_adjacent_pages_neither_repeat_nor_miss_rows(spark):
+    rows = [(None if i % 5 == 0 else i % 7, i) for i in range(230)] * 2
+    df = spark.createDataFrame(rows, "k int, v int").repartition(5)
+    want = sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+    for size in (1, 37, 100):
+        if size == 1:
+            got = [tuple(FL.page(df, ["k"], limit=1, offset=o).first()) for o in (0, 5, 459)]
+            assert got == [want[o] for o in (0, 5, 459)]
+        else:
+            got = [tuple(r) for o in range(0, 460, size) for r in FL.page(df, ["k"], limit=size, offset=o).collect()]
+            assert got == want
+    assert [tuple(r) for r in FL.page(df, ["k"], limit=0, offset=400).collect()] == want[400:]
 
 
 def test_lookback_days_reopens_recent_days(spark):
@@ -108,8 +113,9 @@ def test_nightly_run_with_load_confirmation(spark, tmp_path):
     conf = {"raw": f"{b}/raw", "history": f"{b}/hist", "checkpoint": f"{b}/ckpt"}
     out = run_ingest(spark, emp, term, f"{b}/landing", f"{b}/runs", run_date="2025-04-01",
                      full_load=True, confirm_with=conf)
-    assert out["employees"]["records"] == 8 and out["terminations"]["records"] == 8
-    assert read_raw(spark, f"{b}/raw/terminations", "terminations").count() == 8
+    n = len(seed.TERMINATIONS)
+    assert out["employees"]["records"] == len(seed.EMPLOYEES) and out["terminations"]["records"] == n
+    assert read_raw(spark, f"{b}/raw/terminations", "terminations").count() == n
     runs = RN.read_runs(spark, f"{b}/runs")
     assert runs.where(F.col("status") == "SUCCESS").count() == 2
     # a failing run is logged as entity 'pipeline' and re-raised
@@ -117,4 +123,33 @@ def test_nightly_run_with_load_confirmation(spark, tmp_path):
         run_ingest(spark, emp, term, f"{b}/landing", f"{b}/runs", run_date="2025-04-01",
                    start_date="2025-05-01", as_of="2025-04-01")
     failed = RN.read_runs(spark, f"{b}/runs").where("status = 'FAILED'").first()
-    assert failed.entity == "pipeline" and "future" in failed.error_message
+    assert failed.entity == "pipeline" and "lies after" in failed.error_message
+
+
+def test_a_run_whose_load_is_lost_fails(spark, tmp_path, monkeypatch):
+    """A second run of one day is not confirmed by what the first one loaded."""
+    import seed
+    from attrix.plans.nightly import run_ingest
+    from attrix.sources.landing import api_records
+    from attrix.streaming import ingest as I
+    emp = api_records(seed.raw_employees(spark), "employees")
+    term = api_records(seed.raw_terminations(spark), "terminations")
+    b = str(tmp_path)
+    conf = {"raw": f"{b}/raw", "history": f"{b}/hist", "checkpoint": f"{b}/ckpt"}
+    args = (spark, emp, term, f"{b}/landing", f"{b}/runs")
+    run_ingest(*args, run_date="2025-04-01", full_load=True, confirm_with=conf)
+
+    class Nothing:
+        def awaitTermination(self):
+            pass
+    monkeypatch.setattr(I, "ingest_stream", lambda *a, **k: Nothing())
+    with pytest.raises(RuntimeError, match="confirms 0"):
+        run_ingest(*args, run_date="2025-04-01", full_load=True, confirm_with=conf)
+    log = RN.read_runs(spark, f"{b}/runs").where("status = 'FAILED'").first()
+    assert log.entity == "pipeline" and "confirms 0" in log.error_message
+
+
+def test_error_text_is_kept_whole(spark, tmp_path):
+    p = str(tmp_path / "runs")
+    RN.record_run(spark, p, "pipeline", "2024-07-01", 0, "FAILED", T(2024, 7, 1, 2), error_message="x" * 50_000)
+    assert len(RN.read_runs(spark, p).first().error_message) == 50_000
