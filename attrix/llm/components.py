@@ -2,8 +2,7 @@
 
 Each task first runs a union-find over its share of the edges and emits one edge per
 node, to the smallest node of its set.  Alternating large-star and small-star joins
-(each a grouped minimum and a join) then contract the forest until it no longer
-changes.  No component is ever gathered in one place: a hot centre is a grouped
+(each a grouped minimum and a join) then contract the forest until it is one of stars.  No component is ever gathered in one place: a hot centre is a grouped
 minimum, combined before the shuffle, and a join that Spark can split.
 """
 
@@ -51,7 +50,6 @@ def components(edges: DataFrame) -> DataFrame:
     """
     kind = dict(edges.dtypes)["a"]
     e = stored(edges.where("a <> b").mapInArrow(_local, f"a {kind}, b {kind}").distinct(), "edges")
-    before = None
     while True:
         near = e.select(F.col("a").alias("u"), F.col("b").alias("v")).union(e.select("b", "a"))
         least = stored(near.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
@@ -62,7 +60,8 @@ def components(edges: DataFrame) -> DataFrame:
             F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct(F.col("a").alias("a"), F.col("m").alias("b")))).alias("x"))
             .select("x.a", "x.b").where("a <> b").distinct())
         e = stored(small, "edges")
-        now = e.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s")).first()
-        if now == before or not now["n"]:
+        # done when every node has one edge and the nodes they lead to have none: a forest of stars
+        nodes = (e.select("a", F.lit(1).alias("up"), F.lit(0).alias("root")).union(e.select("b", F.lit(0), F.lit(1)))
+                 .groupBy("a").agg(F.sum("up").alias("up"), F.max("root").alias("root")))
+        if nodes.where("up > 1 or (up > 0 and root > 0)").isEmpty():
             return e.select(F.col("a").alias("node"), F.col("b").alias("comp"))
-        before = now

@@ -7,16 +7,13 @@ in [j, j + 1): the slot minima have less variance than independent hashes, and a
 document is finished as soon as all its slots hold values below the next rank.
 
 Candidates share a band.  A band bucket of any size costs a row per member: each
-document is first verified against the bucket leader with which it shares most bands,
-then against the leaders of its other buckets from which the links so far do not
-connect it, and last, buckets whose members still lie in different components compare
-those across components - so no candidate link between components goes unverified, and
-within a component none is needed.
-
-Where that last step would pair many members (copies of one text, each too far from the
-others), their pairs are sought by prefix filtering instead, which is exact: with the
-shingles of each set ordered from rare to frequent among these documents, two sets over
-the threshold share one of the first few, and edits made to a copy come first there.
+document is first verified against the bucket leader with which it shares most bands.
+Members of one bucket whom these links leave in different components may still be
+linked.  All such documents are compared by prefix filtering, which is exact: with the
+shingles of each set ordered from rare to frequent among them, two sets over the
+threshold share one of the first few.  So no candidate link between components is lost,
+and copies that are each too far from the others are not paired at large: the edits
+that set them apart come first in that order.
 """
 
 from __future__ import annotations
@@ -31,7 +28,6 @@ from attrix.llm.words import SPACE_WORD, find_words, mix, run_hashes, signed, sl
 
 SHINGLE = 5
 PERCENT = 75
-CROWDED = 16   # pairs per member beyond which a bucket's pairs are sought by rare shingles
 SLOTS, ROWS = 128, 4   # 32 bands: a pair at 0.75 shares none with probability (1 - 0.75^4)^32, 5 in a million
 
 
@@ -137,13 +133,13 @@ def _linked(percent: int):
 
 
 def _tokens(batches):
-    """(rep, n, c, set) -> a row per shingle."""
+    """(doc_id, set) -> a row per shingle."""
     for b in batches:
-        for i in range(b.num_rows):
-            t = np.frombuffer(b.column(3)[i].as_buffer(), np.int64)
-            at = pa.array(np.full(len(t), i))
-            yield pa.record_batch([b.column(0).take(at), b.column(1).take(at), b.column(2).take(at), pa.array(t)],
-                                  names=["rep", "n", "c", "t"])
+        raw, n = b.column(1), []
+        for x in raw:
+            n.append(len(x.as_buffer()) // 8)
+        t = np.frombuffer(b"".join(x.as_buffer() for x in raw), np.int64)
+        yield pa.record_batch([b.column(0).take(pa.array(np.repeat(np.arange(b.num_rows), n))), pa.array(t)], names=["rep", "t"])
 
 
 def _rare_pairs(members: DataFrame, sets: DataFrame, percent: int, ids: str) -> DataFrame:
@@ -151,21 +147,25 @@ def _rare_pairs(members: DataFrame, sets: DataFrame, percent: int, ids: str) ->
 
     Sets x and y over the threshold share at least ``share * (|x| + |y|)`` shingles.  Partners are
     sought per class of sizes (each a tenth larger than the last), for which that bounds how
-    many of x's rarest shingles must hold a common one.
+    many of x's rarest shingles must hold a common one.  Shingles of one member alone come
+    first and match nothing, so only their number counts.
     """
     share, base = percent / (100 + percent), 1.1
-    tokens = stored(members.join(sets.withColumnRenamed("doc_id", "rep"), "rep").select("rep", "n", "c", "s")
-                    .mapInArrow(_tokens, f"rep {ids}, n long, c {ids}, t long"), "tokens")
-    df = stored(tokens.groupBy("t").agg(F.count("*").alias("df")), "frequencies")
+    tokens = (sets.join(members.select("rep"), F.col("doc_id") == F.col("rep"), "left_semi")
+              .mapInArrow(_tokens, f"rep {ids}, t long"))
+    df = stored(tokens.groupBy("t").agg(F.count("*").alias("df")).where("df > 1"), "frequencies")
     size_class = lambda n: F.floor(F.log(n) / F.lit(float(np.log(base))) + 1e-9).cast("int")
-    position = F.row_number().over(Window.partitionBy("rep").orderBy("df", "t")) - 1
+    own = Window.partitionBy("rep")
+    position = F.col("n") - F.count("*").over(own) + F.row_number().over(own.orderBy("df", "t")) - 1
     low = F.greatest(F.lit(1.0), F.floor(F.pow(F.lit(base), F.col("other"))))   # no larger than any size of the class
     enough = F.ceil((F.col("n") + low) * share - 1e-9)
-    rows = (tokens.join(df, "t").withColumn("p", position).where("df > 1")
+    first = F.floor(F.col("n") * (1 - percent / 100) + 1e-9)   # the longest prefix that any partner asks for
+    rows = (tokens.join(df, "t").join(members, "rep").withColumn("p", position).where(F.col("p") <= first)
             .withColumn("own", size_class(F.col("n")))
             .withColumn("other", F.explode(F.sequence(size_class(F.greatest(F.lit(1.0), F.col("n") * (percent / 100) - 1)),
                                                       size_class(F.col("n") * (100 / percent) + 1))))
             .where(F.col("p") <= F.col("n") - enough).select("t", "own", "other", "rep", "n", "c", "p"))
+    rows = stored(rows, "prefixes")
     x = rows.select("t", "own", "other", *[F.col(k).alias(k + "a") for k in ("rep", "n", "c", "p")])
     y = rows.select("t", F.col("own").alias("other"), F.col("other").alias("own"),
                     *[F.col(k).alias(k + "b") for k in ("rep", "n", "c", "p")])
@@ -204,8 +204,7 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
                 .join(sets.select(F.col("doc_id").alias("a"), F.col("s").alias("sa")), "a").select("a", "b", "sa", "sb"))
         return stored(full.mapInArrow(_linked(percent), f"a {ids}, b {ids}").distinct(), "links")
 
-    stars = shared.where((F.col("rep") != F.col("lead")) & near("n", "lead_n"))
-    best = (stars.groupBy("rep", "lead").agg(F.count("*").alias("c"))
+    best = (shared.where((F.col("rep") != F.col("lead")) & near("n", "lead_n")).groupBy("rep", "lead").agg(F.count("*").alias("c"))
             .groupBy("rep").agg(F.max(F.struct("c", "lead")).alias("m"))
             .select(F.col("m.lead").alias("a"), F.col("rep").alias("b")))
     found = links(best)
@@ -215,28 +214,15 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
         c = comp.select(F.col("node").alias("_n"), F.col("comp").alias("_c"))
         return df.join(c, F.col(col) == F.col("_n"), "left").withColumn(out, F.coalesce("_c", col)).drop("_n", "_c")
 
-    rest = placed(placed(stars.select("lead", "rep").distinct(), "rep", "cr"), "lead", "cl").where("cr <> cl")
-    more = links(rest.select(F.col("lead").alias("a"), F.col("rep").alias("b")))
-    comp = components(found.union(more))
-
-    member = placed(shared.select("key", "rep", "n"), "rep", "c")
-    cell = member.groupBy("key", "c").agg(F.count("*").alias("m"))
-    split = stored(cell.groupBy("key").agg(F.sum("m").alias("m"), F.sum(F.col("m") * F.col("m")).alias("q"), F.count("*").alias("k"))
-                   .where("k > 1").select("key", ((F.col("m") * F.col("m") - F.col("q")) / 2 > CROWDED * F.col("m")).alias("crowded")), "split")
-    member = stored(member.join(split, "key"), "members")
-    calm = member.where("not crowded")
-    cell = calm.select("key", "c").distinct()
-    across = cell.join(cell.withColumnRenamed("c", "d"), "key").where("c < d")
-    pairs = (across.join(calm.select("key", "c", F.col("rep").alias("a"), F.col("n").alias("na")), ["key", "c"])
-             .join(calm.select("key", F.col("c").alias("d"), F.col("rep").alias("b"), F.col("n").alias("nb")), ["key", "d"])
-             .where(near("na", "nb")).select("a", "b"))
-    pairs = pairs.union(_rare_pairs(member.where("crowded").select("rep", "n", "c").distinct(), sets, percent, ids)).distinct()
-    last = links(pairs)
+    member = stored(placed(shared.select("key", "rep", "n"), "rep", "c"), "members")
+    split = stored(member.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("key"), "split")
+    apart = stored(member.join(split, "key", "left_semi").select("rep", "n", "c").distinct(), "apart")
+    last = links(_rare_pairs(apart, sets, percent, ids))
     place = classes.select("s1", "s2", "n", "rep")
     rows = sig.select("doc_id", "n", "s1", "s2").join(place, ["s1", "s2", "n"], "left")
     several = rows.groupBy("doc_id").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo <> hi").select("doc_id")
     same_id = rows.where("rep <> doc_id").join(several, "doc_id", "left_semi").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-    comp = components(found.union(more).union(last).union(same_id))
+    comp = components(found.union(last).union(same_id))
     out = placed(rows.withColumn("rep", F.coalesce("rep", "doc_id")), "rep", "component_id")
     out = out.withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.col("component_id")))
     return out.select("doc_id", F.col("n").alias("n_shingles"), "component_id",

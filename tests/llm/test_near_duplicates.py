@@ -3,7 +3,6 @@
 import random
 
 import numpy as np
-import pytest
 
 from attrix.llm import near_duplicates as nd
 from attrix.llm.components import components, union_find
@@ -41,19 +40,36 @@ def family(seed, n, words=60, base=None, edits=6):
     return out
 
 
-@pytest.mark.parametrize("crowded", [16, -1])
-def test_groups_match_brute_force(spark, monkeypatch, crowded):
-    monkeypatch.setattr(nd, "CROWDED", crowded)   # -1: every split bucket goes by rare shingles
+def test_groups_match_brute_force(spark):
     texts = family(1, 40) + family(2, 20, 12, edits=2) + family(3, 30, 200, edits=14)
     texts += ["", None, " \t", "one two", "One TWO", "three", texts[3], texts[3].upper()]
     random.Random(5).shuffle(texts)
     rows = list(enumerate(texts))
+    assert sum(i != c for i, c in brute(rows).items()) > 20
     df = spark.createDataFrame([(d, t, 1) for d, t in rows], "doc_id long, text string, component_id int")
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"], r["kept"]) for r in nd.near_duplicates(df).collect()}
     want = brute(rows)
     assert got == {d: (len(shingle_set(t)), want[d], want[d] == d) for d, t in rows}
 
 
+def test_rare_pairs_miss_no_link(spark):
+    """Prefix filtering against all pairs, with sizes apart and every document its own component."""
+    rng = random.Random(9)
+    sets = []
+    for i in range(60):
+        base = rng.sample(range(400), rng.randint(3, 120)) if i % 4 == 0 else sets[-1]
+        keep = [x for x in base if rng.random() > 0.08]
+        sets.append(keep + [1000 + rng.randint(0, 10 ** 6) for _ in range(rng.randint(0, 1 + len(base) // 10))] or [1])
+    sets = [set(x) for x in sets]
+    table = spark.createDataFrame([(i, bytearray(np.array(sorted(x), np.int64).tobytes())) for i, x in enumerate(sets)], "doc_id long, s binary")
+    members = spark.createDataFrame([(i, len(x), i) for i, x in enumerate(sets)], "rep long, n long, c long")
+    for percent in (75, 50):
+        got = {(r["a"], r["b"]) for r in nd._rare_pairs(members, table, percent, "long").collect()}
+        want = {(i, j) for j, y in enumerate(sets) for i, x in enumerate(sets[:j]) if 100 * len(x & y) >= percent * len(x | y)}
+        assert len(want) > 15 and want <= got
+        assert len(got) < 60 * 59 / 4
+
+
 def test_null_and_repeated_ids(spark):
     a, b = "a b c d e f", "u v w x y z"
     rows = [(None, a), (5, a), (5, b), (7, b), (3, a), (9, None), (9, None)]
