@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from attrix.functions.dates import active_on
 from attrix.operators import filters as FL, quality as Q, runs as RN
 from attrix.operators.dedup import latest_per_key
 from attrix.operators.headcount import (headcount_rows, month_spine, monthly_combined, monthly_exits,
@@ -89,6 +90,12 @@ def q_headcount_orders(spark, sf_dir):
     return monthly_headcount(life, A.ORDERS_SPINE_START, A.ORDERS_AS_OF)
 
 
+def q_active_on(spark, sf_dir):
+    """Orders, read as lifecycles, that are active on one day."""
+    ensure_conf(spark)
+    return A.order_lifecycles(A.table(spark, sf_dir, "orders")).where(active_on(F.lit("1998-06-30").cast("date")))
+
+
 def q_monthly_exits(spark, sf_dir):
     return monthly_exits(_hr(spark, sf_dir)[3])
 
@@ -481,6 +488,7 @@ QUERIES: dict[str, Query] = {
     "rolling_turnover": q_rolling_turnover,
     "latest_per_key": q_latest_per_key,
     "month_spine": q_month_spine,
+    "active_on": q_active_on,
     "page_deep": q_page_deep,
     "dashboard_turnover": q_dashboard_turnover,
     "resolve_window_override": q_resolve_window_override,
