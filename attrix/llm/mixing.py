@@ -31,7 +31,7 @@ def ranked(keys: DataFrame, column: str, out: str) -> DataFrame:
     The keys are range-partitioned, written once, and numbered from per-partition counts,
     of which the driver sees one row per partition.
     """
-    n = int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = min(200, int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions")))   # of a table of names: one offset each
     order = F.col(column).asc_nulls_last()
     k = (keys.repartitionByRange(n, order).sortWithinPartitions(order)
              .withColumn("_p", F.spark_partition_id())
