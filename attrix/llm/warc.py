@@ -209,8 +209,11 @@ def write_archives(pages: DataFrame, folder: str, min_revisit_bytes: int = 0, id
     """
     own = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(payload_col).alias("html"))
     kind = dict(own.dtypes)["page_id"]
-    sample = [r["html"].encode() for r in own.where(F.octet_length("html").between(64, SAMPLE_BYTES))
-              .orderBy(F.xxhash64("page_id", "url"), "page_id", "html").limit(SAMPLE_PAGES).select("html").collect()]
+    # the pages with the smallest hashes: hashes are ranked first, so only SAMPLE_PAGES pages reach the driver
+    fit = own.where(F.octet_length("html").between(64, SAMPLE_BYTES)).withColumn("h", F.xxhash64("page_id", "url", "html"))
+    least = fit.select("h").distinct().orderBy("h").limit(SAMPLE_PAGES).agg(F.max("h").alias("h")).first()["h"]
+    chosen = [] if least is None else fit.where(F.col("h") <= least).select("h", "html").distinct().collect()
+    sample = [r["html"].encode() for r in sorted(chosen, key=lambda r: (r["h"], r["html"]))]
     try:
         dictionary = zstandard.train_dictionary(DICTIONARY_BYTES, sample).as_bytes() if len(sample) >= 8 else b""
     except zstandard.ZstdError:   # the sample is too small or too uniform: the frame stays empty
