@@ -195,6 +195,29 @@ def test_noise_is_rejected_and_prose_kept(spark):
     assert filter_quality(frame(spark, [])).count() == 0
 
 
+def test_copies_have_no_weight_in_model_and_bands(spark):
+    import numpy as np
+
+    from attrix.llm.quality import filter_quality, fit_model, score_quality
+
+    rng = random.Random(4)
+    syllables = ["the", "and", "ing", "tion", "er", "on", "re", "st"]
+    text = lambda: " ".join("".join(rng.choice(syllables) for _ in range(rng.randint(1, 3))) for _ in range(150)) + "."
+    prose = [(i, text(), "en", "s") for i in range(40)]
+    other = [(100 + i, text(), x, "s") for i, x in enumerate([None] * 16)]
+    copies = [(1000 + i, prose[7][1], "en", "s") for i in range(300)]
+    same = [(2000 + i, other[0][1], x, "s") for i, x in enumerate([None] * 60)]
+    plain, crowded = frame(spark, prose + other + EDGES), frame(spark, prose + other + copies + same + EDGES)
+    a, b = fit_model(plain), fit_model(crowded.repartition(7))
+    assert all(np.array_equal(getattr(a, k), getattr(b, k)) for k in ("gram_hash", "gram_log", "context_hash", "context_log"))
+    judged = lambda df: {r["doc_id"]: (r["kept"], r["perplexity"] and round(r["perplexity"], 6), r["lower"] and round(r["lower"], 6), r["upper"] and round(r["upper"], 6))
+                         for r in score_quality(df).collect()}
+    few, many = judged(plain), judged(crowded)
+    assert {k: many[k] for k in few} == few and all(few[d][0] for d, *_ in prose + other)
+    assert all(many[d] == few[7] for d, *_ in copies) and all(many[d] == few[100] for d, *_ in same)
+    assert filter_quality(crowded).count() == len(prose + other + copies + same)
+
+
 # -- token counts ------------------------------------------------------------------
 
 @pytest.mark.parametrize("hot", [0, 5, 1 << 18])
