@@ -218,6 +218,30 @@ def test_copies_have_no_weight_in_model_and_bands(spark):
     assert filter_quality(crowded).count() == len(prose + other + copies + same)
 
 
+def test_every_language_has_its_own_model_and_band(spark):
+    from attrix.llm import quality as q
+
+    rng = random.Random(6)
+    speech = {"it": "abc de fgh il", "ru": "жда лис мон ука", "ja": "\u306e \u3057\u305f \u3066\u3044 \u3092\u306f"} | {f"l{i}": " ".join(rng.sample("abcdefghijklmnop", 4)) for i in range(20)}
+
+    def text(syllables):
+        return " ".join("".join(rng.choice(syllables.split()) for _ in range(rng.randint(1, 3))) for _ in range(150))
+
+    clean = [(1000 * k + i, text(s), x, "s") for k, (x, s) in enumerate(speech.items(), 1) for i in range(200 if x == "it" else 6)]
+    # Italian words under another language's name, and the same without a language
+    junk = [(90_000 + i, text(speech["it"]), "ru", "s") for i in range(1)]
+    rows = clean + junk + EDGES
+    rng.shuffle(rows)
+    df = frame(spark, rows)
+    got = {r["doc_id"]: r for r in q.score_quality(df).collect()}
+    assert q.found_languages(df) == tuple(sorted({*speech, "en", "xx"}))
+    assert [d for d, *_ in clean if not got[d]["kept"]] == [] and not any(got[d]["kept"] for d, *_ in junk)
+    assert len({(got[d]["lower"] / got[d]["upper"], x) for d, _, x, _ in clean if d % 1000 == 0}) == len(speech)
+    alone = {r["doc_id"]: r["perplexity"] for r in q.score_quality(frame(spark, [r for r in rows if r[2] == "ja"])).collect()}
+    assert all(abs(got[d]["perplexity"] - p) < 1e-4 * p for d, p in alone.items())
+    assert {r["doc_id"] for r in q.filter_quality(df).collect()} == {d for d, r in got.items() if r["kept"]}
+
+
 # -- token counts ------------------------------------------------------------------
 
 @pytest.mark.parametrize("hot", [0, 5, 1 << 18])
