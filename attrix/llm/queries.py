@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from attrix.llm.chat import conversation_digests, format_conversations
 from attrix.llm.common import table
 from attrix.llm.decontaminate import find_contamination
+from attrix.llm.filter_audit import audit_filters
 from attrix.llm.lines import dedup_lines
 from attrix.llm.lm_scoring import score_documents
 from attrix.llm.mixing import mix_rates
 from attrix.llm.near_duplicates import near_duplicates
 from attrix.llm.quality import STATS, score_quality
+from attrix.llm.spelling import spelling_variants
 from attrix.llm.substrings import dedup_substrings
 from attrix.llm.tokens import count_tokens
 from attrix.llm.toxicity import score_toxicity
@@ -75,6 +78,27 @@ def op10_near_duplicates(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_filter_audit(spark, sf_dir):
+    """Every order of five filters over all documents, per language."""
+    return audit_filters(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_spelling_variants(spark, sf_dir):
+    """Words of all documents with their near words, forms and roots."""
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
+# Fixed by the query's contract: a conversation whose texts are control strings.
+CONTROL_CONVERSATION = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
+
+
+def op13_chat_formatting(spark, sf_dir):
+    """All conversations as one prefix tree, written and read back."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.createDataFrame(CONTROL_CONVERSATION, "conv_id long, turn long, role string, text string")
+    return conversation_digests(*format_conversations(turns.unionByName(extra)))
+
+
 QUERIES = {
     "op1_lm_scoring": op1_lm_scoring,
     "op2_mix_sources": op2_mix_sources,
@@ -86,6 +110,9 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_near_duplicates": op10_near_duplicates,
+    "op11_filter_audit": op11_filter_audit,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_chat_formatting": op13_chat_formatting,
 }
 
 SQL = {}
@@ -213,3 +240,83 @@ SELECT doc_id, coalesce(len(string_split(text, chr(10))), 0)::BIGINT AS n_lines,
        coalesce(r, '') AS removed_lines
 FROM documents LEFT JOIN g USING (doc_id)
 """
+
+SQL["op11_filter_audit"] = rf"""
+WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text FROM documents),
+w AS (SELECT *, {_WORDS} AS ws, min(doc_id) OVER (PARTITION BY text) AS first FROM d),
+m AS (
+  SELECT part, doc_id, [len(ws) < 200, 100 * len(list_distinct(ws)) < 50 * len(ws),
+         100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 3 * length(text),
+         regexp_matches(text, '[#$%&*|]'), coalesce(doc_id > first, false)] AS fails FROM w),
+lab AS (SELECT doc_id, coalesce(bool_or(quality = 1), false) AS good, coalesce(bool_or(toxic = 1), false) AS toxic FROM labels GROUP BY doc_id),
+n AS (
+  SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+  FROM m LEFT JOIN lab USING (doc_id) GROUP BY part, fails),
+l AS (SELECT unnest(range(1, 6)) AS i),
+o AS (
+  SELECT [a.i, b.i, c.i, d.i, e.i] AS o FROM l a, l b, l c, l d, l e
+  WHERE len(list_distinct([a.i, b.i, c.i, d.i, e.i])) = 5),
+s AS (SELECT o, step, o[step] AS f, list_aggregate([substr('ABCDE', x, 1) FOR x IN o], 'string_agg', '') AS filter_order
+      FROM o, range(1, 6) AS g(step)),
+x AS (
+  SELECT part, filter_order, step::INTEGER AS step, f, n, good, toxic, fails[f] AS hit,
+         len([y FOR y IN o[1:step - 1] IF fails[y]]) > 0 AS gone, len([y FOR y IN fails IF y]) = 1 AS single
+  FROM n, s),
+r AS (
+  SELECT part, filter_order, step, any_value(f) AS f,
+         coalesce(sum(n) FILTER (NOT gone AND NOT hit), 0)::BIGINT AS kept, coalesce(sum(n) FILTER (NOT gone AND hit), 0)::BIGINT AS removed,
+         coalesce(sum(n) FILTER (gone AND hit), 0)::BIGINT AS redundant, coalesce(sum(n) FILTER (hit AND single), 0)::BIGINT AS unique_fails,
+         coalesce(sum(good) FILTER (NOT gone AND hit), 0)::BIGINT AS good_lost, coalesce(sum(toxic) FILTER (NOT gone AND hit), 0)::BIGINT AS toxic_lost
+  FROM x GROUP BY part, filter_order, step)
+SELECT * EXCLUDE (f), sum(removed) OVER (PARTITION BY part, f)::BIGINT AS shapley FROM r
+"""
+
+# crc32 byte by byte with the usual table of the reversed polynomial, built by its rule
+SQL["op12_spelling_variants"] = r"""
+WITH RECURSIVE bits AS (
+  SELECT i::BIGINT AS i, i::BIGINT AS c, 0 AS k FROM range(256) AS g(i)
+  UNION ALL SELECT i, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END, k + 1 FROM bits WHERE k < 8),
+tab AS (SELECT list(c ORDER BY i) AS t FROM bits WHERE k = 8),
+runs AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[a-z\x{C0}-\x{FF}]+')) AS w FROM documents),
+c AS (SELECT doc_id, w, count(*) AS n FROM runs WHERE length(w) >= 5 GROUP BY doc_id, w),
+h AS (
+  SELECT w, n, xor(list_reduce(list_prepend(4294967295::BIGINT, [('0x' || substr(x, 2 * i + 1, 2))::BIGINT FOR i IN range(len(x) // 2)]),
+           lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1])), 4294967295::BIGINT) AS h
+  FROM (SELECT w, n, hex(encode(coalesce(doc_id::VARCHAR, 'null') || ':' || w)) AS x FROM c), tab),
+v AS (
+  SELECT w AS word, sum(n)::BIGINT AS n
+  FROM (SELECT CASE WHEN h % 97 = 0 THEN left(w, (h % length(w))::INT) || substr(w, (h % length(w))::INT + 2) ELSE w END AS w, n FROM h)
+  WHERE length(w) >= 5 GROUP BY w HAVING sum(n) >= 3),
+del AS (SELECT word, n, length(word) AS m, i, left(word, i - 1) || substr(word, i + 1) AS k FROM v, unnest(generate_series(1, length(word))) AS t(i)),
+e AS (
+  SELECT a.word, b.word AS near, b.n FROM del a JOIN del b ON a.k = b.k AND a.i = b.i AND a.m = b.m AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM del a JOIN v b ON a.k = b.word
+  UNION SELECT b.word, a.word, a.n FROM del a JOIN v b ON a.k = b.word),
+best AS (SELECT word, count(*)::BIGINT AS n_near, min({'o': -n, 'w': near}) AS b FROM e GROUP BY word),
+f AS (
+  SELECT word, v.n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN -b.o >= 2 * v.n THEN b.w END AS form, CASE WHEN -b.o >= 2 * v.n THEN (-b.o)::BIGINT END AS form_n
+  FROM v LEFT JOIN best USING (word)),
+chain AS (
+  SELECT word, word AS root, 0 AS d FROM f
+  UNION ALL SELECT chain.word, f.form, d + 1 FROM chain JOIN f ON f.word = chain.root WHERE f.form IS NOT NULL),
+r AS (SELECT word, arg_max(root, d) AS root FROM chain GROUP BY word)
+SELECT word, form, root, n, n_near, form_n FROM f JOIN r USING (word)
+"""
+
+SQL["op13_chat_formatting"] = r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT * FROM (VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]'))),
+f AS (
+  SELECT *, length(regexp_replace(text, '(\\|</?s>|\[/?(INST|SYS|ROLE)\])', '\\\1', 'g'))
+    + CASE role WHEN 'user' THEN length('[INST]  [/INST]') WHEN 'system' THEN length('[SYS]  [/SYS]') WHEN 'assistant' THEN length(' </s>')
+           ELSE length('[ROLE]  [/ROLE] </s>') + length(regexp_replace(role, '(\\|</?s>|\[/?(INST|SYS|ROLE)\])', '\\\1', 'g')) END AS n
+  FROM t)
+SELECT conv_id, count(*)::BIGINT AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       (sum(n) + length('<s>'))::BIGINT AS formatted_chars
+FROM f GROUP BY conv_id
+"""
