@@ -6,7 +6,7 @@ import os
 import tempfile
 import zipfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from attrix.session import ensure_conf, scratch_path
 
@@ -46,3 +46,11 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def document_key(id_col: str = "doc_id", text_col: str = "text") -> Column:
+    """What tells documents apart: the id and a 128-bit hash of the text, never null and in the ids' order.
+
+    Ids may be null or repeat with other texts; rows equal in both are one document.
+    """
+    return F.struct(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("t1"), F.xxhash64(F.lit("t"), text_col).alias("t2"))

@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from attrix.llm.common import stored
+from attrix.llm.common import document_key, stored
 from attrix.llm.words import ALNUM_WORD, anchors, find_words, mix, run_hashes, signed, slices
 
 LENGTH = 13
@@ -122,11 +122,27 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, length: int = LENG
     A word is hit if it lies in an occurrence of a benchmark window; a document is
     contaminated if it has a hit and ``100 * n_hit >= percent * n_words``.  Null and empty
     texts have no words; an empty benchmark hits nothing; an item with a null id hits but is
-    not listed.  Ids identify documents: rows that repeat an id share its hits.  Columns
-    other than those named are ignored.
+    not listed.  Every row is judged by its own text, whatever its id is, null or repeated.
+    Columns other than those named are ignored.
     """
-    ids, item_ids = dict(docs.dtypes)[id_col], dict(benchmark.dtypes)[item_col]
-    own = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    found = _contamination(docs, benchmark, length, percent, id_col, text_col, item_col, item_text_col)
+    return found.withColumn("doc_id", F.col("doc_id.id"))
+
+
+def remove_contaminated(docs: DataFrame, benchmark: DataFrame, length: int = LENGTH, percent: int = 5,
+                        id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that ``find_contamination`` does not call contaminated, with all their columns."""
+    found = _contamination(docs, benchmark, length, percent, id_col, text_col, "item_id", "text")
+    gone = stored(found.where("contaminated").select("doc_id").distinct(), "contaminated")
+    rows = docs.select(F.struct("*").alias("row"), document_key(id_col, text_col).alias("doc_id"))
+    return rows.join(gone, "doc_id", "left_anti").select("row.*")
+
+
+def _contamination(docs, benchmark, length, percent, id_col, text_col, item_col, item_text_col) -> DataFrame:
+    """As ``find_contamination``, with the ``document_key`` as doc_id."""
+    item_ids = dict(benchmark.dtypes)[item_col]
+    own = docs.select(document_key(id_col, text_col).alias("doc_id"), F.col(text_col).alias("text"))
+    ids = dict(own.dtypes)["doc_id"]
     items = benchmark.select(F.col(item_col).alias("item_id"), F.col(item_text_col).alias("text"))
     prints = stored(items.select("text").mapInArrow(_item_prints(length), "h long, n int").distinct(), "prints")
     windows = stored(items.mapInArrow(_item_windows(length), f"item_id {item_ids}, n int, r1 long, r2 long")

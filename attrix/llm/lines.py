@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from attrix.llm.common import stored
+from attrix.llm.common import document_key, stored
 
 MAX_EDITS, MIN_CHARS = 1, 20
 CROWDED = 64   # lines of one key beyond which the key is refined
@@ -178,12 +178,19 @@ def duplicate_lines(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int
     A line goes if an equal line starts earlier (smaller id, or smaller line number in the same
     text), or if both have ``min_chars`` characters or more and a line within ``max_edits`` edits
     starts earlier; lines are judged on the input.  Blank lines stay and match nothing.  Null
-    texts have no lines; null ids come first.  Rows that repeat an id are one document, whose
-    lines of one number start together.  Other columns are ignored.
+    texts have no lines; null ids come first.  Rows equal in id and text are one document, whose
+    lines of one number start together; texts that share an id, or have none, are documents of
+    their own, in the order of their hashes (``document_key``).  Other columns are ignored.
     """
+    gone = _duplicates(docs, max_edits, min_chars, crowded, id_col, text_col)
+    return gone.select(F.col("doc_id.id").alias("doc_id"), "ln")
+
+
+def _duplicates(docs: DataFrame, max_edits: int, min_chars: int, crowded: int, id_col: str, text_col: str) -> DataFrame:
+    """As ``duplicate_lines``, with the ``document_key`` as doc_id."""
     if not 0 <= max_edits < min_chars:
         raise ValueError("min_chars must exceed max_edits, which must not be negative")
-    own = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    own = docs.select(document_key(id_col, text_col).alias("doc_id"), F.col(text_col).alias("text"))
     lines = _lines(own)
     at = F.struct("doc_id", "ln")
     # equal lines: two hashes and the length stand for the text
@@ -221,17 +228,18 @@ def duplicate_lines(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int
 
 
 def _grouped(gone: DataFrame) -> DataFrame:
-    return gone.groupBy("doc_id").agg(F.sort_array(F.collect_set("ln")).alias("removed")).withColumnRenamed("doc_id", "_d")
+    """The removed line numbers of each document, as ``removed`` by ``d``."""
+    return gone.groupBy(F.col("doc_id").alias("d")).agg(F.sort_array(F.collect_set("ln")).alias("removed"))
 
 
 def dedup_lines(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MIN_CHARS, id_col: str = "doc_id",
                 text_col: str = "text") -> DataFrame:
     """Per row: doc_id, n_lines, n_removed and the removed line numbers (from 0, sorted); see ``duplicate_lines``."""
-    gone = _grouped(duplicate_lines(docs, max_edits, min_chars, id_col=id_col, text_col=text_col))
-    own = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.size(F.split(text_col, "\n")), F.lit(0)).cast("long").alias("n_lines"))
+    gone = _grouped(_duplicates(docs, max_edits, min_chars, CROWDED, id_col, text_col))
+    own = docs.select(document_key(id_col, text_col).alias("d"), F.coalesce(F.size(F.split(text_col, "\n")), F.lit(0)).cast("long").alias("n_lines"))
     own = own.withColumn("n_lines", F.greatest("n_lines", F.lit(0)))
-    return (own.join(gone, F.col("doc_id").eqNullSafe(F.col("_d")), "left")
-            .select("doc_id", "n_lines", F.coalesce(F.size("removed"), F.lit(0)).cast("long").alias("n_removed"),
+    return (own.join(gone, "d", "left")
+            .select(F.col("d.id").alias("doc_id"), "n_lines", F.coalesce(F.size("removed"), F.lit(0)).cast("long").alias("n_removed"),
                     F.coalesce("removed", F.array().cast("array<int>")).alias("removed")))
 
 
@@ -240,11 +248,13 @@ def remove_lines(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = M
 
     A document whose lines all go keeps its row, with an empty text.
     """
-    gone = _grouped(duplicate_lines(docs, max_edits, min_chars))
-    kept = F.array_join(F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains("removed", i)), "\n")
-    text = F.when(F.col("removed").isNull(), F.col("text")).otherwise(kept)
-    out = docs.join(gone, docs["doc_id"].eqNullSafe(F.col("_d")), "left").withColumn("text", text)
+    gone = _grouped(_duplicates(docs, max_edits, min_chars, CROWDED, "doc_id", "text"))
+    rows = docs.select(F.struct("*").alias("row"), document_key().alias("d")).join(gone, "d", "left")
+    old, removed = F.col("row.text"), F.col("removed")
+    kept = F.array_join(F.filter(F.split(old, "\n"), lambda x, i: ~F.array_contains(removed, i)), "\n")
+    changed = {"text": F.when(removed.isNull(), old).otherwise(kept)}
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("removed").isNull(), F.col("n_chars"))
-                             .otherwise(F.char_length("text").cast(dict(docs.dtypes)["n_chars"])))
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
+        changed["n_chars"] = F.when(removed.isNull(), F.col("row.n_chars")).otherwise(
+            F.char_length(kept).cast(dict(docs.dtypes)["n_chars"]))
+    # in a struct first: a column of the caller's may be called as one of those above
+    return rows.select(F.struct(*[changed.get(c, F.col("row")[c]).alias(c) for c in docs.columns]).alias("new")).select("new.*")

@@ -25,7 +25,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from attrix.llm.common import stored
+from attrix.llm.common import document_key, stored
 from attrix.llm.words import (SPACE_WORD, anchors, byte_slices, find_words, mix, run_hashes, signed, slices,
                               whole_grams)
 
@@ -147,14 +147,15 @@ def dedup_substrings(docs: DataFrame, length: int = LENGTH, seed: int = SEED_WOR
     on the input.  Returns doc_id, n_words, n_removed and the kept ``text`` (words
     joined by one space), or its ``kept_sha256`` where ``texts`` is false.  A null or
     empty text has no words; a null id is later than none and earlier than all others
-    (ids are compared as Spark orders them, null first).  Ids identify documents: rows
-    that repeat an id with its text count as one document and give one row each.
+    (ids are compared as Spark orders them, null first).  Rows equal in id and text are one
+    document and give one row each; texts that share an id, or have none, are documents of
+    their own, in the order of their hashes (``document_key``).
     Columns other than the two named are ignored.
     """
     if not 0 < seed <= length:
         raise ValueError("seed must be between 1 and length")
-    ids = dict(docs.dtypes)[id_col]
-    own = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    own = docs.select(document_key(id_col, text_col).alias("doc_id"), F.col(text_col).alias("text"))
+    ids = dict(own.dtypes)["doc_id"]
     seeds = own.mapInArrow(_seeds(length, seed), f"h long, doc_id {ids}, pos int")
     # grouped sides of joins are stored, so that the join shuffles both and can split a hot key
     twice = stored(seeds.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "seeds")
@@ -190,5 +191,6 @@ def dedup_substrings(docs: DataFrame, length: int = LENGTH, seed: int = SEED_WOR
     copies = F.when(F.col("firsts").isNull(), F.col("seeds")).otherwise(F.array_except("seeds", "firsts"))
     final = (with_seeds.join(marks, with_seeds["doc_id"].eqNullSafe(marks["_d"]), "left")
              .select("doc_id", "z", copies.alias("copies"), "later"))
-    return final.mapInArrow(_kept(length, seed, texts), f"doc_id {ids}, n_words long, n_removed long, "
+    kept = final.mapInArrow(_kept(length, seed, texts), f"doc_id {ids}, n_words long, n_removed long, "
                             + ("text string" if texts else "kept_sha256 string"))
+    return kept.select(F.col("doc_id.id").alias("doc_id"), "n_words", "n_removed", "text" if texts else "kept_sha256")
