@@ -21,8 +21,6 @@ from attrix.llm.common import document_key, stored
 from attrix.llm.words import ALNUM_WORD, anchors, find_words, mix, run_hashes, signed, slices
 
 LENGTH = 13
-# the word class after A-Z are lower-cased: letters and digits, and everything outside ASCII
-WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
 def _seed(n: int) -> int:
@@ -114,6 +112,12 @@ def _doc_windows(lengths: list[int]):
     return run
 
 
+def _count_words(batches):
+    for b in batches:
+        n = [find_words(data, off, ALNUM_WORD, hashes=False).n_words for _, _, data, off in slices(b.column(1))]
+        yield pa.record_batch([b.column(0), pa.array(np.concatenate([np.zeros(0, np.int64), *n]))], names=["doc_id", "n_words"])
+
+
 def find_contamination(docs: DataFrame, benchmark: DataFrame, length: int = LENGTH, percent: int = 5,
                        id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
                        item_text_col: str = "text") -> DataFrame:
@@ -164,8 +168,7 @@ def _contamination(docs, benchmark, length, percent, id_col, text_col, item_col,
         lambda a, s: F.struct((a["n"] + F.greatest(F.lit(0), s["end"] - F.greatest(a["end"], s["start"]))).alias("n"),
                               F.greatest(a["end"], s["end"]).alias("end")), lambda a: a["n"])
     hits = hits.select(F.col("doc_id").alias("_d"), covered.alias("n_hit"), "items")
-    n_words = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
-    return (own.select("doc_id", n_words.alias("n_words"))
+    return (own.mapInArrow(_count_words, f"doc_id {ids}, n_words long")
             .join(hits, F.col("doc_id").eqNullSafe(F.col("_d")), "left")
             .select("doc_id", "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),
                     F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("n_items"),
