@@ -205,6 +205,7 @@ def _duplicates(docs: DataFrame, max_edits: int, min_chars: int, crowded: int, i
     rows = (lines.where(length >= min_chars)
             .select("h", F.explode(F.array(*_keys(F.col("line"), length, max_edits, min_chars))).alias("k"))
             .where("k is not null").select("h", "k.*"))
+    rows = stored(rows, "keys")     # their making costs more than reading them again
     live = _live(rows)
     rows = stored(rows.join(live, "key", "left_semi").distinct(), "rows")
     wanted = rows.select("h").distinct()
