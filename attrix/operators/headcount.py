@@ -57,21 +57,37 @@ def monthly_headcount(life: DataFrame, spine_start, end_exclusive,
     and trailing windows span calendar months.
     """
     first, last = _spine_bounds(spine_start, end_exclusive)
+    deltas = headcount_deltas(life, first, last, group, key, start, end, weight)
+    return headcount_from_deltas(deltas, last, group, dense)
+
+
+def headcount_deltas(life: DataFrame, first: Column, last: Column | None = None, group: str = "location_state",
+                     key: str = "employee_key", start: str = "hire_date", end: str = "termination_date",
+                     weight: str | None = None) -> DataFrame:
+    """``(g, m, dn, dk)``: change of the counted rows, and of those with a key, per group and month.
+
+    Months before ``first`` count as ``first``; rows and months after ``last`` are left out, if given.
+    Deltas of disjoint sets of rows add up, and those of a set of rows are taken back by their negative.
+    """
     # first counted month (greatest() would skip a null hire date: keep it null)
     a = F.when(F.col(start).isNotNull(), F.greatest(month_start(start), first))
     b = month_start(end)                               # first month no longer counted
     k = F.when(F.col(key).isNotNull(), 1).otherwise(0)
     n = F.lit(1) if weight is None else F.col(weight)
     rows = (life.select(F.col(group).alias("g"), a.alias("a"), b.alias("b"), (k * n).alias("k"), n.alias("n"))
-                .where(F.col("a").isNotNull() & (F.col("a") <= last)
+                .where(F.col("a").isNotNull() & (F.col("a") <= last if last is not None else F.lit(True))
                        & (F.col("b").isNull() | (F.col("b") > F.col("a")))))
     events = F.array(
         F.struct(F.col("a").alias("m"), F.col("n").alias("dn"), F.col("k").alias("dk")),
-        F.when(F.col("b") <= last,
+        F.when(F.col("b") <= last if last is not None else F.col("b").isNotNull(),
                F.struct(F.col("b").alias("m"), (-F.col("n")).alias("dn"), (-F.col("k")).alias("dk"))))
-    deltas = (rows.select("g", F.inline(F.filter(events, lambda e: e.isNotNull())))
+    return (rows.select("g", F.inline(F.filter(events, lambda e: e.isNotNull())))
                   .groupBy("g", "m")
                   .agg(F.sum("dn").alias("dn"), F.sum("dk").alias("dk")))
+
+
+def headcount_from_deltas(deltas: DataFrame, last: Column, group: str = "location_state", dense: bool = False) -> DataFrame:
+    """``(month_start, month_end, <group>, headcount)`` from the deltas of the months up to ``last``."""
     # Running totals over the sparse change months, then each change month
     # spans the months up to the next change (or the spine end). Only
     # groups × months rows exist after the aggregation, so the window's

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from attrix.functions.dates import as_date, as_timestamp, hours_between, seconds_between
 from attrix.schema import RUNS
+from attrix.session import create_text, list_files, read_text, remove_path
 
 
 def record_run(spark: SparkSession, runs_path: str, entity: str, run_date, records_staged: int,
@@ -33,8 +34,63 @@ def as_py_date(d) -> _dt.date:
     return d if isinstance(d, _dt.date) else _dt.date.fromisoformat(str(d))
 
 
+_COMPACTED = "_compacted"
+
+
+def _checkpoint(spark: SparkSession, runs_path: str) -> tuple[int, dict]:
+    """The newest compaction: its number, its folder of run records, and the files that these came from."""
+    found = list_files(spark, f"{runs_path.rstrip('/')}/{_COMPACTED}")
+    if not found:
+        return 0, {"folder": None, "covers": []}
+    newest = max(found, key=lambda f: int(f.rsplit("/", 1)[-1]))
+    return int(newest.rsplit("/", 1)[-1]), json.loads(read_text(spark, newest))
+
+
+def _tail(spark: SparkSession, runs_path: str, covers: list[str]) -> list[str]:
+    """Record files that the compaction with ``covers`` does not hold yet."""
+    return [f for f in list_files(spark, runs_path) if f.endswith(".parquet") and f.rsplit("/", 1)[-1] not in covers]
+
+
 def read_runs(spark: SparkSession, runs_path: str) -> DataFrame:
-    return spark.read.schema(RUNS).parquet(runs_path)
+    """All run records, each once: those of the newest compaction and the files written since."""
+    _, at = _checkpoint(spark, runs_path)
+    paths = _tail(spark, runs_path, at["covers"])
+    if at["folder"]:
+        paths.append(f"{runs_path.rstrip('/')}/{at['folder']}")
+    return spark.read.schema(RUNS).parquet(*paths) if paths else spark.createDataFrame([], RUNS)
+
+
+def compact_runs(spark: SparkSession, runs_path: str, files: int = 1) -> int:
+    """Gather the record files into ``files`` files; returns how many were gathered.
+
+    A manifest, ``_compacted/<n>``, names the gathered folder and the files it came from; it
+    appears last and at once, so a reader sees each run in one place.  Gathered files, and the
+    folder before, are removed by the *next* compaction, when nobody who starts reading needs
+    them; a record that is appended meanwhile is in the tail.  Of two compactions at a time one
+    gives up.  So the log holds a bounded number of files after any number of runs.
+    """
+    base = runs_path.rstrip("/")
+    number, at = _checkpoint(spark, runs_path)
+    listed = {f.rsplit("/", 1)[-1] for f in list_files(spark, runs_path)}
+    new, old = _tail(spark, runs_path, at["covers"]), [f for f in at["covers"] if f in listed]
+    if not new:
+        return 0
+    folder = f"{_COMPACTED}_data-{uuid.uuid4().hex[:12]}"
+    paths = [*new, f"{base}/{at['folder']}"] if at["folder"] else new
+    (spark.read.schema(RUNS).parquet(*paths).repartitionByRange(files, "run_date", "started_at", "run_id")
+     .write.parquet(f"{base}/{folder}"))
+    manifest = {"folder": folder, "covers": [f.rsplit("/", 1)[-1] for f in new] + old, "before": at["folder"]}
+    if not create_text(spark, f"{base}/{_COMPACTED}/{number + 1:012d}", json.dumps(manifest)):
+        remove_path(spark, f"{base}/{folder}")
+        return 0
+    for gone in old:
+        remove_path(spark, f"{base}/{gone}")
+    if at.get("before"):
+        remove_path(spark, f"{base}/{at['before']}")
+    for f in list_files(spark, f"{base}/{_COMPACTED}"):
+        if int(f.rsplit("/", 1)[-1]) < number:
+            remove_path(spark, f)
+    return len(new)
 
 
 def _success(runs: DataFrame, entity: str | None = None) -> DataFrame:

@@ -7,28 +7,34 @@ driver tables through the adapters in ``attrix.sources.adapters``.
 from __future__ import annotations
 
 import datetime as _dt
+import functools
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from attrix.functions.dates import active_on
+from attrix.functions.dates import active_on, as_timestamp
 from attrix.operators import filters as FL, quality as Q, runs as RN
+from attrix.operators.asof import asof_headcount
 from attrix.operators.dedup import latest_per_key
 from attrix.operators.headcount import (headcount_rows, month_spine, monthly_combined, monthly_exits,
                                         monthly_headcount)
 from attrix.operators.joins import lifecycle
 from attrix.operators.rolling import rolling_turnover
-from attrix.plans.build import build, written
+from attrix.plans.build import build, lookup_ready, written
+from attrix.plans.check_state import update_checks
 from attrix.plans.dashboard import exits, turnover
+from attrix.plans.incremental import update_mart
 from attrix.plans.marts import dim_employees, fct_terminations
 from attrix.plans.nightly import run_ingest
-from attrix.plans.staging import stage_employees, stage_terminations
+from attrix.plans.staging import ORDER, stage_employees, stage_terminations
 from attrix.plans.suite import business_rules, suite
-from attrix.schema import API_TERMINATION, LANDING, TERMINATION_TYPES
-from attrix.session import bare_path, ensure_conf, list_files, move_file, scratch_path
+from attrix.schema import API_TERMINATION, LANDING, RAW_CLUSTER, TERMINATION_TYPES
+from attrix.session import bare_path, ensure_conf, list_files, move_file, path_exists, scratch_path
 from attrix.sources import adapters as A
-from attrix.sources.landing import (api_records, coerce_dates, lost_dates, read_landing, read_report_json,
+from attrix.sources.landing import (api_records, cluster_for_write, coerce_dates, lost_dates, read_landing, read_report_json,
                                     stage, with_lineage, with_page_numbers)
+from attrix.sources.versioned import Store
 from attrix.streaming.ingest import (ingest_stream, load_failures, read_history, read_raw,
                                      recent_loads)
 
@@ -474,6 +480,151 @@ def q_nightly_turnover(spark, sf_dir):
 
 NIGHT_1, NIGHT_2 = "2001-11-05", "2001-11-06"
 
+# -- nightly runs that touch what changed, counts at any date -------------------------
+
+# run dates of each night's rows, and the day the mart is built for
+NIGHTS = [("1900-01-01", "1997-12-31", "1998-01-15"), ("1998-01-01", "2000-06-30", "2000-07-01"),
+          ("2000-07-01", "2100-01-01", A.ORDERS_AS_OF)]
+
+
+def _night(df, first, last):
+    return df.where(F.col("_pipeline_run_date").between(F.lit(first).cast("date"), F.lit(last).cast("date")))
+
+
+def q_latest_merge(spark, sf_dir):
+    """Employee snapshots merged into the latest rows in three nights."""
+    raw = A.hr_inputs(spark, sf_dir)[0]
+    store = Store(spark, scratch_path(spark, "store"))
+    for first, last, _ in NIGHTS:
+        tx = store.begin()
+        tx.merge("employees", _night(raw, first, last), ["employee_id"], ORDER["employees"], buckets=16)
+        tx.commit()
+        tx.done()
+    return store.snapshot().read("employees")
+
+
+def q_incremental_mart(spark, sf_dir):
+    """The mart after three nights of loads and one that corrects, withdraws and moves exits of all years."""
+    raw_e, raw_t = A.hr_inputs(spark, sf_dir)
+    store = Store(spark, scratch_path(spark, "store"))
+    for first, last, as_of in NIGHTS:
+        update_mart(store, _night(raw_e, first, last), _night(raw_t, first, last), as_of, A.ORDERS_SPINE_START, buckets=16)
+    update_mart(store, raw_e.limit(0), A.corrected_terminations(raw_t), A.ORDERS_AS_OF, A.ORDERS_SPINE_START)
+    return store.snapshot().read("turnover")
+
+
+# the checks of the latest rows of a store, in the words of the suite
+STORE_CHECKS = [
+    Q.Check("employees", "employee_id", "unique"), Q.Check("employees", "hire_date", "not_null"),
+    Q.Check("employees", "employment_status", "accepted_values", {"values": ["Active"]}, "warn"),
+    Q.Check("employees", "worker_type", "unique"), Q.Check("employees", "hire_date", "not_in_future", {"as_of": "1994-06-30"}, "warn"),
+    Q.Check("terminations", "termination_id", "unique"), Q.Check("terminations", "termination_date", "not_null"),
+    Q.Check("terminations", "employee_id", "relationships", {"to": "employees", "field": "employee_id"}),
+    Q.Check("terminations", "termination_date", "not_before_column", {"reference_column": "last_day_of_work"}),
+    Q.Check("terminations", "_pipeline_page_num", "is_between", {"min_value": 2, "max_value": 4}),
+    Q.Check("terminations", "recorded_by", "rule", {"fails": "recorded_by like '%7'"}),
+]
+
+
+def q_incremental_checks(spark, sf_dir):
+    """Three nights of rows and one of corrections, checked after each by what changed; the last night's result."""
+    raw_e, raw_t = A.hr_inputs(spark, sf_dir)
+    store = Store(spark, scratch_path(spark, "store"))
+    nights = [(_night(raw_e, a, b), _night(raw_t, a, b)) for a, b, _ in NIGHTS] + [(raw_e.limit(0), A.corrected_terminations(raw_t))]
+    for emps, terms in nights:
+        tx = store.begin()
+        tx.merge("employees", emps, ["employee_id"], ORDER["employees"], buckets=16)
+        tx.merge("terminations", terms, ["termination_id"], ORDER["terminations"], buckets=16)
+        tx.commit()
+        tx.done()
+        result = update_checks(store, STORE_CHECKS, "1994-06-30", buckets=16)
+    return result
+
+
+def q_asof_headcount(spark, sf_dir):
+    """Orders, read as lifecycles, active on every day that has events and on the ship dates of all sixth lines."""
+    ensure_conf(spark)
+    days = A.table(spark, sf_dir, "events").select(F.col("ts").cast("date").alias("as_of_date"))
+    dates = A.table(spark, sf_dir, "lineitem").where("l_linenumber = 6").select(F.col("l_shipdate").cast("date").alias("as_of_date"))
+    return asof_headcount(A.order_lifecycles(A.table(spark, sf_dir, "orders")), days.unionByName(dates))
+
+
+def q_lookup_written(spark, sf_dir):
+    """Employees looked up in the written dimension by key: one per priority's first order, and one who is not there."""
+    dim = lookup_ready(spark, scratch_path(spark, "models"), {"dim_employees": "employee_key"})("dim_employees", _hr(spark, sf_dir)[2])
+    wanted = A.table(spark, sf_dir, "orders").groupBy("o_orderpriority").agg(F.min("o_orderkey").alias("k"))
+    ids = [f"E{r['k']}" for r in wanted.collect()] + ["E-0"]
+    found = [FL.lookup(dim, "employee_id", i, hashed_key="employee_key") for i in ids]
+    return functools.reduce(DataFrame.unionByName, found)
+
+
+def q_clustered_raw(spark, sf_dir):
+    """Raw terminations written in Z-order of date and type, then filtered by the second column alone."""
+    raw = A.hr_inputs(spark, sf_dir)[1]
+    path = scratch_path(spark, "clustered")
+    cluster_for_write(raw, RAW_CLUSTER["terminations"]).write.parquet(path)
+    return spark.read.schema(raw.schema).parquet(path).where("termination_type = 'Involuntary'")
+
+
+def q_window_problems(spark, sf_dir):
+    """What is wrong with windows from an order's day to its total price's day, with the order's status and priority."""
+    ensure_conf(spark)
+    o = A.table(spark, sf_dir, "orders")
+    day = F.col("o_orderdate").cast("date")
+    status = F.when(F.col("o_orderstatus") == "F", "Terminated").when(F.col("o_orderstatus") == "O", "Active").otherwise("Paused")
+    windows = o.select("o_orderkey", day.alias("start"), F.date_add(day, (F.floor(F.col("o_totalprice")) % 500 - 100).cast("int")).alias("end"),
+                       status.alias("status"), F.when(F.col("o_orderkey") % 2 == 0, "Voluntary").otherwise(F.col("o_orderpriority")).alias("termination_type"))
+    return FL.window_problems(windows, "1998-06-30").select("o_orderkey", F.array_join("problems", "; ").alias("problems"))
+
+
+def q_load_times(spark, sf_dir):
+    """Rows per entity whose load time lies within the ingest run that loaded them, and outside it."""
+    parts = []
+    for entity, landing in (("terminations", _staged(spark, sf_dir)), ("employees", _staged_employees(spark, sf_dir))):
+        begun = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+        raw = read_raw(spark, f"{_ingest(spark, landing, entity)}/raw", entity)
+        ended = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+        inside = F.col("_loaded_at").between(as_timestamp(begun), as_timestamp(ended))
+        parts.append(raw.agg(F.count_if(inside).alias("inside"), F.count_if(~inside | F.col("_loaded_at").isNull()).alias("outside"))
+                     .select(F.lit(entity).alias("entity"), "inside", "outside"))
+    return parts[0].unionByName(parts[1])
+
+
+def q_ingest_continuous(spark, sf_dir):
+    """A stream that polls: stopped in the middle of a batch, files arrive late, started again; the latest rows."""
+    terms, base, out = _api_terminations(spark, sf_dir), scratch_path(spark, "landing"), scratch_path(spark, "raw")
+    part = F.pmod(F.xxhash64("termination_id"), F.lit(4))
+
+    def start():
+        return ingest_stream(spark, base, "terminations", f"{out}/raw", f"{out}/history", f"{out}/checkpoint",
+                             available_now=False, processing_time="0 seconds", max_files_per_trigger=3)
+    stage(terms.where(part <= 1), "terminations", STAGE_RUN_DATE, base, written_at=STAGE_WRITTEN_AT, records_per_file=2000)
+    first = start()
+    while first.isActive and not path_exists(spark, f"{out}/checkpoint/offsets/0"):
+        time.sleep(0.02)           # a batch has begun: stop in it
+    first.stop()
+    # the next night's files, with the days that a lookback reads again
+    stage(terms.where(part >= 1), "terminations", NIGHT_2, base, written_at=STAGE_WRITTEN_AT, records_per_file=2000)
+    second = start()
+    second.processAllAvailable()
+    stage(terms.where(part == 3), "terminations", NIGHT_2, base, written_at=STAGE_WRITTEN_AT)     # arrives while it runs
+    second.processAllAvailable()
+    second.stop()
+    raw = read_raw(spark, f"{out}/raw", "terminations")
+    api = [f.name for f in API_TERMINATION.fields]
+    return latest_per_key(raw.select(*api), ["termination_id"], [F.col("recorded_at").desc_nulls_first()])
+
+
+def q_compacted_runs(spark, sf_dir):
+    """The events as a log of many files, gathered while records are added: per entity and status, runs and last date."""
+    runs, path = _runs(spark, sf_dir), f"{scratch_path(spark, 'runs')}"
+    slices = F.pmod(F.xxhash64("run_id"), F.lit(3))
+    for i in range(3):
+        runs.where(slices == i).repartition(8).write.mode("append").parquet(path)
+        RN.compact_runs(spark, path)
+    return RN.read_runs(spark, path).groupBy("entity", "status").agg(
+        F.count("*").alias("runs"), F.sum("records_staged").alias("records"), F.max("run_date").alias("last_run_date"))
+
 
 QUERIES: dict[str, Query] = {
     "stage_employees": q_stage_employees,
@@ -528,4 +679,14 @@ QUERIES: dict[str, Query] = {
     "read_report_json": q_read_report_json,
     "nightly_run": q_nightly_run,
     "nightly_turnover": q_nightly_turnover,
+    "latest_merge": q_latest_merge,
+    "incremental_mart": q_incremental_mart,
+    "asof_headcount": q_asof_headcount,
+    "incremental_checks": q_incremental_checks,
+    "lookup_written": q_lookup_written,
+    "clustered_raw": q_clustered_raw,
+    "window_problems": q_window_problems,
+    "load_times": q_load_times,
+    "ingest_continuous": q_ingest_continuous,
+    "compacted_runs": q_compacted_runs,
 }

@@ -143,3 +143,51 @@ def bare_path(path):
         return re.sub("^file:/+", "/", unquote(path))
     from pyspark.sql import functions as F
     return F.regexp_replace(F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))), "^file:/+", "/")
+
+
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders directly under ``path``; none if it does not exist."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return []
+    return sorted(f.getPath().getName() for f in fs.listStatus(p) if f.isDirectory())
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small text file, such as a manifest, as one string."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    stream = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(p)
+    try:
+        return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def create_text(spark: SparkSession, path: str, text: str) -> bool:
+    """Make ``path`` appear with all of ``text`` at once; False, and nothing changed, if it is there already.
+
+    The text is written beside it and renamed without overwriting, which is atomic on the
+    filesystems that Structured Streaming checkpoints need as well.
+    """
+    jvm, sc = spark.sparkContext._jvm, spark.sparkContext
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(sc._jsc.hadoopConfiguration())
+    fs.mkdirs(p.getParent())
+    beside = jvm.org.apache.hadoop.fs.Path(p.getParent(), f".{uuid.uuid4().hex}.tmp")
+    out = fs.create(beside, False)
+    out.write(bytearray(text.encode("utf-8")))
+    out.close()
+    whole = fs.makeQualified(p)
+    files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(whole.toUri(), sc._jsc.hadoopConfiguration())
+    try:
+        files.rename(fs.makeQualified(beside), whole, sc._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0))
+        return True
+    except Exception:
+        if not fs.exists(p):
+            raise
+        return False
+    finally:
+        fs.delete(beside, False)

@@ -125,6 +125,18 @@ def raw_terminations(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     )
 
 
+def corrected_terminations(terminations: DataFrame) -> DataFrame:
+    """A last load of some termination records, by order number modulo 40: a later date (0), withdrawn (1), another employee (2)."""
+    number = F.substring("termination_id", 2, 20).cast("bigint")
+    kind = number % 40
+    written = F.lit("2001-12-30 02:00:00").cast("timestamp_ntz")
+    changed = {"termination_date": F.when(kind == 0, F.date_add("termination_date", 45)).when(kind == 2, F.col("termination_date")),
+               "employee_id": F.when(kind == 2, F.concat(F.lit("E"), number + 1)).otherwise(F.col("employee_id")),
+               "_pipeline_run_date": F.lit("2001-12-30").cast("date"), "_pipeline_written_at": written, "_loaded_at": written}
+    return terminations.where((kind <= 2) & (F.col("_pipeline_page_num") == 1)).select(
+        *[changed.get(c, F.col(c)).alias(c) for c in terminations.columns])
+
+
 def runs_from_events(events: DataFrame) -> DataFrame:
     et = F.col("event_type")
     secs = F.floor(F.col("value"))

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 from attrix.functions.dates import as_date, as_timestamp
 from attrix.schema import (API, DATE_COLUMNS, LANDING, NATURAL_KEY, PAGE_SIZE, RAW,
                            envelope)
+from attrix.functions.order import order_code, piece_of, quantile_bounds
 from attrix.session import list_files, remove_path, scratch_path
 
 _PID, _MID = "__attrix_pid", "__attrix_mid"
@@ -202,17 +203,37 @@ def to_raw(df: DataFrame, entity: str, loaded_at=None) -> DataFrame:
     return df.select(*out)
 
 
+ZORDER_BITS = 6
+
+
+def zorder_key(df: DataFrame, cols: Sequence[str], bits: int = ZORDER_BITS) -> Column:
+    """The quantile ranks of ``cols`` with their bits interleaved, the first column's first.
+
+    Ranks, not values, so skewed columns use all of the key; equal values have equal ranks.  The
+    ranks of a column of few values are spread over the same range as those of the others.
+    """
+    _, bounds = quantile_bounds(df, list(cols), 1 << bits)
+    ranks = [F.floor(piece_of(order_code(df, c), bounds[c]) * (1 << bits) / (len(bounds[c]) + 1)).cast("long") for c in cols]
+    key, wide = F.lit(0).cast("long"), bits + 1                     # a null's rank may take one bit more
+    for bit in range(wide):
+        for i, r in enumerate(ranks):
+            place = (wide - 1 - bit) * len(cols) + (len(cols) - 1 - i)
+            key = key + F.shiftleft(F.shiftright(r, wide - 1 - bit).bitwiseAND(F.lit(1).cast("long")), place)
+    return key
+
+
 def cluster_for_write(df: DataFrame, cols: Sequence[str], partitions: int | None = None) -> DataFrame:
-    """Range-partition and sort on the common filter columns before a write.
+    """Range-partition and sort on the Z-order of the common filter columns before a write.
 
-    Row groups then hold narrow min/max ranges on ``cols``, so later filters on
-    them skip row groups (the Parquet analogue of table clustering). The range
-    bounds continue over the remaining columns: a nightly snapshot shares one
-    run date, and bounds on ``cols`` alone would send it all to one task.
+    Row groups then hold narrow min/max ranges on each of ``cols``, so a filter on any one of
+    them skips row groups (the Parquet analogue of table clustering).  The range bounds continue
+    over a hash of the row: a nightly snapshot shares one run date, and bounds on the key alone
+    could send it all to one task.
     """
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rest = [c for c in df.columns if c not in cols]
-    return df.repartitionByRange(n, *cols, *rest).sortWithinPartitions(*cols, *rest)
+    z, row = "__attrix_z", "__attrix_row"
+    keyed = df.withColumn(z, zorder_key(df, cols)).withColumn(row, F.xxhash64(*df.columns))
+    return keyed.repartitionByRange(n, z, row).sortWithinPartitions(z, *cols, row).drop(z, row)
 
 
 def api_records(df: DataFrame, entity: str) -> DataFrame:

@@ -8,8 +8,14 @@ reads them with the declared schema, casts to the raw types, stamps
 
 * Exactly once per file: the stream's checkpointed file log.
 * Exactly once per row: each micro-batch writes its own partition (stream id,
-  batch id) with dynamic overwrite, so a replayed batch replaces its output and a
-  stream with a new checkpoint adds to the table.
+  batch id) with dynamic overwrite, so a batch that is replayed before it was
+  finished replaces its output, a finished one is left alone, and a stream with a
+  new checkpoint adds to the table.
+* Rows and history together: a batch shows in neither table before its manifest
+  (``<raw>/_batches/<stream id>.<batch id>``) appears, which is written last.
+  ``read_raw`` and ``read_history`` read the batches that have one.
+* One scan: the rows carry their file and the columns that lost a value in the
+  cast, and the history is summed from these two columns of what was written.
 * Foreign files: if the batch cannot be read with the declared schema (a page
   whose all-null column was written with another physical type), files are
   checked one by one: compatible footers are read with the declared schema,
@@ -27,9 +33,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from attrix.functions.dates import as_timestamp
 from attrix.schema import LANDING, LOAD_HISTORY, RAW, RAW_CLUSTER
-from attrix.session import bare_path
+from attrix.session import bare_path, create_text, list_files, path_exists, read_text
 
 BATCH_COL, STREAM_COL = "_batch_id", "_stream_id"
+FILE_COL, LOST_COL = "_file", "_lost"
+_MANIFESTS, _RAW_OF = "_batches", "_raw"
 _BINARY = "path string, modificationTime timestamp, length long, content binary"
 
 
@@ -66,9 +74,9 @@ def _compatible(schema, entity) -> bool:
 
 
 def _to_raw_with_losses(landing: DataFrame, entity: str) -> DataFrame:
-    """Raw-typed columns plus ``_lost``: values that were non-null before the cast and null after."""
+    """Raw-typed columns, the row's file, and ``_lost``: the columns whose non-null value the cast made null."""
     loaded_at = F.localtimestamp()
-    raw_cols, lost, per_col = [], [], []
+    raw_cols, lost = [], []
     types = dict(landing.dtypes)
     for f in RAW[entity].fields:
         if f.name == "_loaded_at":
@@ -83,13 +91,10 @@ def _to_raw_with_losses(landing: DataFrame, entity: str) -> DataFrame:
         else:
             v = c.try_cast(f.dataType)
         raw_cols.append(v.alias(f.name))
-        flag = F.when(c.isNotNull() & v.isNull(), 1).otherwise(0)
-        lost.append(flag)
-        per_col.append(flag.alias(f"_lost__{f.name}"))
-    lost_expr = lost[0]
-    for x in lost[1:]:
-        lost_expr = lost_expr + x
-    return landing.select("_file_path", *raw_cols, lost_expr.alias("_lost"), *per_col)
+        if types[f.name] != f.dataType.simpleString():           # a cast to its own type loses nothing
+            lost.append(F.when(c.isNotNull() & v.isNull(), F.lit(f.name)))
+    names = F.array_compact(F.array(*lost)) if lost else F.array().cast("array<string>")
+    return landing.select(*raw_cols, F.col("_file_path").alias(FILE_COL), F.when(F.size(names) > 0, names).alias(LOST_COL))
 
 
 def _append(df: DataFrame, stream_id: str, batch_id: int, path: str) -> None:
@@ -99,20 +104,21 @@ def _append(df: DataFrame, stream_id: str, batch_id: int, path: str) -> None:
        .partitionBy(STREAM_COL, BATCH_COL).parquet(path))
 
 
-def _history(out: DataFrame, files: DataFrame, failed: DataFrame) -> DataFrame:
+def _history(rows: DataFrame, entity: str, files: DataFrame, failed: DataFrame) -> DataFrame:
     """One row per arrived file: those without data rows and those that failed included."""
-    lost_cols = [c for c in out.columns if c.startswith("_lost__")]
+    lost_cols = [f"_lost__{f.name}" for f in RAW[entity].fields]
     # per column: how many non-null inputs the cast turned into null, e.g. "hire_date=3"
     detail = F.concat_ws(", ", *[F.when(F.col(c) > 0, F.concat(F.lit(c[len("_lost__"):] + "="), F.col(c)))
                                  for c in lost_cols])
-    seen = (out.groupBy(bare_path(F.col("_file_path")).alias("_seen"))
-               .agg(F.count(F.lit(1)).alias("rows"), F.sum("_lost").alias("lost"), *[F.sum(c).alias(c) for c in lost_cols]))
+    seen = (rows.groupBy(bare_path(F.col(FILE_COL)).alias("_seen"))
+                .agg(F.count(F.lit(1)).alias("rows"), F.count(LOST_COL).alias("lost"),
+                     *[F.count_if(F.array_contains(LOST_COL, c[len("_lost__"):])).alias(c) for c in lost_cols]))
     lost = F.coalesce(F.col("lost"), F.lit(0)) > 0
-    rows = F.coalesce(F.col("rows"), F.lit(0)).cast("bigint")
+    n = F.coalesce(F.col("rows"), F.lit(0)).cast("bigint")
     return (files.join(seen, bare_path(F.col("path")) == F.col("_seen"), "left")
                  .join(failed.withColumnRenamed("path", "_failed"), F.col("path") == F.col("_failed"), "left")
                  .select(F.col("path").alias("file_name"), F.col("length").alias("file_size"),
-                         rows.alias("row_count"), rows.alias("row_parsed"),
+                         n.alias("row_count"), n.alias("row_parsed"),
                          F.coalesce("error", F.when(lost, F.concat(F.lit("values lost in cast: "), detail)))
                           .alias("first_error_message"),
                          F.when(F.col("_failed").isNotNull(), F.lit("LOAD_FAILED"))
@@ -120,6 +126,27 @@ def _history(out: DataFrame, files: DataFrame, failed: DataFrame) -> DataFrame:
                          F.localtimestamp().alias("last_load_time")))
 
 
+def _batch_folder(table: str, stream_id: str, batch_id: int | str) -> str:
+    return f"{table.rstrip('/')}/{STREAM_COL}={stream_id}/{BATCH_COL}={batch_id}"
+
+
+def _finish(spark: SparkSession, raw_path: str, history_path: str, stream_id: str, batch_id: int) -> None:
+    """Make a batch current in both tables: its manifest appears at once, or not."""
+    raw = raw_path.rstrip("/")
+    create_text(spark, f"{history_path.rstrip('/')}/{_RAW_OF}", raw)      # where the history's manifests lie
+    create_text(spark, f"{raw}/{_MANIFESTS}/{stream_id}.{batch_id}", "")
+
+
+def _finished(spark: SparkSession, raw_path: str) -> list[str]:
+    """``stream id.batch id`` of the batches that are current."""
+    return [f.rsplit("/", 1)[-1] for f in list_files(spark, f"{raw_path.rstrip('/')}/{_MANIFESTS}")]
+
+
+def _finished_folders(spark: SparkSession, raw_path: str, table: str) -> list[str]:
+    folders = [_batch_folder(table, *name.rsplit(".", 1)) for name in _finished(spark, raw_path)]
+    return [f for f in folders if path_exists(spark, f)]                  # a batch without rows has no folder
+
+
 def _is_file_fault(exc: Exception) -> bool:
     """Whether an error says that a file's footer or column types are not what was declared.
 
@@ -155,20 +182,26 @@ def write_batch(files: DataFrame, batch_id: int, entity: str, raw_path: str,
                 history_path: str, stream_id: str = "stream") -> None:
     """Load one micro-batch of landing files (idempotent per stream and ``batch_id``)."""
     spark = files.sparkSession
+    if f"{stream_id}.{batch_id}" in _finished(spark, raw_path):
+        return                         # replayed after it was finished: both tables have it
     # file metadata only: at most maxFilesPerTrigger (path, size) pairs
     listed = [(r["path"], r["length"]) for r in files.collect()]
     if not listed:
         return
     paths = sorted(p for p, _ in listed)
-    cols = [f.name for f in RAW[entity].fields]
     known = spark.createDataFrame(listed, "path string, length long")
     no_failure = spark.createDataFrame([], "path string, error string")
 
     def load(landing: DataFrame, failed: DataFrame) -> None:
-        out = _to_raw_with_losses(landing, entity)
         # clustered: sorted on the common filter columns so row-group min/max prune scans
-        _append(out.select(*cols).sortWithinPartitions(*RAW_CLUSTER[entity]), stream_id, batch_id, raw_path)
-        _append(_history(out, known, failed), stream_id, batch_id, history_path)
+        out = _to_raw_with_losses(landing, entity).sortWithinPartitions(*RAW_CLUSTER[entity])
+        _append(out, stream_id, batch_id, raw_path)
+        there = _batch_folder(raw_path, stream_id, batch_id)
+        notes = out.select(FILE_COL, LOST_COL)
+        rows = (spark.read.schema(notes.schema).parquet(there) if path_exists(spark, there)
+                else spark.createDataFrame([], notes.schema))     # no file had a row
+        _append(_history(rows, entity, known, failed), stream_id, batch_id, history_path)
+        _finish(spark, raw_path, history_path, stream_id, batch_id)
 
     try:
         return load(_declared(spark, paths, entity), no_failure)
@@ -205,10 +238,12 @@ def ingest_stream(spark: SparkSession, landing_base: str, entity: str, raw_path:
     in as many batches as needed.  Rows are filed under the stream's own id, which
     its checkpoint keeps: a stream with a new checkpoint adds to the tables.
     """
+    stream = []
+
     def batch(files: DataFrame, batch_id: int) -> None:
-        # the checkpoint's metadata file holds the id that restarts of this stream share
-        head = spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()["value"]
-        write_batch(files, batch_id, entity, raw_path, history_path, json.loads(head)["id"])
+        if not stream:      # the checkpoint's metadata file holds the id that restarts of this stream share
+            stream.append(json.loads(read_text(spark, f"{checkpoint.rstrip('/')}/metadata").splitlines()[0])["id"])
+        write_batch(files, batch_id, entity, raw_path, history_path, stream[0])
 
     w = (landing_files(spark, landing_base, entity, max_files_per_trigger or MAX_FILES_PER_BATCH).writeStream
          .foreachBatch(batch)
@@ -220,14 +255,22 @@ def ingest_stream(spark: SparkSession, landing_base: str, entity: str, raw_path:
 
 
 def read_raw(spark: SparkSession, raw_path: str, entity: str) -> DataFrame:
-    """The raw table (all micro-batches), declared schema."""
-    return spark.read.schema(RAW[entity]).parquet(raw_path).select(
+    """The raw table (all finished micro-batches), declared schema."""
+    folders = _finished_folders(spark, raw_path, raw_path)
+    if not folders:
+        return spark.createDataFrame([], RAW[entity])
+    return spark.read.schema(RAW[entity]).parquet(*folders).select(
         *[f.name for f in RAW[entity].fields])
 
 
 def read_history(spark: SparkSession, history_path: str) -> DataFrame:
-    """Per-file load history (``_stream_id`` and ``_batch_id`` are its partitions)."""
-    return spark.read.parquet(history_path).select(
+    """Per-file load history of the finished batches (``_stream_id`` and ``_batch_id`` are its partitions)."""
+    marker = f"{history_path.rstrip('/')}/{_RAW_OF}"
+    folders = _finished_folders(spark, read_text(spark, marker), history_path) if path_exists(spark, marker) else []
+    if not folders:
+        return spark.createDataFrame([], LOAD_HISTORY).withColumns(
+            {STREAM_COL: F.lit(None).cast("string"), BATCH_COL: F.lit(None).cast("int")})
+    return spark.read.option("basePath", history_path).parquet(*folders).select(
         *[F.col(f.name).cast(f.dataType) for f in LOAD_HISTORY.fields], STREAM_COL, BATCH_COL)
 
 
