@@ -159,7 +159,7 @@ def dedup_substrings(docs: DataFrame, length: int = LENGTH, seed: int = SEED_WOR
     seeds = own.mapInArrow(_seeds(length, seed), f"h long, doc_id {ids}, pos int")
     # grouped sides of joins are stored, so that the join shuffles both and can split a hot key
     twice = stored(seeds.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "seeds")
-    repeated = (seeds.join(twice, "h").groupBy("doc_id").agg(F.collect_set("pos").alias("seeds")))
+    repeated = stored(seeds.join(twice, "h").groupBy("doc_id").agg(F.collect_set("pos").alias("seeds")), "repeated")
     packed = own.mapInArrow(_packed, f"doc_id {ids}, z binary")
     with_seeds = packed.join(repeated, packed["doc_id"].eqNullSafe(repeated["doc_id"]), "left") \
                        .select(packed["doc_id"], "z", "seeds")
