@@ -237,7 +237,8 @@ def _found(blocks: DataFrame, sizes: DataFrame, quarters: bool) -> DataFrame:
     other = F.sequence(F.lit(0), (F.col("tiles") - 1).cast("int"))
     rows = rows.select("m", "part", "key", "w", "n", "tile", F.explode(other).alias("o")).select(
         "m", "part", "key", F.least("tile", "o").alias("i"), F.greatest("tile", "o").alias("j"), "tile", "w", "n")
-    return (rows.repartition("m", "part", "key", "i", "j").sortWithinPartitions("m", "part", "key", "i", "j")
+    n = int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions"))   # few bytes, much work: not to be coalesced
+    return (rows.repartition(n, "m", "part", "key", "i", "j").sortWithinPartitions("m", "part", "key", "i", "j")
             .mapInArrow(_compare(quarters), "w binary, near long, best_n long, best binary"))
 
 
