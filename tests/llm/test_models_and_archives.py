@@ -1,7 +1,9 @@
 """Language-model scores, the toxicity classifier, WARC archives and the pipeline."""
 
 import io
+import math
 import random
+from collections import Counter
 
 import numpy as np
 import pyarrow.fs as pafs
@@ -61,6 +63,77 @@ def test_gradient_training_beats_unigrams_on_held_out(spark):
     assert score_documents(frame(spark, [])).count() == 0
 
 
+def test_training_step_goes_down_the_plain_gradient():
+    """One step of training against the slope of the loss, summed window by window in plain Python."""
+    from attrix.llm.lm_scoring import Vocabulary, WindowNetwork, train
+
+    v = Vocabulary(np.arange(1, 3, dtype=np.uint64), 2)
+    n, windows = v.size, {(0, 1, 3): 5, (1, 3, 2): 2, (2, 4, 0): 7, (1, 2, 4): 1, (0, 2, 2): 3}     # left, token, right
+
+    def loss(net):
+        total = 0.0
+        for (a, t, b), count in windows.items():
+            hidden = [math.tanh(float(x) + float(y)) for x, y in zip(net.left[a], net.right[b])]
+            z = [sum(h * float(net.output[i][c]) for i, h in enumerate(hidden)) + float(net.bias[c]) for c in range(n)]
+            total -= count * (z[t] - math.log(sum(map(math.exp, z))))
+        return total / sum(windows.values())
+
+    keys = np.array([(a * n + b) * n + t for a, t, b in windows])
+    order = np.argsort(keys)
+    arguments = (v, keys[order], np.array(list(windows.values()))[order])
+    start, after = (train(*arguments, width=3, steps=k, rate=0.01) for k in (0, 1))
+    start.left, start.right, start.output, start.bias = (x.astype(float) for x in (start.left, start.right, start.output, start.bias))
+    for name in ("left", "right", "output", "bias"):
+        at = getattr(start, name)
+        for i in np.ndindex(at.shape):
+            old, e = at[i], 1e-4
+            at[i] = old + e
+            up = loss(start)
+            at[i] = old - e
+            slope = (up - loss(start)) / (2 * e)
+            at[i] = old
+            if abs(slope) > 1e-5:       # the first step of Adam is the rate, against the slope's sign
+                assert abs(float(getattr(after, name)[i]) - old + 0.01 * math.copysign(1, slope)) < 1e-4
+
+
+@pytest.mark.parametrize("hot", [0, 3, 1000])
+def test_scores_equal_a_plain_sum(spark, hot):
+    """Every token's class by the network, its share of the class by counts, added up one by one."""
+    import re
+
+    from attrix.llm.lm_scoring import fit_network, score_documents
+    from attrix.llm.words import ALNUM_WORD, find_words
+
+    rng = random.Random(6)
+    words = [f"w{i}" for i in range(25)]
+    docs = [(i, " ".join(rng.choices(words, [1 / (1 + j) for j in range(25)], k=rng.randint(0, 30)))) for i in range(25)]
+    docs += [(3, docs[4][1]), (None, docs[4][1]), (None, "W1 w1, éa"), (40, docs[4][1]), (40, docs[4][1])]
+    net = fit_network(frame(spark, docs), top_words=4, buckets=3, steps=5)
+    count, v = Counter(w for _, x in docs for w in re.findall(r"[a-z0-9\u0080-\uffff]+", x.lower())), net.vocabulary
+    hashed = lambda w: find_words(np.frombuffer(w.encode(), np.uint8), np.array([0, len(w.encode())]), ALNUM_WORD, fold=True).hash
+    cls = {w: int(v.ids(hashed(w))[0]) for w in [*count, "unseen"]}
+    mass = Counter()
+    for w, c in count.items():
+        mass[cls[w]] += c + 1
+    table = net.log_table().reshape(v.size, v.size, v.size)
+
+    def score(text):
+        w = re.findall(r"[a-z0-9\u0080-\uffff]+", text.lower())
+        ids = [0, *[cls[x] for x in w], 0]
+        return sum(float(table[ids[i], ids[i + 2], ids[i + 1]])
+                   + (math.log((count[x] + 1) / (mass[cls[x]] + 1)) if cls[x] > 4 else 0) for i, x in enumerate(w))
+    asked = [*docs, (50, "unseen w1 unseen"), (51, docs[4][1].replace("w9", "w8"))]
+    got = score_documents(frame(spark, asked), net, hot=hot).collect()
+    want = sorted((i is None, i or 0, score(x)) for i, x in asked)
+    found = sorted((r["doc_id"] is None, r["doc_id"] or 0, r["log_likelihood"]) for r in got)
+    assert [x[:2] for x in found] == [x[:2] for x in want] and [x[2] for x in found] == pytest.approx([x[2] for x in want], abs=1e-3)
+    # words of one bucket are told apart
+    one = next(b for b in mass if b > 4 and len({count[w] for w in count if cls[w] == b}) > 1)
+    few, many = (f([w for w in count if cls[w] == one], key=count.get) for f in (min, max))
+    a, b = (r["log_likelihood"] for r in score_documents(frame(spark, [(1, few), (2, many)]), net, hot=hot).orderBy("doc_id").collect())
+    assert a < b
+
+
 # -- toxicity ----------------------------------------------------------------------
 
 def test_penalty_removes_the_effect_of_a_group_mention():
