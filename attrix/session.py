@@ -9,6 +9,7 @@ only a local session may leave it unset.
 from __future__ import annotations
 
 import atexit
+import contextlib
 import os
 import re
 import shutil
@@ -88,9 +89,30 @@ def shared_dir(spark: SparkSession) -> str:
     return d.rstrip("/")
 
 
+_RUNS: list[str] = []      # folders of the scratch runs that are open, the innermost last
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path in the shared folder for one job run; its writer creates it."""
-    return f"{shared_dir(spark)}/attrix/{name}-{uuid.uuid4().hex[:12]}"
+    base = _RUNS[-1] if _RUNS else f"{shared_dir(spark)}/attrix"
+    return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+@contextlib.contextmanager
+def scratch_run(spark: SparkSession):
+    """All tables that jobs in this block write beside their results go to one folder, which is removed at its end.
+
+    Results are lazy and read those tables: write them somewhere else before the block ends.
+    The folder goes on failure, too; that of a driver that dies stays, under
+    ``<spark.checkpoint.dir>/attrix/run-*``, and may be removed when no such driver runs.
+    """
+    folder = f"{shared_dir(spark)}/attrix/run-{uuid.uuid4().hex[:12]}"
+    _RUNS.append(folder)
+    try:
+        yield folder
+    finally:
+        _RUNS.remove(folder)
+        remove_path(spark, folder)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:

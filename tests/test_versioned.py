@@ -111,3 +111,17 @@ def test_a_hot_key_is_one_row_before_it_is_merged(spark, tmp_path):
     changes = tx.merge("t", hot, ["k"], ["at"])
     tx.commit()
     assert changes.keys.count() == store.snapshot().read("t").count() == 33_334
+
+
+def test_scratch_tables_go_with_their_run(spark, tmp_path):
+    from attrix.session import path_exists, scratch_path, scratch_run
+
+    store = V.Store(spark, str(tmp_path / "store"))
+    with pytest.raises(RuntimeError), scratch_run(spark) as run:
+        tx = store.begin()
+        tx.merge("t", spark.createDataFrame([("a", 1, "x")], SCHEMA), ["k"], ["at"])
+        assert scratch_path(spark, "n").startswith(run) and path_exists(spark, run)
+        tx.commit()
+        raise RuntimeError
+    assert not path_exists(spark, run) and not scratch_path(spark, "n").startswith(run)
+    assert rows(store.snapshot().read("t")) == [("a", 1, "x")]
