@@ -591,20 +591,25 @@ def q_load_times(spark, sf_dir):
 
 
 def q_ingest_continuous(spark, sf_dir):
-    """A stream that polls: stopped in the middle of a batch, files arrive late, started again; the latest rows."""
+    """A stream that polls: stopped in the middle of a batch, files arrive late, started again; the latest rows.
+
+    Files and batches hold more rows the more there are, so a larger table means larger ones, not more of them.
+    """
     terms, base, out = _api_terminations(spark, sf_dir), scratch_path(spark, "landing"), scratch_path(spark, "raw")
     part = F.pmod(F.xxhash64("termination_id"), F.lit(4))
 
     def start():
+    per_file = max(2000, terms.count() // 64)
+    landed = stage(terms.where(part <= 1), "terminations", STAGE_RUN_DATE, base, written_at=STAGE_WRITTEN_AT, records_per_file=per_file)
+    per_batch = max(3, len(landed["files"]) // 4)
         return ingest_stream(spark, base, "terminations", f"{out}/raw", f"{out}/history", f"{out}/checkpoint",
-                             available_now=False, processing_time="0 seconds", max_files_per_trigger=3)
-    stage(terms.where(part <= 1), "terminations", STAGE_RUN_DATE, base, written_at=STAGE_WRITTEN_AT, records_per_file=2000)
+                             available_now=False, processing_time="0 seconds", max_files_per_trigger=per_batch)
     first = start()
     while first.isActive and not path_exists(spark, f"{out}/checkpoint/offsets/0"):
         time.sleep(0.02)           # a batch has begun: stop in it
     first.stop()
     # the next night's files, with the days that a lookback reads again
-    stage(terms.where(part >= 1), "terminations", NIGHT_2, base, written_at=STAGE_WRITTEN_AT, records_per_file=2000)
+    stage(terms.where(part >= 1), "terminations", NIGHT_2, base, written_at=STAGE_WRITTEN_AT, records_per_file=per_file)
     second = start()
     second.processAllAvailable()
     stage(terms.where(part == 3), "terminations", NIGHT_2, base, written_at=STAGE_WRITTEN_AT)     # arrives while it runs

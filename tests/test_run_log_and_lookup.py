@@ -131,3 +131,13 @@ def test_a_polling_stream_survives_a_stop_and_takes_late_files(spark, tmp_path):
     raw = I.read_raw(spark, f"{out}/raw", "employees")
     assert raw.count() == 70 and raw.select("employee_id").distinct().count() == 70
     assert I.read_history(spark, f"{out}/hist").agg(F.sum("row_count")).first()[0] == 70
+
+
+
+def test_continuous_ingest_takes_larger_batches_of_a_larger_landing(spark, monkeypatch):
+    from attrix.plans import registry as R
+    seen, stage, stream = [], R.stage, R.ingest_stream
+    monkeypatch.setattr(R, "stage", lambda *a, **k: stage(*a, **k) | {"files": ["f"] * 400})
+    monkeypatch.setattr(R, "ingest_stream", lambda *a, **k: seen.append(k["max_files_per_trigger"]) or stream(*a, **k))
+    rows = R.q_ingest_continuous(spark, "/root/testdata/sf0.001")
+    assert rows.count() > 0 and seen == [100, 100]
