@@ -141,6 +141,15 @@ def list_files(spark: SparkSession, path: str) -> list[str]:
     return sorted(n for n in names if not n.rsplit("/", 1)[-1].startswith(("_", ".")))
 
 
+def stored_bytes(spark: SparkSession, paths) -> int:
+    """Bytes of files and folders together, as stored."""
+    jvm, total = spark.sparkContext._jvm, 0
+    for path in paths:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        total += p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(p).getLength()
+    return total
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     """Delete a scratch folder that this process made."""
     jvm = spark.sparkContext._jvm

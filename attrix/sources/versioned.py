@@ -24,10 +24,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from attrix.operators.dedup import latest_per_key
-from attrix.session import create_text, list_files, read_text, remove_path, scratch_path, subfolders
+from attrix.session import create_text, list_files, read_text, remove_path, scratch_path, stored_bytes, subfolders
 
-BUCKET = "__attrix_bucket"
+BUCKET, PART = "__attrix_bucket", "__attrix_part"
 BUCKETS = 64
+PART_BYTES = 16 << 20      # of stored rows that one task merges; a larger bucket is dealt over several by key
 
 
 class Conflict(RuntimeError):
@@ -54,12 +55,16 @@ class Snapshot:
         """A table, or only some of its buckets; others are not listed, opened or planned."""
         t = self.tables[name]
         schema = StructType.fromJson(t["schema"])
-        wanted = t["folders"] if buckets is None else {str(b) for b in buckets} & set(t["folders"])
-        paths = [f"{self.path}/data/{t['folders'][b]}" for b in sorted(wanted, key=int)]
+        paths = self._paths(name, buckets)
         if not paths:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(*paths)
 
+    def _paths(self, name: str, buckets: Iterable[int] | None = None) -> list[str]:
+        t = self.tables[name]
+        wanted = t["folders"] if buckets is None else {str(b) for b in buckets} & set(t["folders"])
+        return [f"{self.path}/data/{t['folders'][b]}" for b in sorted(wanted, key=int)]
+
     def touched(self, name: str, keys: DataFrame) -> list[int]:
         """The buckets of a table that ``keys`` (its bucket columns) fall into: at most its bucket count."""
         t = self.tables[name]
@@ -127,11 +132,11 @@ class Transaction:
         """``rows`` become the content of the ``touched`` buckets of a table (of all, if None).
 
         A new table gets ``buckets`` buckets on the columns ``by``; an old one keeps its own.
-        One shuffle by bucket precedes the write, so a bucket is one file.
+        One shuffle by bucket precedes the write, so a small bucket is one file; those that grew
+        past the advisory partition size are written by several tasks.
         """
         t = self._table(name, by, buckets)
-        n = t["buckets"] if touched is None else max(1, len(touched))
-        self._write(name, t, rows.withColumn(BUCKET, bucket_of(t["by"], t["buckets"])).repartition(n, BUCKET), touched)
+        self._write(name, t, rows.withColumn(BUCKET, bucket_of(t["by"], t["buckets"])).hint("rebalance", BUCKET), touched)
 
     def _table(self, name: str, by: Sequence[str], buckets: int) -> dict:
         return self.now.tables.get(name) or {"by": list(by), "buckets": buckets, "folders": {}}
@@ -154,14 +159,20 @@ class Transaction:
         per key before anything else, so a key that repeats without end costs one row.
         """
         new = self.keep(latest_per_key(rows, keys, order, total_order), f"{name}-new")
-        t, touched, both = self._table(name, keys, buckets), None, new
-        if name in self.now:
-            touched = self.now.touched(name, new.select(*keys))
-            both = self.now.read(name, touched).unionByName(new, allowMissingColumns=True)
-        # the bucket is a function of the key: one shuffle by bucket serves the choice of rows and the write
-        n = t["buckets"] if touched is None else max(1, len(touched))
-        both = both.withColumn(BUCKET, bucket_of(t["by"], t["buckets"])).repartition(n, BUCKET)
-        self._write(name, t, latest_per_key(both, [BUCKET, *keys], order, total_order), touched)
+        t, touched = self._table(name, keys, buckets), None
+        if name not in self.now:         # one row per key already
+            self._write(name, t, new.withColumn(BUCKET, bucket_of(t["by"], t["buckets"])).hint("rebalance", BUCKET), touched)
+            return Changes(self, name, new.select(*keys), list(keys), touched)
+        touched = self.now.touched(name, new.select(*keys))
+        both = self.now.read(name, touched).unionByName(new, allowMissingColumns=True)
+        # bucket and part are functions of the key: one shuffle serves the choice of rows and the write,
+        # and a task's share does not grow with the table
+        n = max(1, len(touched))
+        size = stored_bytes(self.store.spark, [*self.now._paths(name, touched), self._scratch[-1]])
+        parts = max(1, -(-size // (n * PART_BYTES)))
+        both = (both.withColumn(BUCKET, bucket_of(t["by"], t["buckets"]))
+                .withColumn(PART, F.pmod(F.xxhash64(F.lit(PART), *t["by"]), F.lit(parts))).repartition(n * parts, BUCKET, PART))
+        self._write(name, t, latest_per_key(both, [BUCKET, PART, *keys], order, total_order).drop(PART), touched)
         return Changes(self, name, new.select(*keys), list(keys), touched)
 
     def commit(self) -> int:
@@ -194,4 +205,6 @@ class Changes:
         return self._rows(self.transaction.base)
 
     def after(self) -> DataFrame:
+        if self.name not in self.transaction.base:       # a new table has the given keys and no others
+            return self.transaction.now.read(self.name)
         return self._rows(self.transaction.now)

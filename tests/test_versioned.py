@@ -125,3 +125,18 @@ def test_scratch_tables_go_with_their_run(spark, tmp_path):
         raise RuntimeError
     assert not path_exists(spark, run) and not scratch_path(spark, "n").startswith(run)
     assert rows(store.snapshot().read("t")) == [("a", 1, "x")]
+
+
+def test_a_grown_bucket_is_merged_by_several_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(V, "PART_BYTES", 500)
+    store = V.Store(spark, str(tmp_path / "store"))
+    first = [(f"k{i}", 0, "a" * 50) for i in range(300)]
+    later = [(f"k{i}", 1, "b") for i in range(0, 400, 2)]
+    for night in (first, later):
+        tx = store.begin()
+        tx.merge("t", spark.createDataFrame(night, SCHEMA), ["k"], ["at"], buckets=2)
+        tx.commit()
+        tx.done()
+    now = store.snapshot()
+    assert len(now.read("t", [0]).inputFiles()) > 2
+    assert rows(now.read("t")) == rows(latest_per_key(spark.createDataFrame(first + later, SCHEMA), ["k"], ["at"]))
