@@ -38,18 +38,20 @@ def _month_before(as_of) -> _dt.date:
     return (day.replace(day=1) - _dt.timedelta(days=1)).replace(day=1)
 
 
-def contributions(employees: DataFrame, exits: DataFrame, spine_start=SPINE_START) -> DataFrame:
+def contributions(employees: DataFrame, exits: DataFrame, spine_start=SPINE_START, keep=lambda df, name: df) -> DataFrame:
     """(g, m, dn, dk, exit counts): what latest employee rows and their exits add to each state and month.
 
     The sum over all employees is the mart's whole input; that of some employees is their part.
+    ``keep`` may store the two tables that are read more than once.
     """
-    dim = employees.select("employee_key", clean_upper(GROUP).alias(GROUP), "hire_date")
+    dim = keep(employees.select("employee_key", clean_upper(GROUP).alias(GROUP), "hire_date"), "part-employees")
     known = dim.select(F.col("employee_key").alias("_ek"), GROUP, "hire_date")
     voluntary = flag(clean_upper("termination_type") == F.lit("VOLUNTARY"))
     fct = exits.join(known, exits["employee_key"] == known["_ek"], "left").select(
         "employee_key", GROUP, "hire_date", "termination_date", voluntary.alias("is_voluntary"),
         flag(voluntary & F.col("hire_date").isNotNull()
              & (days_between("hire_date", "termination_date") >= REGRETTABLE_MIN_TENURE_DAYS)).alias("is_regrettable"))
+    fct = keep(fct, "part-exits")
     deltas = headcount_deltas(headcount_rows(dim, fct), month_start(as_date(spine_start)), weight="weight")
     left = monthly_exits(fct).withColumnsRenamed({GROUP: "g", "month_start": "m"})
     zero = F.lit(0).cast("long")
@@ -95,7 +97,7 @@ def update_mart(store: Store, employees: DataFrame, terminations: DataFrame, as_
 
     def part(snapshot: Snapshot) -> DataFrame:
         rows = [snapshot.read(name, around).join(concerned, "employee_key", "left_semi") for name in ("employees", "exits")]
-        return contributions(*rows, spine_start)
+        return contributions(*rows, spine_start, tx.keep)
 
     change = part(tx.now)
     if "deltas" in tx.base:

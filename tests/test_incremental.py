@@ -127,3 +127,17 @@ def test_a_failed_night_has_not_happened(spark, tmp_path, monkeypatch):
     assert store.versions() == [1] and mart(N.read_mart(spark, store.path)) == before
     N.update_mart(store, emps.limit(0), exits, "2022-01-10", START)
     assert mart(N.read_mart(spark, store.path)) != before
+
+
+def test_what_a_part_reads_twice_may_be_stored(spark):
+    day = dt.date(2020, 3, 1)
+    emps = spark.createDataFrame([("k1", "ca", day), ("k2", None, day)], "employee_key string, location_state string, hire_date date")
+    exits = spark.createDataFrame([("k1", "t1", dt.date(2023, 5, 2), "voluntary"), ("k9", "t2", day, "x")],
+                                  "employee_key string, termination_id string, termination_date date, termination_type string")
+    names = []
+
+    def keep(df, name):
+        names.append(name)
+        return df
+    plain, kept = N.contributions(emps, exits, START), N.contributions(emps, exits, START, keep)
+    assert names == ["part-employees", "part-exits"] and sorted(map(str, plain.collect())) == sorted(map(str, kept.collect()))
