@@ -91,16 +91,17 @@ def with_row_index(df: DataFrame, order: Sequence[str], out: str = "row_index",
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # range bounds on the full total order: a natural key held by a third of the rows
     # is still split across partitions by the remaining columns
-    ranged = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    ranged = df.repartitionByRange(n, *keys)
     # The count branch and the index branch must see the same partitions: Spark
     # runs the shared range exchange once (exchange reuse). With reuse switched
     # off each branch would sample its own range bounds, so pin the partitions
     # with a persisted copy (recomputed from the same shuffle after a loss).
     if df.sparkSession.conf.get("spark.sql.exchange.reuse", "true").lower() == "false":
         ranged = ranged.persist()
-    ranged = (ranged.withColumn(_PID, F.spark_partition_id())
+    counts = ranged.withColumn(_PID, F.spark_partition_id()).groupBy(_PID).agg(F.count(F.lit(1)).alias("_n"))
+    # only the index branch needs its rows sorted
+    ranged = (ranged.sortWithinPartitions(*keys).withColumn(_PID, F.spark_partition_id())
                     .withColumn(_MID, F.monotonically_increasing_id()))
-    counts = ranged.groupBy(_PID).agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.select(
         _PID, (F.sum("_n").over(_whole_ordered(_PID)) - F.col("_n")).alias("_off"))
     local = F.col(_MID) - F.shiftleft(F.col(_PID).cast("bigint"), 33)
@@ -143,8 +144,12 @@ def stage(df: DataFrame, entity: str, run_date, base_path: str, written_at=None,
     run_date = run_date if isinstance(run_date, _dt.date) else _dt.date.fromisoformat(str(run_date))
     schema, spark = LANDING[entity], df.sparkSession
     seen, scratch = Observation(f"records_{entity}"), scratch_path(spark, "records")
-    counted = df.withColumn("_lost", lost_dates(df)).observe(seen, F.sum("_lost").alias("lost"))
-    coerce_dates(counted.drop("_lost")).write.parquet(scratch)
+    # each date is parsed once: a value is lost where the parsed one is null and the given one is not
+    dates = _date_strings(df, DATE_COLUMNS)
+    parsed = df.withColumns({f"_date_{c}": _date_of(c) for c in dates})
+    lost = sum((F.when(F.col(c).isNotNull() & F.col(f"_date_{c}").isNull(), 1).otherwise(0) for c in dates), F.lit(0))
+    counted = parsed.withColumn("_lost", lost).observe(seen, F.sum("_lost").alias("lost"))
+    counted.select(*[F.col(f"_date_{c}").alias(c) if c in dates else F.col(c) for c in df.columns]).write.parquet(scratch)
     typed = spark.read.parquet(scratch)
     staged = with_lineage(typed, entity, run_date, written_at, page_size)
     staged = staged.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
@@ -154,7 +159,7 @@ def stage(df: DataFrame, entity: str, run_date, base_path: str, written_at=None,
     part = (staged.withColumn("year", F.lit(run_date.year))
                   .withColumn("month", F.lit(f"{run_date.month:02d}"))
                   .withColumn("day", F.lit(f"{run_date.day:02d}"))
-                  .sortWithinPartitions("_pipeline_page_num"))
+                  .sortWithinPartitions("year", "month", "day", "_pipeline_page_num"))   # the write sorts by the first three anyway
     root = f"{base_path.rstrip('/')}/{entity}"
     w = part.write.mode("append").option("compression", "snappy")
     if records_per_file:

@@ -8,7 +8,7 @@ reads them with the declared schema, casts to the raw types, stamps
 
 * Exactly once per file: the stream's checkpointed file log.
 * Exactly once per row: each micro-batch writes its own partition (stream id,
-  batch id) with dynamic overwrite, so a batch that is replayed before it was
+  batch id) in overwrite mode, so a batch that is replayed before it was
   finished replaces its output, a finished one is left alone, and a stream with a
   new checkpoint adds to the table.
 * Rows and history together: a batch shows in neither table before its manifest
@@ -93,15 +93,17 @@ def _to_raw_with_losses(landing: DataFrame, entity: str) -> DataFrame:
         raw_cols.append(v.alias(f.name))
         if types[f.name] != f.dataType.simpleString():           # a cast to its own type loses nothing
             lost.append(F.when(c.isNotNull() & v.isNull(), F.lit(f.name)))
-    names = F.array_compact(F.array(*lost)) if lost else F.array().cast("array<string>")
-    return landing.select(*raw_cols, F.col("_file_path").alias(FILE_COL), F.when(F.size(names) > 0, names).alias(LOST_COL))
+    any_lost = F.coalesce(*lost) if lost else F.lit(None).cast("string")      # mostly null: no array is made
+    names = F.array_compact(F.array(*lost)) if lost else F.lit(None).cast("array<string>")
+    return landing.select(*raw_cols, F.col("_file_path").alias(FILE_COL), F.when(any_lost.isNotNull(), names).alias(LOST_COL))
 
 
 def _append(df: DataFrame, stream_id: str, batch_id: int, path: str) -> None:
-    """Write into the partition of this stream and micro-batch, replacing only a replay of itself."""
-    (df.withColumn(STREAM_COL, F.lit(stream_id)).withColumn(BATCH_COL, F.lit(batch_id).cast("bigint"))
-       .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-       .partitionBy(STREAM_COL, BATCH_COL).parquet(path))
+    """Write the partition of this stream and micro-batch, replacing only a replay of itself.
+
+    The folder is named here: a write partitioned by columns sorts all rows by them, though they have one value.
+    """
+    df.write.mode("overwrite").parquet(_batch_folder(path, stream_id, batch_id))
 
 
 def _history(rows: DataFrame, entity: str, files: DataFrame, failed: DataFrame) -> DataFrame:

@@ -149,3 +149,21 @@ def test_a_page_near_the_top_is_one_pass(spark, monkeypatch):
     top = [tuple(r) for r in got.collect()]
     monkeypatch.setattr(FL, "TOP_ROWS", 0)                       # the way of pages further down gives the same rows
     assert len(top) == 20 and list(map(str, top)) == [str(tuple(r)) for r in FL.page(df, ["k"], limit=20, offset=30).collect()]
+
+
+def test_ranking_sorts_its_rows_once(spark):
+    df = table(spark, 6).select("k", "n")
+    ranked = L.with_row_index(df, ["k"], "i")
+    plan = ranked._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Sort [k") == 1
+    assert sorted(r["i"] for r in ranked.collect()) == list(range(df.count()))
+
+
+def test_a_batch_is_written_without_sorting_by_its_partition(spark, tmp_path):
+    raw = str(tmp_path / "raw")
+    df = spark.range(5).select(F.col("id").cast("string").alias("x"))
+    for n in (5, 3):                                             # a replay replaces the batch
+        I._append(df.limit(n), "s", 7, raw)
+    I._append(df, "s", 8, raw)
+    got = spark.read.parquet(raw).groupBy(I.STREAM_COL, I.BATCH_COL).count().collect()
+    assert sorted(map(tuple, got)) == [("s", 7, 3), ("s", 8, 5)]
