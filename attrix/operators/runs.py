@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from attrix.functions.dates import as_date, as_timestamp, hours_between, seconds_between
 from attrix.schema import RUNS
-from attrix.session import create_text, list_files, read_text, remove_path
+from attrix.session import create_text, list_files, read_text, remove_path, stored_bytes
 
 
 def record_run(spark: SparkSession, runs_path: str, entity: str, run_date, records_staged: int,
@@ -60,14 +60,17 @@ def read_runs(spark: SparkSession, runs_path: str) -> DataFrame:
     return spark.read.schema(RUNS).parquet(*paths) if paths else spark.createDataFrame([], RUNS)
 
 
-def compact_runs(spark: SparkSession, runs_path: str, files: int = 1) -> int:
-    """Gather the record files into ``files`` files; returns how many were gathered.
+FILE_BYTES = 64 << 20      # of a gathered file; a task reads its rows uncompressed, some three times that
+
+
+def compact_runs(spark: SparkSession, runs_path: str, files: int = 1, file_bytes: int = FILE_BYTES) -> int:
+    """Gather the record files into ``files`` files, or more of about ``file_bytes``; returns how many were gathered.
 
     A manifest, ``_compacted/<n>``, names the gathered folder and the files it came from; it
     appears last and at once, so a reader sees each run in one place.  Gathered files, and the
     folder before, are removed by the *next* compaction, when nobody who starts reading needs
     them; a record that is appended meanwhile is in the tail.  Of two compactions at a time one
-    gives up.  So the log holds a bounded number of files after any number of runs.
+    gives up.  So the number of files depends on the records' bytes, not on how many runs wrote them.
     """
     base = runs_path.rstrip("/")
     number, at = _checkpoint(spark, runs_path)
@@ -77,6 +80,7 @@ def compact_runs(spark: SparkSession, runs_path: str, files: int = 1) -> int:
         return 0
     folder = f"{_COMPACTED}_data-{uuid.uuid4().hex[:12]}"
     paths = [*new, f"{base}/{at['folder']}"] if at["folder"] else new
+    files = max(files, -(-stored_bytes(spark, paths) // file_bytes))
     (spark.read.schema(RUNS).parquet(*paths).repartitionByRange(files, "run_date", "started_at", "run_id")
      .write.parquet(f"{base}/{folder}"))
     manifest = {"folder": folder, "covers": [f.rsplit("/", 1)[-1] for f in new] + old, "before": at["folder"]}

@@ -141,3 +141,14 @@ def test_continuous_ingest_takes_larger_batches_of_a_larger_landing(spark, monke
     monkeypatch.setattr(R, "ingest_stream", lambda *a, **k: seen.append(k["max_files_per_trigger"]) or stream(*a, **k))
     rows = R.q_ingest_continuous(spark, "/root/testdata/sf0.001")
     assert rows.count() > 0 and seen == [100, 100]
+
+
+def test_a_long_log_is_gathered_by_several_tasks(spark, tmp_path):
+    path = str(tmp_path / "runs")
+    for i in range(12):
+        record(spark, path, i)
+    size = sum(f.stat().st_size for f in files(spark, path))
+    assert RN.compact_runs(spark, path, file_bytes=size // 4) == 12
+    folder = [f for f in files(spark, path) if "_compacted_data" in str(f)]
+    assert len(folder) >= 3
+    assert sorted(r["records_staged"] for r in RN.read_runs(spark, path).collect()) == list(range(12))
