@@ -21,7 +21,7 @@ from attrix.operators.headcount import (headcount_rows, month_spine, monthly_com
                                         monthly_headcount)
 from attrix.operators.joins import lifecycle
 from attrix.operators.rolling import rolling_turnover
-from attrix.plans.build import build, lookup_ready, written
+from attrix.plans.build import bucketed, build, lookup_ready, written
 from attrix.plans.check_state import update_checks
 from attrix.plans.dashboard import exits, turnover
 from attrix.plans.incremental import update_mart
@@ -286,11 +286,13 @@ def q_dq_spine_contiguous(spark, sf_dir):
 
 def q_dq_suite(spark, sf_dir):
     # Materialise each model once in the shared checkpoint folder; the suite
-    # then scans five small tables instead of re-deriving them per check.
+    # then scans five small tables instead of re-deriving them per check. Three of them leave a
+    # shuffle on the employee key, so they are bucketed on it at no cost, and what joins them or
+    # groups them by that key does not shuffle them again.
     raw_e, raw_t = A.hr_inputs(spark, sf_dir)
-    models = build(raw_e, raw_t, A.ORDERS_AS_OF, A.ORDERS_SPINE_START,
-                   materialize=written(spark, scratch_path(spark, "models")),
-                   materialize_staging=True)
+    store = bucketed(spark, scratch_path(spark, "models"), int(spark.conf.get("spark.sql.shuffle.partitions")),
+                     keyed=("stg_employees", "dim_employees", "fct_terminations"))
+    models = build(raw_e, raw_t, A.ORDERS_AS_OF, A.ORDERS_SPINE_START, materialize=store, materialize_staging=True)
     rules = business_rules(models, _runs(spark, sf_dir), SUITE_NOW)
     return Q.run_suite(suite(A.ORDERS_AS_OF), models, rules)
 
@@ -597,11 +599,11 @@ def q_ingest_continuous(spark, sf_dir):
     """
     terms, base, out = _api_terminations(spark, sf_dir), scratch_path(spark, "landing"), scratch_path(spark, "raw")
     part = F.pmod(F.xxhash64("termination_id"), F.lit(4))
-
-    def start():
     per_file = max(2000, terms.count() // 64)
     landed = stage(terms.where(part <= 1), "terminations", STAGE_RUN_DATE, base, written_at=STAGE_WRITTEN_AT, records_per_file=per_file)
     per_batch = max(3, len(landed["files"]) // 4)
+
+    def start():
         return ingest_stream(spark, base, "terminations", f"{out}/raw", f"{out}/history", f"{out}/checkpoint",
                              available_now=False, processing_time="0 seconds", max_files_per_trigger=per_batch)
     first = start()

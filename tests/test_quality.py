@@ -83,3 +83,9 @@ def test_row_rules_and_run_log_in_the_suite(spark):
     got = {r.test: r.failures for r in Q.run_suite([Check("stg_terminations", "last_day_of_work", "not_null")],
                                                    {"stg_terminations": stg}, rules).collect()}
     assert got == {"not_null_stg_terminations_last_day_of_work": 1, "last_day_lte_termination": 1, "pipeline_ran_recently": 1}
+
+
+def test_the_suite_reads_models_that_are_bucketed_by_employee(spark):
+    from attrix.plans import registry as R
+    plan = R.q_dq_suite(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "Bucketed: true" in plan
