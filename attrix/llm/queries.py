@@ -32,9 +32,9 @@ def op2_mix_sources(spark, sf_dir):
 
 
 def op3_quality_rules(spark, sf_dir):
-    """Base rules and perplexity bands over all documents."""
-    return score_quality(table(spark, sf_dir, "documents")).select(
-        "doc_id", *STATS, "base_failed", "kept", "perplexity")
+    """Base rules and perplexity bands over all documents, under models of byte classes and of all code points."""
+    return score_quality(table(spark, sf_dir, "documents"), code_points=True).select(
+        "doc_id", *STATS, "base_failed", "kept", "perplexity", "char_perplexity")
 
 
 def op4_substring_dedup(spark, sf_dir):
