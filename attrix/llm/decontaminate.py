@@ -21,6 +21,7 @@ from attrix.llm.common import document_key, stored
 from attrix.llm.words import ALNUM_WORD, anchors, find_words, mix, run_hashes, signed, slices
 
 LENGTH = 13
+SLICE = 1 << 19   # bytes of texts worked on at a time
 
 
 def _seed(n: int) -> int:
@@ -47,7 +48,7 @@ def _item_starts(w, n: np.ndarray):
 def _item_prints(length: int):
     def run(batches):
         for b in batches:
-            for lo, hi, data, off in slices(b.column(0)):
+            for lo, hi, data, off in slices(b.column(0), SLICE):
                 w = find_words(data, off, ALNUM_WORD, fold=True)
                 n = _item_lengths(w, length)
                 for k in np.unique(n[n > 0]):
@@ -62,7 +63,7 @@ def _item_prints(length: int):
 def _item_windows(length: int):
     def run(batches):
         for b in batches:
-            for lo, hi, data, off in slices(b.column(1)):
+            for lo, hi, data, off in slices(b.column(1), SLICE):
                 w = find_words(data, off, ALNUM_WORD, fold=True)
                 at, n, item = _item_starts(w, _item_lengths(w, length))
                 yield pa.record_batch([b.column(0).take(pa.array(item + lo)), pa.array(n.astype(np.int32)),
@@ -81,7 +82,7 @@ def _doc_anchors(w, lengths):
 def _doc_prints(lengths: list[int]):
     def run(batches):
         for b in batches:
-            for lo, hi, data, off in slices(b.column(1)):
+            for lo, hi, data, off in slices(b.column(1), SLICE):
                 w = find_words(data, off, ALNUM_WORD, fold=True)
                 for n, (at, doc, g, _, _) in _doc_anchors(w, lengths):
                     yield pa.record_batch([b.column(0).take(pa.array(doc + lo)), pa.array(_marks(g, n)),
@@ -95,7 +96,7 @@ def _doc_windows(lengths: list[int]):
         for b in batches:
             marks = b.column(2)
             moff, mval = marks.offsets.to_numpy().astype(np.int64), marks.values.to_numpy()
-            for lo, hi, data, off in slices(b.column(1)):
+            for lo, hi, data, off in slices(b.column(1), SLICE):
                 w = find_words(data, off, ALNUM_WORD, fold=True)
                 mine = mval[moff[lo]:moff[hi]]
                 base = np.repeat(w.first[:-1], np.diff(moff[lo:hi + 1]))
@@ -114,7 +115,7 @@ def _doc_windows(lengths: list[int]):
 
 def _count_words(batches):
     for b in batches:
-        n = [find_words(data, off, ALNUM_WORD, hashes=False).n_words for _, _, data, off in slices(b.column(1))]
+        n = [find_words(data, off, ALNUM_WORD, hashes=False).n_words for _, _, data, off in slices(b.column(1), SLICE)]
         yield pa.record_batch([b.column(0), pa.array(np.concatenate([np.zeros(0, np.int64), *n]))], names=["doc_id", "n_words"])
 
 

@@ -29,6 +29,7 @@ from attrix.llm.words import SPACE_WORD, find_words, mix, run_hashes, signed, sl
 SHINGLE = 5
 PERCENT = 75
 SLOTS, ROWS = 128, 4   # 32 bands: a pair at 0.75 shares none with probability (1 - 0.75^4)^32, 5 in a million
+SLICE = 1 << 19   # bytes of texts worked on at a time
 
 
 def shingles(w, size: int = SHINGLE):
@@ -91,7 +92,7 @@ def band_keys(sig: np.ndarray, rows: int = ROWS) -> np.ndarray:
 def _signed(size: int, slots: int, rows: int):
     def run(batches):
         for b in batches:
-            for lo, hi, data, off in slices(b.column(1)):
+            for lo, hi, data, off in slices(b.column(1), SLICE):
                 w = find_words(data, off, SPACE_WORD, fold=True)
                 doc, h = shingles(w, size)
                 n = np.bincount(doc, minlength=hi - lo)
@@ -111,7 +112,7 @@ def _sets(size: int):
     """The sorted shingle hashes of each document, as bytes."""
     def run(batches):
         for b in batches:
-            for lo, hi, data, off in slices(b.column(1)):
+            for lo, hi, data, off in slices(b.column(1), SLICE):
                 doc, h = shingles(find_words(data, off, SPACE_WORD, fold=True), size)
                 cut = np.searchsorted(doc, np.arange(hi - lo + 1))
                 yield pa.record_batch([b.column(0).slice(lo, hi - lo),
